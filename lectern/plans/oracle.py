@@ -51,7 +51,8 @@ def md5key(seed: int, *cols: str) -> str:
 
 
 def uniform01(seed: int, *cols: str) -> str:
-    return f"(CAST(('0x' || substr({md5key(seed, *cols)}, 1, 8)) AS BIGINT) / 4294967296.0)"
+    return (f"(CAST(CAST(('0x' || substr({md5key(seed, *cols)}, 1, 8)) AS BIGINT) AS DOUBLE)"
+            f" / CAST(4294967296 AS DOUBLE))")
 
 
 # documents -> cleaned text -> token rows -> vocabulary, as CTEs
