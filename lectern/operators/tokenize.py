@@ -88,24 +88,28 @@ def special_tokens(vocab: DataFrame, pad_token: str | None = None) -> DataFrame:
     return names.unionByName(pad)
 
 
-def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], salt: int = 8) -> DataFrame:
+def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], salt: int = 8,
+               broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Attach ``id`` to each token row (unknown -> 0).
 
-    A hot token (say a third of all occurrences) would put one huge key in one
-    task of a shuffled join, so occurrences are salted over ``salt`` sub-keys and
-    the vocabulary (one row per token, far smaller than the stream) is replicated
-    ``salt`` times. When the vocabulary is small AQE still turns the join into a
-    broadcast at run time.
+    The vocabulary's size is checked first (one count over a table that is
+    already materialised). Up to ``broadcast_max_rows`` entries it is broadcast,
+    so token rows never leave their partition and the per-row regrouping after
+    it is combined map-side. Beyond that, a shuffled join: a hot token (say a
+    third of all occurrences) would be one huge key in one task, so occurrences
+    are salted over ``salt`` sub-keys and the vocabulary (one row per token, far
+    smaller than the stream) is replicated ``salt`` times.
     """
     v = vocab.select(F.col("token").alias("tok"), "id")
-    if salt > 1:
+    if vocab.count() <= broadcast_max_rows:
+        joined = rows.join(F.broadcast(v), on="tok", how="left")
+    elif salt > 1:
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt)).cast("int"))
         v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        on = ["tok", "_salt"]
+        joined = rows.join(v, on=["tok", "_salt"], how="left")
     else:
-        on = ["tok"]
-    return rows.join(v, on=on, how="left").select(
-        *keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+        joined = rows.join(v, on="tok", how="left")
+    return joined.select(*keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
 
 
 def mask_columns(ids: Column) -> list[Column]:
@@ -119,7 +123,7 @@ def mask_columns(ids: Column) -> list[Column]:
 
 def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str = "text",
              scheme: str = "whitespace", keep: Sequence[str] = (), salt: int = 8,
-             add_eos: bool = False) -> DataFrame:
+             add_eos: bool = False, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """``keys..., keep..., input_ids, attention_mask, special_tokens_mask``.
 
     No truncation (I6). Rows without tokens keep empty arrays. Token order is
@@ -130,7 +134,7 @@ def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str
     keys_all = keys + [k for k in keep if k not in keys]
     # outer explode keeps rows without tokens (pos is null there)
     rows = df.select(*keys_all, F.posexplode_outer(pretokens(text_col, scheme)).alias("pos", "tok"))
-    ided = lookup_ids(rows, vocab, keys_all, salt)
+    ided = lookup_ids(rows, vocab, keys_all, salt, broadcast_max_rows)
     grouped = ided.groupBy(*keys_all).agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))))
         .alias("_p"))
@@ -166,10 +170,12 @@ def tokenize_with(df: DataFrame, fn: Callable[[str], list[int]], keys: Sequence[
     """
     import pandas as pd
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(s: pd.Series) -> pd.Series:
+    def _encode_batch(s):
         return s.map(lambda t: [int(x) for x in fn(t)])
 
+    _encode_batch.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    _encode = F.pandas_udf(_encode_batch, T.ArrayType(T.IntegerType()))
+
     keys = list(keys)
     rows = token_rows(df, keys, text_col, scheme)
     codes = rows.select("tok").distinct().select("tok", _encode("tok").alias("codes"))

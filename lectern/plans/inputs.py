@@ -17,8 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table over the cluster when its scan has fewer splits than cores
+    (one large row group, say). Hash by ``key`` so later groupings on ``key`` reuse
+    the partitioning. A large input already has enough splits and is left as is."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return balanced(table(spark, sf_dir, "documents"), "doc_id")
 
 
 # Raw "books": English and French documents get a boilerplate header before and a
