@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
+from .joins import lookup
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
@@ -24,7 +25,7 @@ BACKOFF = ""   # context key of the unigram (back-off) distribution
 def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
     context, plus the unigram distribution under context ``''``."""
-    seen = model.bigram.join(model.context, "prev").select(
+    seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"]).select(
         "prev", "tok", (F.col("c") / F.col("c_prev")).alias("p"))
     uni = model.unigram.select(F.lit(BACKOFF).alias("prev"), "tok",
                                (F.col("c_tok") / F.lit(float(model.n_tokens))).alias("p"))
@@ -84,7 +85,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     the shared checkpoint folder every ``checkpoint_every`` steps. The loop runs
     a number of plan steps fixed by the parameters, not by the data.
     """
-    table = sampling_table(model, k, t, p).cache()
+    table = cut_lineage(sampling_table(model, k, t, p))
     backoff = table.where(F.col("prev") == BACKOFF).select("cands")
     # at most k entries: a proven bound, kept as a literal
     b_rows = backoff.collect()
@@ -93,6 +94,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
         b_lit = F.array(*[F.struct(F.lit(c["rank"]).alias("rank"), F.lit(c["tok"]).alias("tok"),
                                    F.lit(c["cdf"]).alias("cdf")) for c in b_rows[0]["cands"]])
     ctx = table.where(F.col("prev") != BACKOFF).withColumnRenamed("prev", "_last")
+    ctx_rows = ctx.count()
 
     words = F.filter(F.split(F.col(prompt_col), " "), lambda x: x != "")
     state = prompts.select(
@@ -111,7 +113,8 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
         last = F.coalesce(F.try_element_at("_new", F.lit(-1)), F.try_element_at("_toks", F.lit(-1)),
                           F.lit(BACKOFF))
         s = state.withColumn("_last", last)
-        s = s.join(ctx, "_last", "left")
+        # prompts may pile onto one last token: size-checked, salted lookup
+        s = lookup(s, ctx, ["_last"], "left", small_rows=ctx_rows, salt_cols=[key, "seq_no"])
         u = uniform01(seed, key, "seq_no", F.lit(step))
         nxt = draw(F.coalesce(F.col("cands"), b_lit), u)
         grow = F.size("_new") < F.col("_limit")

@@ -19,6 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .joins import lookup
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -55,11 +58,16 @@ class BigramModel:
 
 
 def fit_bigram(train: DataFrame, tokens_col: str) -> BigramModel:
-    """Fit on the training rows; three count tables plus two scalars."""
-    bigram = pair_counts(train, tokens_col)
-    context = bigram.groupBy("prev").agg(F.sum("c").alias("c_prev"))
-    unigram = train.select(F.explode(tokens_col).alias("tok")).groupBy("tok").agg(
-        F.count(F.lit(1)).alias("c_tok"))
+    """Fit on the training rows; three count tables plus two scalars.
+
+    The tables are written to the shared checkpoint folder (the fitted model), so
+    evaluation and generation start from them instead of recounting, and their
+    sizes are known for the lookups.
+    """
+    bigram = cut_lineage(pair_counts(train, tokens_col))
+    context = cut_lineage(bigram.groupBy("prev").agg(F.sum("c").alias("c_prev")))
+    unigram = cut_lineage(train.select(F.explode(tokens_col).alias("tok")).groupBy("tok").agg(
+        F.count(F.lit(1)).alias("c_tok")))
     # two numbers, one small aggregate action
     row = unigram.agg(F.sum("c_tok").alias("n"), F.count(F.lit(1)).alias("v")).first()
     return BigramModel(bigram, context, unigram, int(row["n"] or 0), int(row["v"] or 0))
@@ -70,9 +78,11 @@ def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> Da
     lookups (a frequent ``prev`` is then one row per distinct successor, not one
     per occurrence), with their counts under the model."""
     val = pair_counts(held_out, tokens_col).withColumnRenamed("c", "n")
-    return (val.join(model.bigram, ["prev", "tok"], "left")
-            .join(model.context, "prev", "left")
-            .join(model.unigram, "tok", "left"))
+    # (prev, tok) is unique on both sides: a plain shuffled join has no hot key.
+    # The context and unigram lookups have hot keys on the validation side.
+    j = val.join(model.bigram, ["prev", "tok"], "left")
+    j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"])
+    return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"])
 
 
 def prob(model: BigramModel, lam) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_CHARS
+from .joins import lookup
 from .prefix import dense_ordinal
 
 # ---------------------------------------------------------------------------
@@ -92,23 +93,15 @@ def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], salt: int
                broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Attach ``id`` to each token row (unknown -> 0).
 
-    The vocabulary's size is checked first (one count over a table that is
-    already materialised). Up to ``broadcast_max_rows`` entries it is broadcast,
-    so token rows never leave their partition and the per-row regrouping after
-    it is combined map-side. Beyond that, a shuffled join: a hot token (say a
-    third of all occurrences) would be one huge key in one task, so occurrences
-    are salted over ``salt`` sub-keys and the vocabulary (one row per token, far
-    smaller than the stream) is replicated ``salt`` times.
+    A size-checked lookup (``joins.lookup``): broadcast up to
+    ``broadcast_max_rows`` vocabulary entries, so token rows never leave their
+    partition and the per-row regrouping after it is combined map-side; beyond
+    that a shuffled join salted over ``salt`` sub-keys, so a token that is a third
+    of the corpus is spread over ``salt`` tasks.
     """
     v = vocab.select(F.col("token").alias("tok"), "id")
-    if vocab.count() <= broadcast_max_rows:
-        joined = rows.join(F.broadcast(v), on="tok", how="left")
-    elif salt > 1:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt)).cast("int"))
-        v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        joined = rows.join(v, on=["tok", "_salt"], how="left")
-    else:
-        joined = rows.join(v, on="tok", how="left")
+    joined = lookup(rows, v, ["tok"], "left", salt=salt, broadcast_max_rows=broadcast_max_rows,
+                    salt_cols=[*keys, "pos"])
     return joined.select(*keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
 
 

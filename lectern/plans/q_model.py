@@ -225,7 +225,25 @@ def q_generate_greedy(spark, sf):
                       "generated_text")
 
 
-@register("generate_sampled")
+SAMPLED_SQL = "WITH RECURSIVE " + CANDS_SQL + ", " + PROMPTS_SQL + f""",
+arr AS (SELECT prev, list(struct_pack(rank := rank, tok := tok, cdf := cdf) ORDER BY rank) AS cands
+        FROM cdfs GROUP BY prev),
+g(prompt_id, seq_no, step, last, new) AS (
+  SELECT prompt_id, seq_no, 0, coalesce(pl[-1], ''), []::VARCHAR[] FROM prompts, range(1, 3) s(seq_no)
+  UNION ALL
+  SELECT prompt_id, seq_no, step + 1, nx, list_append(new, nx) FROM (
+    SELECT x.*, coalesce(list_filter(x.c, lambda e: e.cdf > x.u)[1], x.c[-1]).tok AS nx FROM (
+      SELECT g.prompt_id, g.seq_no, g.step, g.new,
+             coalesce(a.cands, (SELECT cands FROM arr WHERE prev = '')) AS c,
+             {o.uniform01(SEED, 'g.prompt_id', 'g.seq_no', 'g.step')} AS u
+      FROM g LEFT JOIN arr a ON a.prev = g.last AND g.last <> '' WHERE g.step < {NEW_TOKENS}) x))
+SELECT g.prompt_id, CAST(g.seq_no AS INTEGER) AS seq_no, p.prompt,
+       CASE WHEN len(g.new) > 0 THEN p.prompt || ' ' || array_to_string(g.new, ' ') ELSE p.prompt END
+         AS generated_text
+FROM g JOIN prompts p USING (prompt_id) WHERE g.step = {NEW_TOKENS}"""
+
+
+@register("generate_sampled", SAMPLED_SQL)
 def q_generate_sampled(spark, sf):
     """Sampled generation with the shipped settings, two sequences per prompt."""
     m, _ = fitted(spark, sf)

@@ -14,4 +14,4 @@ def test_registry_shape():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 40
-    assert set(q) - set(o) == {"generate_sampled"}
+    assert set(q) == set(o)
