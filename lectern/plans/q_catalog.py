@@ -19,7 +19,11 @@ from .inputs import documents, table
 from .registry import register
 
 ROOT = "downloads"
-ORDER = [F.col("n_chars").desc(), F.col("doc_id").asc()]
+
+
+def order():
+    """Catalogue rank: longer items first, then by document id."""
+    return [F.col("n_chars").desc(), F.col("doc_id").asc()]
 LANG_NAMES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
 
 
@@ -129,7 +133,7 @@ SELECT wk.author, wk.title, CAST(c.rank AS INTEGER) AS rank, c.identifier FROM w
                   ORDER BY n_chars DESC, doc_id) AS rank FROM searchable) WHERE rank <= 5) c
   USING (author, title)""")
 def q_candidate_items(spark, sf):
-    return cat.candidate_items(works_with_ids(spark, sf), catalog(spark, sf), ORDER, 5)
+    return cat.candidate_items(works_with_ids(spark, sf), catalog(spark, sf), order(), 5)
 
 
 @register("unresolved_works", "WITH " + CAT_SQL + """
