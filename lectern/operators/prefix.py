@@ -28,8 +28,16 @@ from ..session import cut_lineage
 
 
 def running_offsets(df: DataFrame, scope: Sequence[str], order_col: str, size_col: str,
-                    out: str = "offset", range_width: int = 100_000,
+                    out: str = "offset", range_width: int = 10_000,
                     total_out: str | None = None) -> DataFrame:
+    """Exclusive prefix sum of ``size_col`` within ``scope`` in ``order_col`` order
+    (``order_col`` unique within a scope); optionally the scope total.
+
+    Rows travel once, to the window of their (scope, key range): at most
+    ``range_width`` rows per window task, spillable. Computing offsets on a slim
+    projection and joining them back would read and re-derive the rows two more
+    times, which costs more than it saves.
+    """
     scope = list(scope)
     rng = F.floor(F.col(order_col) / F.lit(range_width)).cast("long")
     keyed = df.withColumn("_rng", rng)

@@ -118,3 +118,20 @@ def test_streaming_blocks(spark):
     a = streamed.select("scope_id", "block_id", F.md5(F.array_join("input_ids", " ")).alias("h"))
     b = batch.select("scope_id", "block_id", F.md5(F.array_join("input_ids", " ")).alias("h"))
     assert a.exceptAll(b).count() == 0
+
+
+def test_read_lines_split_file(spark):
+    d = fresh_dir()
+    p = os.path.join(d, "big.txt")
+    lines = [f"line {i} " + "x" * (i % 17) for i in range(3000)]
+    with open(p, "w", newline="") as f:
+        f.write("\r\n".join(lines[:1000]) + "\n" + "\n".join(lines[1000:2000]) + "\r" + "\n".join(lines[2000:]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.read_lines(spark, p)
+        assert df.rdd.getNumPartitions() > 5
+        got = [(r.line_no, r.text) for r in df.orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(lines))
