@@ -107,7 +107,7 @@ def pack_batch(df: DataFrame, block_size: int, batch_rows: int = 1000,
 
 
 def pack_file(df: DataFrame, block_size: int, scope_col: str, order_col: str = "row_idx",
-              cols: Sequence[str] = TOKEN_COLS, range_width: int = 10_000) -> DataFrame:
+              cols: Sequence[str] = TOKEN_COLS, range_width: int = 1_000) -> DataFrame:
     """Each scope (a file) is one token stream however many rows it has.
 
     Offsets come from the two-phase prefix sum, so a file that is a third of the

@@ -28,7 +28,7 @@ from ..session import cut_lineage
 
 
 def running_offsets(df: DataFrame, scope: Sequence[str], order_col: str, size_col: str,
-                    out: str = "offset", range_width: int = 10_000,
+                    out: str = "offset", range_width: int = 1_000,
                     total_out: str | None = None) -> DataFrame:
     """Exclusive prefix sum of ``size_col`` within ``scope`` in ``order_col`` order
     (``order_col`` unique within a scope); optionally the scope total.
