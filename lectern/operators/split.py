@@ -14,19 +14,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import seeded_md5
+from ..session import cut_lineage
 from .prefix import hash_rank
 
 
 def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.1, seed: int = 42,
                 out: str = "split", small_guard: bool = True,
-                scope: Sequence[str] = ()) -> DataFrame:
+                scope: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """Label each row ``train`` or ``validation``.
 
     With ``scope`` each group (e.g. each book) is split on its own. With
     ``small_guard`` (G3) a table, or scope, of fewer than 2 rows is returned under
     both labels, as the reference's preprocessing does.
+
+    The split reads its input twice (bucket counts, then ranks). With
+    ``materialize`` the input is first written to the shared checkpoint folder,
+    so an expensive input (tokenized, packed blocks) is computed once.
     """
     keys = list(keys)
+    if materialize:
+        df = cut_lineage(df)
     ranked = hash_rank(df.withColumn("_h", seeded_md5(seed, *keys)), "_h", keys,
                        out="_r", count_out="_n", scope=scope, bounded_scope=not scope)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("_n")).cast("long")

@@ -39,7 +39,7 @@ def preprocess(lines: DataFrame, block_size: int = 1024, tokenizer: str = "white
     ln = lines.select("row_idx", F.trim(normalize_ws("text")).alias("text"))
     tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, [])
     blocks = pack_batch(tok, block_size, batch_rows, "row_idx")
-    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed)
+    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, materialize=True)
 
 
 def create_dataset(docs: DataFrame, block_size: int = 1024, tokenizer: str = "whitespace",
@@ -51,7 +51,8 @@ def create_dataset(docs: DataFrame, block_size: int = 1024, tokenizer: str = "wh
     tok, _ = _tokenized(d, ["doc_id"], tokenizer, vocab, [])
     blocks = pack_document(tok, block_size, "doc_id")
     scope = ["scope_id"] if per_document_split else []
-    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, scope=scope)
+    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, scope=scope,
+                       materialize=True)
 
 
 def create_dataset_from_lines(lines: DataFrame, block_size: int = 1024,
@@ -62,7 +63,7 @@ def create_dataset_from_lines(lines: DataFrame, block_size: int = 1024,
     ln = lines.select("doc_id", "row_idx", F.trim(normalize_ws("text")).alias("text"))
     tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, ["doc_id"])
     blocks = pack_file(tok, block_size, "doc_id", "row_idx")
-    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed)
+    return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, materialize=True)
 
 
 def run_preprocess(spark: SparkSession, input_path: str, output_dir: str, **kw) -> str:

@@ -44,7 +44,7 @@ def document_blocks(spark: SparkSession, sf: str, block_size: int = BLOCK) -> Da
 
 def split_blocks(spark: SparkSession, sf: str, block_size: int = BLOCK) -> DataFrame:
     return split_exact(document_blocks(spark, sf, block_size), ["scope_id", "block_id"],
-                       test_size=0.1, seed=SEED)
+                       test_size=0.1, seed=SEED, materialize=True)
 
 
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,7 +267,8 @@ def q_split_small(spark, sf):
     """Per-book split (each document's blocks on their own); books with one block
     land in both splits (G3)."""
     b = document_blocks(spark, sf)
-    return split_exact(b, ["scope_id", "block_id"], 0.1, SEED, scope=["scope_id"]).select(
+    return split_exact(b, ["scope_id", "block_id"], 0.1, SEED, scope=["scope_id"],
+                       materialize=True).select(
         "scope_id", "block_id", "split")
 
 
