@@ -56,13 +56,15 @@ def uniform01(seed: int, *cols: str) -> str:
 
 
 # documents -> cleaned text -> token rows -> vocabulary, as CTEs
-def corpus_ctes(source: str = "documents", clean_text: bool = True) -> str:
+def corpus_ctes(source: str = "documents", clean_text: bool = True,
+                token_expr: str | None = None) -> str:
     text = clean("text") if clean_text else "text"
+    tokens = token_expr or ws_tokens("text")
     return f"""
 cdocs AS (SELECT doc_id, lang, source, {text} AS text FROM {source}),
 toks AS (
   SELECT doc_id, lang, unnest(l) AS tok, generate_subscripts(l, 1) - 1 AS pos
-  FROM (SELECT doc_id, lang, {ws_tokens('text')} AS l FROM cdocs)),
+  FROM (SELECT doc_id, lang, {tokens} AS l FROM cdocs)),
 vcounts AS (SELECT tok, count(*) AS cnt FROM toks
             WHERE tok NOT IN ({q(UNK_TOKEN)}, {q(EOS_TOKEN)}) GROUP BY tok),
 vocab AS (SELECT tok, CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 1 AS BIGINT) AS id,

@@ -15,14 +15,21 @@ from ..functions.text import clean_text, normalize_ws
 from ..operators.pack import pack_batch, pack_document, pack_file
 from ..operators.prefix import dense_ordinal, running_offsets
 from ..operators.split import split_exact
-from ..operators.tokenize import fit_vocab, token_rows, tokenize, tokenize_bytes
+from ..operators.tokenize import fit_vocab, token_rows, tokenize, tokenize_bytes, tokenize_with
 from ..sources.files import read_lines, read_text_files
 from ..session import cut_lineage
 from ..sources.sinks import save_splits, save_table
 
 
-def _tokenized(df: DataFrame, keys: list[str], tokenizer: str, vocab: DataFrame | None,
+def _tokenized(df: DataFrame, keys: list[str], tokenizer, vocab: DataFrame | None,
                keep: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """L2: a tokenizer by name ('whitespace', 'words', 'bytes') or a callable
+    ``str -> list[int]`` applied to distinct whitespace pre-tokens."""
+    if callable(tokenizer):
+        out = tokenize_with(df, tokenizer, keys, "text")
+        if keep:
+            out = out.join(df.select(*keys, *keep), keys)
+        return out, None
     if tokenizer == "bytes":
         return tokenize_bytes(df, keys, "text", keep=keep), None
     if vocab is None:

@@ -54,12 +54,14 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def item_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item has a scan text and a PDF; items of 3,000 characters or more
+    also have a plain-text file."""
     c = catalog(spark, sf)
     i = F.col("identifier")
     files = F.array(
         F.struct(F.concat(i, F.lit("_djvu.txt")).alias("name"), F.lit("DjVuTXT").alias("format")),
-        F.when(F.col("lang") != "de", F.struct(F.concat(i, F.lit(".txt")).alias("name"),
-                                               F.lit("Text").alias("format"))),
+        F.when(F.col("n_chars") >= 3000, F.struct(F.concat(i, F.lit(".txt")).alias("name"),
+                                                  F.lit("Text").alias("format"))),
         F.struct(F.concat(i, F.lit(".pdf")).alias("name"), F.lit("Text PDF").alias("format")))
     return c.select("identifier", F.explode(F.filter(files, lambda x: x.isNotNull())).alias("f")) \
         .select("identifier", "f.name", "f.format")
@@ -88,7 +90,7 @@ catalog AS (SELECT 'item' || CAST(doc_id AS VARCHAR) AS identifier, source AS au
                      AS language, n_chars, doc_id, lang FROM documents),
 searchable AS (SELECT * FROM catalog WHERE mediatype = 'texts' AND language = 'English'),
 files AS (SELECT identifier, identifier || '_djvu.txt' AS name, 'DjVuTXT' AS format FROM catalog
-          UNION ALL SELECT identifier, identifier || '.txt', 'Text' FROM catalog WHERE lang <> 'de'
+          UNION ALL SELECT identifier, identifier || '.txt', 'Text' FROM catalog WHERE n_chars >= 3000
           UNION ALL SELECT identifier, identifier || '.pdf', 'Text PDF' FROM catalog),
 wk AS (SELECT DISTINCT author, title FROM works),
 best AS (SELECT author, title, arg_min(identifier, (-n_chars, doc_id)) AS identifier
@@ -156,6 +158,15 @@ def q_items_with_text(spark, sf):
     return cat.items_with_text(items, item_files(spark, sf), True)
 
 
+@register("items_without_text", "WITH " + CAT_SQL + """
+SELECT DISTINCT identifier FROM resolved r WHERE identifier IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM files f WHERE f.identifier = r.identifier AND f.format = 'Text')""")
+def q_items_without_text(spark, sf):
+    """D3 complement: resolved items that have no plain-text file (download fails)."""
+    items = resolved(spark, sf).where(F.col("identifier").isNotNull()).select("identifier").distinct()
+    return cat.items_with_text(items, item_files(spark, sf), False)
+
+
 @register("new_files_only", "WITH " + CAT_SQL + """,
 manifest AS (SELECT p.path FROM planned p JOIN catalog c USING (identifier)
              WHERE c.doc_id IN (SELECT doc_id FROM labels))

@@ -10,8 +10,8 @@ from ..operators.pack import pack_batch, pack_document, pack_file, pack_stats, t
 from ..operators.prefix import running_offsets
 from ..operators.schedule import batch_plan, step_events
 from ..operators.split import split_exact
-from ..operators.tokenize import (fit_vocab, special_tokens, token_rows, tokenize,
-                                  tokenize_bytes)
+from ..operators.tokenize import (WORDS_PATTERN, fit_vocab, special_tokens, token_rows,
+                                  tokenize, tokenize_bytes)
 from . import oracle as o
 from .inputs import WRAPPED_SQL, documents, wrapped_documents
 from .registry import register
@@ -176,6 +176,23 @@ def q_tokenize(spark, sf):
         F.aggregate("special_tokens_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("special_sum"))
 
 
+WORDS_SQL = "WITH " + o.corpus_ctes(token_expr="regexp_extract_all(text, " + o.q(WORDS_PATTERN) + ")") + """,
+per AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids,
+               CAST(count(*) AS BIGINT) AS n FROM tids GROUP BY doc_id)
+SELECT d.doc_id, coalesce(p.n, 0) AS n_tokens, coalesce(p.ids, '') AS input_ids
+FROM cdocs d LEFT JOIN per p USING (doc_id)"""
+
+
+@register("tokenize_words", WORDS_SQL)
+def q_tokenize_words(spark, sf):
+    """I2 with the word pre-tokenizer: letter runs, digit runs, single marks."""
+    docs = cleaned_documents(spark, sf)
+    v = fit_vocab(token_rows(docs, ["doc_id"], "text", scheme="words"))
+    t = tokenize(docs, v, ["doc_id"], "text", scheme="words")
+    return t.select("doc_id", F.size("input_ids").cast("long").alias("n_tokens"),
+                    ids_str("input_ids").alias("input_ids"))
+
+
 BYTES_SQL = """
 SELECT doc_id, CAST(len(b) AS BIGINT) AS n_tokens, CAST(coalesce(list_sum(b), 0) AS BIGINT) AS id_sum,
        md5(array_to_string(b, ' ')) AS ids_md5

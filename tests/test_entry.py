@@ -13,5 +13,5 @@ def test_entry_runs(spark):
 def test_registry_shape():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 40
+    assert len(q) >= 48
     assert set(q) == set(o)
