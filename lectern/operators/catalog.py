@@ -58,9 +58,13 @@ def resolve_works(works: DataFrame, catalog: DataFrame, order: Sequence[Column])
 
 
 def unresolved_works(works: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Works with no catalogue hit (the not-found report)."""
+    """Works with no catalogue hit (the not-found report).
+
+    The catalogue side is reduced to distinct keys first (a partial aggregate),
+    so a work with a huge number of catalogue rows ships one row per map task.
+    """
     return works.select(*WORK_KEYS).distinct().join(
-        searchable(catalog).select(*WORK_KEYS), list(WORK_KEYS), "left_anti")
+        searchable(catalog).select(*WORK_KEYS).distinct(), list(WORK_KEYS), "left_anti")
 
 
 def text_files(files: DataFrame) -> DataFrame:
@@ -69,8 +73,9 @@ def text_files(files: DataFrame) -> DataFrame:
 
 
 def items_with_text(items: DataFrame, files: DataFrame, with_text: bool = True) -> DataFrame:
-    """D3: items that have (or, with ``with_text=False``, lack) a plain-text file."""
-    return items.join(text_files(files).select("identifier"), "identifier",
+    """D3: items that have (or, with ``with_text=False``, lack) a plain-text file.
+    File identifiers are made distinct before the semi/anti join."""
+    return items.join(text_files(files).select("identifier").distinct(), "identifier",
                       "left_semi" if with_text else "left_anti")
 
 
@@ -85,7 +90,7 @@ def planned_downloads(resolved: DataFrame, files: DataFrame, root: str) -> DataF
 
 def new_files_only(planned: DataFrame, manifest: DataFrame) -> DataFrame:
     """Skip files already landed (``ignore_existing``): anti join on path."""
-    return planned.join(manifest.select("path"), "path", "left_anti")
+    return planned.join(manifest.select("path").distinct(), "path", "left_anti")
 
 
 def works_routable(works: DataFrame, id_col: str = "gutenberg_id") -> DataFrame:

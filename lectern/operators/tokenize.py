@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_CHARS
+from ..session import cut_lineage
 from .joins import lookup
 from .prefix import dense_ordinal
 
@@ -171,8 +172,10 @@ def tokenize_with(df: DataFrame, fn: Callable[[str], list[int]], keys: Sequence[
 
     keys = list(keys)
     rows = token_rows(df, keys, text_col, scheme)
-    codes = rows.select("tok").distinct().select("tok", _encode("tok").alias("codes"))
-    joined = rows.join(codes, "tok", "left")
+    # encoded once per distinct token and written out, so the Python function
+    # never runs twice for a token; then the size-checked, salted lookup
+    codes = cut_lineage(rows.select("tok").distinct().select("tok", _encode("tok").alias("codes")))
+    joined = lookup(rows, codes, ["tok"], "left", salt_cols=[*keys, "pos"])
     grouped = joined.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("pos", "codes"))).alias("_p"))
     ids = F.flatten(F.transform("_p", lambda x: x["codes"]))

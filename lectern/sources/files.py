@@ -76,9 +76,11 @@ def parse_works(df: DataFrame, json_col: str = "value") -> DataFrame:
         "author", F.col("w.title").alias("title"), F.col("w.gutenberg_id").alias("gutenberg_id"))
 
 
-def read_works(spark: SparkSession, path: str) -> DataFrame:
-    """A works file (one JSON document per line, or one per file)."""
-    raw = spark.read.text(path, wholetext=True)
+def read_works(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
+    """A works file. By default each file is one JSON document (the original
+    layout); with ``json_lines`` each line is a document, so a large works list
+    is read by many tasks."""
+    raw = spark.read.text(path, wholetext=not json_lines)
     return parse_works(raw, "value")
 
 
