@@ -21,11 +21,12 @@ def balanced(df: DataFrame, key: str) -> DataFrame:
     """Spread a table over the cluster when its scan has fewer splits than cores
     (one large row group, say). Hash by ``key`` so later groupings on ``key`` reuse
     the partitioning. A large input already has enough splits and is left as is."""
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(want, key) if have < want else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

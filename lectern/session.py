@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only read here. A folder of our own is made only when the setting is
     absent *and* the master is local (tests, the bench).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
