@@ -10,6 +10,7 @@ from ..operators import generate as gen
 from ..operators import lm
 from ..operators.split import split_exact
 from ..operators.tokenize import pretokens
+from ..session import cut_lineage
 from ..sources.sinks import metrics_report
 from . import oracle as o
 from .inputs import table
@@ -23,9 +24,11 @@ NEW_TOKENS = 20
 
 
 def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned documents with their whitespace tokens and a 10 % exact split."""
+    """Cleaned documents with their whitespace tokens and a 10 % exact split,
+    written once to the checkpoint folder: the fit and the evaluation both read
+    it, so the corpus is not cleaned again for each branch."""
     d = cleaned_documents(spark, sf).select("doc_id", pretokens("text").alias("toks"))
-    return split_exact(d, ["doc_id"], 0.1, SEED)
+    return cut_lineage(split_exact(d, ["doc_id"], 0.1, SEED))
 
 
 def fitted(spark: SparkSession, sf: str) -> tuple[lm.BigramModel, DataFrame]:
