@@ -103,7 +103,9 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
         words.alias("_toks")).withColumn("_n0", F.size("_toks"))
     if max_length is not None:
         state = state.withColumn("_limit", F.greatest(F.lit(max_length) - F.col("_n0"), F.lit(0)))
-        steps = max_length
+        # no prompt can grow more than max_length minus the shortest prompt
+        shortest = state.agg(F.min("_n0").alias("m")).first()["m"]
+        steps = max(0, max_length - (shortest or 0))
     else:
         state = state.withColumn("_limit", F.lit(max_new_tokens))
         steps = max_new_tokens
