@@ -94,3 +94,56 @@ def run_create_dataset(spark: SparkSession, input_path: str, output_dir: str, **
     save_table(ds.where(F.col("split") == "train").drop("split"), output_dir, "train_dataset")
     save_table(ds.where(F.col("split") == "validation").drop("split"), output_dir, "val_dataset")
     return output_dir
+
+
+def ids_as_tokens(blocks: DataFrame) -> DataFrame:
+    """Blocks' ``input_ids`` as token strings, the count model's input."""
+    return blocks.select("scope_id", "block_id", "split",
+                         F.transform("input_ids", lambda x: x.cast("string")).alias("toks"))
+
+
+def run_all(spark: SparkSession, input_path: str, output_dir: str, block_size: int = 1024,
+            lam: float = 0.5, prompts_path: str | None = None, max_length: int = 100,
+            num_return_sequences: int = 1, temperature: float = 0.7, top_k: int = 50,
+            top_p: float = 0.9, seed: int = 42) -> dict[str, str]:
+    """The reference's stage order as Spark jobs, stage outputs written as tables:
+    dataset (train / validation blocks) -> fitted count model -> evaluation
+    report -> generated samples for a prompts file (optional).
+
+    Generation works on the model's own tokens (vocabulary ids as strings); the
+    prompts are encoded with the fitted vocabulary first.
+    """
+    from ..operators import generate as gen
+    from ..operators import lm
+    from ..sources.files import read_prompts
+    from ..sources.sinks import metrics_report, write_text
+
+    out = output_dir.rstrip("/")
+    files = read_text_files(spark, input_path).select(F.xxhash64("path").alias("doc_id"), "text")
+    docs = files.select("doc_id", clean_text("text").alias("text"))
+    vocab = cut_lineage(fit_vocab(token_rows(docs, ["doc_id"], "text")))
+    ds = cut_lineage(create_dataset(docs, block_size, vocab=vocab, clean=False, seed=seed))
+    save_splits(ds, f"{out}/dataset")
+    save_table(vocab, out, "vocab")
+
+    toks = ids_as_tokens(ds)
+    model = lm.fit_bigram(toks.where(F.col("split") == "train"), "toks")
+    for name, t in (("bigram", model.bigram), ("context", model.context), ("unigram", model.unigram)):
+        save_table(t, f"{out}/model", name)
+    loss = lm.eval_loss(model, toks.where(F.col("split") == "validation"), "toks", lam)
+    report = metrics_report(loss, "eval_loss", {"eval_loss": "%s", "eval_tokens": "%d"},
+                            {"eval_tokens": "n_tokens"})
+    write_text(report.coalesce(1), f"{out}/eval_results", "line", order_by="line_no")
+    paths = {"dataset": f"{out}/dataset", "model": f"{out}/model", "report": f"{out}/eval_results"}
+
+    if prompts_path:
+        prompts = read_prompts(spark, prompts_path)
+        enc = tokenize(prompts.withColumnRenamed("prompt", "text"), vocab, ["prompt_id"], "text")
+        as_text = enc.select("prompt_id", F.array_join(
+            F.transform("input_ids", lambda x: x.cast("string")), " ").alias("prompt"))
+        samples = gen.generate(model, as_text, max_new_tokens=None, max_length=max_length,
+                               num_return_sequences=num_return_sequences, k=top_k, t=temperature,
+                               p=top_p, seed=seed)
+        save_table(samples, out, "samples")
+        paths["samples"] = f"{out}/samples"
+    return paths

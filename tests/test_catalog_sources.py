@@ -135,3 +135,22 @@ def test_read_lines_split_file(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(enumerate(lines))
+
+
+def test_run_all(spark):
+    d = fresh_dir()
+    src = os.path.join(d, "book.txt")
+    with open(src, "w") as f:
+        f.write("*** START OF THIS PROJECT GUTENBERG EBOOK X ***\n" +
+                " ".join(f"word{i % 37} and the {i % 11}" for i in range(4000)) +
+                "\nEnd of the Project Gutenberg EBook.\n")
+    pr = os.path.join(d, "prompts.txt")
+    with open(pr, "w") as f:
+        f.write("word1 and\n\n the 3\n")
+    paths = prepare.run_all(spark, src, os.path.join(d, "out"), block_size=64, prompts_path=pr,
+                            max_length=12, num_return_sequences=2)
+    report = [r.value for r in spark.read.text(paths["report"]).collect()]
+    assert report[0] == "Evaluation Results:" and report[-1].startswith("Perplexity: ")
+    samples = spark.read.parquet(paths["samples"]).collect()
+    assert len(samples) == 4 and all(len(r.generated_text.split()) == 12 for r in samples)
+    assert spark.read.parquet(paths["dataset"]).where("split = 'validation'").count() >= 1
