@@ -19,34 +19,34 @@ def fresh_dir():
 
 
 def test_works_json_and_routing(spark):
-    js = json.dumps({"Plato": [{"title": "Republic", "gutenberg_id": 1497},
-                               {"title": "Laws", "gutenberg_id": 0}],
+    js = json.dumps({"Aesop": [{"title": "Fables", "gutenberg_id": 1497},
+                               {"title": "Morals", "gutenberg_id": 0}],
                      "Homer": [{"title": "Iliad"}]})
     works = files.parse_works(spark.createDataFrame([(js,)], "value string"))
     rows = sorted((r.author, r.title, r.gutenberg_id) for r in works.collect())
-    assert rows == [("Homer", "Iliad", None), ("Plato", "Laws", 0), ("Plato", "Republic", 1497)]
+    assert rows == [("Aesop", "Fables", 1497), ("Aesop", "Morals", 0), ("Homer", "Iliad", None)]
     routable = {r.title: r.routable for r in cat.works_routable(works).collect()}
-    assert routable == {"Iliad": False, "Laws": False, "Republic": True}
+    assert routable == {"Iliad": False, "Morals": False, "Fables": True}
     with pytest.raises(Exception):
         files.parse_works(spark.createDataFrame([("{not json",)], "value string")).collect()
 
 
 def test_resolve_candidates_and_downloads(spark):
-    works = spark.createDataFrame([("Plato", "Republic"), ("Plato", "Missing"), ("Homer", "Iliad")],
+    works = spark.createDataFrame([("Aesop", "Fables"), ("Aesop", "Missing"), ("Homer", "Iliad")],
                                   "author string, title string")
-    rows = [("id%d" % i, "Plato", "Republic", "texts", "English", i) for i in range(8)]
+    rows = [("id%d" % i, "Aesop", "Fables", "texts", "English", i) for i in range(8)]
     rows += [("h1", "Homer", "Iliad", "texts", "Greek", 1), ("h2", "Homer", "Iliad", "audio", "English", 2)]
     catalog = spark.createDataFrame(rows, "identifier string, author string, title string, mediatype string, language string, rnk int")
     res = {r.title: r.identifier for r in cat.resolve_works(works, catalog, [F.col("rnk")]).collect()}
-    assert res == {"Republic": "id0", "Missing": None, "Iliad": None}
+    assert res == {"Fables": "id0", "Missing": None, "Iliad": None}
     cands = cat.candidate_items(works, catalog, [F.col("rnk")]).collect()
     assert sorted(r.identifier for r in cands) == ["id0", "id1", "id2", "id3", "id4"]
     assert sorted(r.title for r in cat.unresolved_works(works, catalog).collect()) == ["Iliad", "Missing"]
     fl = spark.createDataFrame([("id0", "a.txt", "Text"), ("id0", "a.pdf", "Text PDF")], "identifier string, name string, format string")
     resolved = cat.resolve_works(works, catalog, [F.col("rnk")])
     planned = cat.planned_downloads(resolved, fl, "root")
-    assert [r.path for r in planned.collect()] == ["root/Plato/id0/a.txt"]
-    manifest = spark.createDataFrame([("root/Plato/id0/a.txt",)], "path string")
+    assert [r.path for r in planned.collect()] == ["root/Aesop/id0/a.txt"]
+    manifest = spark.createDataFrame([("root/Aesop/id0/a.txt",)], "path string")
     assert cat.new_files_only(planned, manifest).count() == 0
     tally = {r.status: r.n for r in cat.fetch_tally(cat.fetch_status(resolved, fl)).collect()}
     assert tally == {"success": 1, "not_found": 2}

@@ -88,10 +88,10 @@ def test_strip_ws_and_lines(spark):
 
 
 def test_sanitize_and_paths(spark):
-    df = spark.createDataFrame([("Plato: Works?", "The Republic / Book 1 ")], "author string, title string")
+    df = spark.createDataFrame([("Aesop: Fables?", "The Fox / Grapes / Book 1 ")], "author string, title string")
     r = df.select(tx.sanitize_name("author").alias("a"),
                   tx.landing_path(F.lit("root"), "author", "title").alias("p"),
                   tx.archive_query("author", "title").alias("q")).first()
-    assert r.a == "Plato Works"
-    assert r.p == "root/Plato Works/The Republic  Book 1.txt"
-    assert r.q == 'creator:"Plato: Works?" AND title:"The Republic / Book 1 " AND mediatype:texts AND language:"English"'
+    assert r.a == "Aesop Fables"
+    assert r.p == "root/Aesop Fables/The Fox  Grapes  Book 1.txt"
+    assert r.q == 'creator:"Aesop: Fables?" AND title:"The Fox / Grapes / Book 1 " AND mediatype:texts AND language:"English"'
