@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
-from .joins import lookup
+from .joins import lookup, table_size
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
@@ -76,7 +76,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
              key: str = "prompt_id", max_new_tokens: int | None = 20,
              max_length: int | None = None, num_return_sequences: int = 1,
              k: int = 50, t: float = 1.0, p: float = 0.95, seed: int = 42,
-             checkpoint_every: int = 10) -> DataFrame:
+             checkpoint_every: int = 10, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """``prompt_id, seq_no, prompt, generated_text`` for a whole prompt table.
 
     ``max_length`` counts prompt plus new tokens (the reference's meaning);
@@ -94,7 +94,8 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
         b_lit = F.array(*[F.struct(F.lit(c["rank"]).alias("rank"), F.lit(c["tok"]).alias("tok"),
                                    F.lit(c["cdf"]).alias("cdf")) for c in b_rows[0]["cands"]])
     ctx = table.where(F.col("prev") != BACKOFF).withColumnRenamed("prev", "_last")
-    ctx_rows = ctx.count()
+    # rows are wide (up to k candidates each): measure rows and candidates
+    ctx_size = table_size(ctx, F.size("cands") + 1)
 
     words = F.filter(F.split(F.col(prompt_col), " "), lambda x: x != "")
     state = prompts.select(
@@ -116,7 +117,8 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
                           F.lit(BACKOFF))
         s = state.withColumn("_last", last)
         # prompts may pile onto one last token: size-checked, salted lookup
-        s = lookup(s, ctx, ["_last"], "left", small_rows=ctx_rows, salt_cols=[key, "seq_no"])
+        s = lookup(s, ctx, ["_last"], "left", small_size=ctx_size, salt_cols=[key, "seq_no"],
+                   broadcast_max_rows=broadcast_max_rows)
         u = uniform01(seed, key, "seq_no", F.lit(step))
         nxt = draw(F.coalesce(F.col("cands"), b_lit), u)
         grow = F.size("_new") < F.col("_limit")

@@ -2,7 +2,8 @@
 
 Used for token -> id, context -> count, token -> count and last token ->
 candidates. The lookup side's size is checked first; up to
-``broadcast_max_rows`` rows it is broadcast (the large side never shuffles).
+``broadcast_max_rows`` rows and ``broadcast_max_cells`` values it is broadcast
+(the large side never shuffles).
 Beyond that the join is shuffled, and because one key of the large side may
 hold a third of its rows, the large side is salted over ``salt`` sub-keys and
 the lookup side (one row per key) is replicated ``salt`` times, so a hot key is
@@ -13,25 +14,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_CELLS = 8_000_000
 SALT = 8
 
 
+def table_size(small: DataFrame, cells: Column | None = None) -> tuple[int, int]:
+    """``(rows, cells)`` of a lookup table in one small aggregate. ``cells`` is a
+    per-row value count for wide rows (e.g. ``size(array_col) + 1``); by default
+    a row counts as one cell."""
+    c = cells if cells is not None else F.lit(1)
+    r = small.agg(F.count(F.lit(1)).alias("n"), F.sum(c).alias("c")).first()
+    return int(r["n"] or 0), int(r["c"] or 0)
+
+
 def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
            salt: int = SALT, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-           small_rows: int | None = None, salt_cols: Sequence[str] | None = None) -> DataFrame:
+           small_rows: int | None = None, salt_cols: Sequence[str] | None = None,
+           small_size: tuple[int, int] | None = None,
+           broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> DataFrame:
     """``big`` joined to ``small`` on ``on``; ``small`` must be unique on ``on``.
 
-    ``small_rows`` skips the count when the caller already knows it;
-    ``salt_cols`` picks the large-side columns the salt is hashed from (default:
-    all of them).
+    The broadcast needs both the row count and the cell count (values, for wide
+    rows holding arrays) under their bounds. ``small_size`` / ``small_rows`` skip
+    the measuring aggregate when the caller already knows them; ``salt_cols``
+    picks the large-side columns the salt is hashed from (default: all of them).
     """
     on = list(on)
-    n = small.count() if small_rows is None else small_rows
-    if n <= broadcast_max_rows:
+    if small_size is not None:
+        n, cells = small_size
+    elif small_rows is not None:
+        n, cells = small_rows, small_rows
+    else:
+        n, cells = table_size(small)
+    if n <= broadcast_max_rows and cells <= broadcast_max_cells:
         return big.join(F.broadcast(small), on, how)
     if salt <= 1:
         return big.join(small, on, how)

@@ -83,6 +83,10 @@ def test_generation(spark, model):
              for r in gen.generate(m, prompts.repartition(3), max_new_tokens=12, num_return_sequences=3,
                                    k=50, t=0.7, p=0.9).collect()}
     assert again == {(r.prompt_id, r.seq_no): r.generated_text for r in rows}
+    salted = {(r.prompt_id, r.seq_no): r.generated_text
+              for r in gen.generate(m, prompts, max_new_tokens=12, num_return_sequences=3, k=50,
+                                    t=0.7, p=0.9, broadcast_max_rows=0).collect()}
+    assert salted == again                          # shuffled, salted lookup path
     capped = gen.generate(m, prompts, max_new_tokens=None, max_length=3, k=1).collect()
     assert {r.prompt_id: len(r.generated_text.split()) for r in capped} == {1: 3, 2: 3}
     blocks = {r.prompt_id: r.block for r in gen.render_samples(out).collect()}
