@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
-from .joins import lookup, table_size
+from .joins import lookup, string_cells, table_size
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
@@ -25,7 +25,8 @@ BACKOFF = ""   # context key of the unigram (back-off) distribution
 def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
     context, plus the unigram distribution under context ``''``."""
-    seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"]).select(
+    seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"],
+                  small_size=table_size(model.context, string_cells("prev"))).select(
         "prev", "tok", (F.col("c") / F.col("c_prev")).alias("p"))
     uni = model.unigram.select(F.lit(BACKOFF).alias("prev"), "tok",
                                (F.col("c_tok") / F.lit(float(model.n_tokens))).alias("p"))
@@ -95,7 +96,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
                                    F.lit(c["cdf"]).alias("cdf")) for c in b_rows[0]["cands"]])
     ctx = table.where(F.col("prev") != BACKOFF).withColumnRenamed("prev", "_last")
     # rows are wide (up to k candidates each): measure rows and candidates
-    ctx_size = table_size(ctx, F.size("cands") + 1)
+    ctx_size = table_size(ctx, string_cells("_last") + F.size("cands") * 2)
 
     words = F.filter(F.split(F.col(prompt_col), " "), lambda x: x != "")
     state = prompts.select(

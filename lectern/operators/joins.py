@@ -31,6 +31,11 @@ def table_size(small: DataFrame, cells: Column | None = None) -> tuple[int, int]
     return int(r["n"] or 0), int(r["c"] or 0)
 
 
+def string_cells(col: str) -> Column:
+    """Cell measure of a string key: one cell per started 16 bytes, plus one."""
+    return F.ceil(F.octet_length(col) / F.lit(16)) + 1
+
+
 def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
            salt: int = SALT, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
            small_rows: int | None = None, salt_cols: Sequence[str] | None = None,

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import lookup
+from .joins import lookup, string_cells, table_size
 
 
 def _c(c) -> Column:
@@ -81,8 +81,10 @@ def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> Da
     # (prev, tok) is unique on both sides: a plain shuffled join has no hot key.
     # The context and unigram lookups have hot keys on the validation side.
     j = val.join(model.bigram, ["prev", "tok"], "left")
-    j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"])
-    return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"])
+    j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"],
+               small_size=table_size(model.context, string_cells("prev")))
+    return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"],
+                  small_size=table_size(model.unigram, string_cells("tok")))
 
 
 def prob(model: BigramModel, lam) -> Column:

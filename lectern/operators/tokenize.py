@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CHARS
 from ..session import cut_lineage
-from .joins import lookup
+from .joins import lookup, string_cells, table_size
 from .prefix import dense_ordinal
 
 # ---------------------------------------------------------------------------
@@ -102,7 +102,7 @@ def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], salt: int
     """
     v = vocab.select(F.col("token").alias("tok"), "id")
     joined = lookup(rows, v, ["tok"], "left", salt=salt, broadcast_max_rows=broadcast_max_rows,
-                    salt_cols=[*keys, "pos"])
+                    salt_cols=[*keys, "pos"], small_size=table_size(v, string_cells("tok")))
     return joined.select(*keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
 
 
@@ -175,7 +175,8 @@ def tokenize_with(df: DataFrame, fn: Callable[[str], list[int]], keys: Sequence[
     # encoded once per distinct token and written out, so the Python function
     # never runs twice for a token; then the size-checked, salted lookup
     codes = cut_lineage(rows.select("tok").distinct().select("tok", _encode("tok").alias("codes")))
-    joined = lookup(rows, codes, ["tok"], "left", salt_cols=[*keys, "pos"])
+    size = table_size(codes, string_cells("tok") + F.size("codes"))
+    joined = lookup(rows, codes, ["tok"], "left", salt_cols=[*keys, "pos"], small_size=size)
     grouped = joined.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("pos", "codes"))).alias("_p"))
     ids = F.flatten(F.transform("_p", lambda x: x["codes"]))
