@@ -81,15 +81,20 @@ def _field(name: str):
 
 
 def token_offsets(df: DataFrame, block_rows: int = 1000, order_col: str = "row_idx",
-                  ids_col: str = "input_ids") -> DataFrame:
+                  ids_col: str = "input_ids", batch_col: str | None = None) -> DataFrame:
     """token offset of each row inside its batch of ``block_rows`` rows.
 
     Adds ``batch_id``, ``n_tokens``, ``offset`` and ``batch_tokens``. Windows hold
-    at most ``block_rows`` rows.
+    at most ``block_rows`` rows. ``batch_col`` names an existing column equal to
+    ``floor(order_col / block_rows)``: when the input is already partitioned by
+    it (see ``with_batches``), the windows need no further shuffle.
     """
+    if batch_col is None:
+        df = df.withColumn("batch_id", F.floor(F.col(order_col) / F.lit(block_rows)).cast("long"))
+    elif batch_col != "batch_id":
+        df = df.withColumnRenamed(batch_col, "batch_id")
     w = Window.partitionBy("batch_id").orderBy(order_col)
-    return (df.withColumn("batch_id", F.floor(F.col(order_col) / F.lit(block_rows)).cast("long"))
-            .withColumn("n_tokens", F.size(ids_col).cast("long"))
+    return (df.withColumn("n_tokens", F.size(ids_col).cast("long"))
             .withColumn("offset", F.coalesce(
                 F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                 .cast("long"))
@@ -97,12 +102,21 @@ def token_offsets(df: DataFrame, block_rows: int = 1000, order_col: str = "row_i
                         .cast("long")))
 
 
+def with_batches(rows: DataFrame, block_rows: int = 1000, order_col: str = "row_idx") -> DataFrame:
+    """Add ``batch_id`` and hash-partition rows by it, once, before tokenizing:
+    the per-row token regrouping (keys include ``batch_id``) and the batch
+    windows of ``token_offsets`` / ``pack_batch`` then reuse this partitioning."""
+    b = rows.withColumn("batch_id", F.floor(F.col(order_col) / F.lit(block_rows)).cast("long"))
+    return b.repartition("batch_id")
+
+
 def pack_batch(df: DataFrame, block_size: int, batch_rows: int = 1000,
-               order_col: str = "row_idx", cols: Sequence[str] = TOKEN_COLS) -> DataFrame:
+               order_col: str = "row_idx", cols: Sequence[str] = TOKEN_COLS,
+               batch_col: str | None = None) -> DataFrame:
     """I8: rows are concatenated inside consecutive batches of ``batch_rows`` rows
     (by ``order_col``), cut across row boundaries, remainder dropped per batch.
     ``scope_id`` is the batch number."""
-    off = token_offsets(df, batch_rows, order_col, cols[0])
+    off = token_offsets(df, batch_rows, order_col, cols[0], batch_col)
     blocks = cut_blocks(off, ["batch_id"], "offset", "batch_tokens", block_size, cols)
     return blocks.withColumnRenamed("batch_id", "scope_id")
 
