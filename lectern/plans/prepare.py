@@ -73,8 +73,10 @@ def create_dataset_from_lines(lines: DataFrame, block_size: int = 1024,
     return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, materialize=True)
 
 
-def run_preprocess(spark: SparkSession, input_path: str, output_dir: str, **kw) -> str:
-    """Read a text file (or folder), preprocess, write ``output_dir`` partitioned by split."""
+def run_preprocess(spark: SparkSession, input_path: str, output_dir: str,
+                   counts: dict | None = None, **kw) -> str:
+    """Read a text file (or folder), preprocess, write ``output_dir`` partitioned by
+    split. ``counts`` receives the rows per split, observed during the write."""
     lines = read_lines(spark, input_path)
     # number lines across files in (path, line_no) order
     files = lines.groupBy("path").agg(F.count(F.lit(1)).alias("_nl"))
@@ -82,17 +84,19 @@ def run_preprocess(spark: SparkSession, input_path: str, output_dir: str, **kw)
     first = running_offsets(files, [], "_fi", "_nl", out="_first")
     rows = lines.join(first.select("path", "_first"), "path").select(
         (F.col("_first") + F.col("line_no")).alias("row_idx"), "text")
-    return save_splits(preprocess(rows, **kw), output_dir)
+    return save_splits(preprocess(rows, **kw), output_dir, counts=counts)
 
 
-def run_create_dataset(spark: SparkSession, input_path: str, output_dir: str, **kw) -> str:
-    """Read whole files, build the dataset, write ``train`` and ``validation``."""
+def run_create_dataset(spark: SparkSession, input_path: str, output_dir: str,
+                       counts: dict | None = None, **kw) -> str:
+    """Read whole files, build the dataset, write ``train`` and ``validation``.
+    ``counts`` receives the rows written per dataset, observed during the writes."""
     files = read_text_files(spark, input_path).select(
         F.xxhash64("path").alias("doc_id"), "text")
     # one computation, written to the shared checkpoint folder, feeds both writes
     ds = cut_lineage(create_dataset(files, **kw))
-    save_table(ds.where(F.col("split") == "train").drop("split"), output_dir, "train_dataset")
-    save_table(ds.where(F.col("split") == "validation").drop("split"), output_dir, "val_dataset")
+    save_table(ds.where(F.col("split") == "train").drop("split"), output_dir, "train_dataset", counts)
+    save_table(ds.where(F.col("split") == "validation").drop("split"), output_dir, "val_dataset", counts)
     return output_dir
 
 

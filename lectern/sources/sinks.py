@@ -4,22 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import two_decimals
 
 
-def save_table(df: DataFrame, out_dir: str, name: str) -> str:
-    """A5: ``out_dir/name`` as Parquet, replacing an earlier run."""
+def save_table(df: DataFrame, out_dir: str, name: str, counts: dict | None = None) -> str:
+    """A5: ``out_dir/name`` as Parquet, replacing an earlier run. With ``counts``
+    (a dict) the written row count is added under ``name``, observed during the
+    write itself (E1: no second pass)."""
     path = f"{out_dir.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    obs = Observation(f"rows_{name}") if counts is not None else None
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
+    out.write.mode("overwrite").parquet(path)
+    if obs:
+        counts[name] = obs.get["rows"]
     return path
 
 
-def save_splits(df: DataFrame, out_dir: str, split_col: str = "split") -> str:
-    """One dataset, partitioned by split, so reading ``train`` prunes the rest."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(out_dir)
+def save_splits(df: DataFrame, out_dir: str, split_col: str = "split",
+                counts: dict | None = None) -> str:
+    """One dataset, partitioned by split, so reading ``train`` prunes the rest.
+    With ``counts`` the rows per split are observed during the write (E1)."""
+    obs = Observation("rows_by_split") if counts is not None else None
+    out = df
+    if obs:
+        out = df.observe(obs, F.sum(F.when(F.col(split_col) == "train", 1).otherwise(0)).alias("train"),
+                         F.sum(F.when(F.col(split_col) == "validation", 1).otherwise(0)).alias("validation"))
+    out.write.mode("overwrite").partitionBy(split_col).parquet(out_dir)
+    if obs:
+        counts.update({k: int(v or 0) for k, v in obs.get.items()})
     return out_dir
 
 

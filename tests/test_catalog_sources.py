@@ -85,14 +85,18 @@ def test_flows_round_trip(spark):
     with open(src, "w") as f:
         f.write("*** START OF THIS PROJECT GUTENBERG EBOOK X ***\n" + "This is a test sentence. " * 300 +
                 "\nEnd of the Project Gutenberg EBook.\n")
-    out = prepare.run_create_dataset(spark, src, os.path.join(d, "ds"), block_size=64)
+    counts = {}
+    out = prepare.run_create_dataset(spark, src, os.path.join(d, "ds"), counts=counts, block_size=64)
     tr = files.load_table(spark, os.path.join(out, "train_dataset"))
     va = files.load_table(spark, os.path.join(out, "val_dataset"))
     n = tr.count() + va.count()
+    assert counts == {"train_dataset": tr.count(), "val_dataset": va.count()}
     assert n == (1500 // 64) and va.count() == -(-n // 10)
     assert {"input_ids", "attention_mask", "labels"} <= set(tr.columns)
-    pp = prepare.run_preprocess(spark, src, os.path.join(d, "pp"), block_size=32)
+    pc = {}
+    pp = prepare.run_preprocess(spark, src, os.path.join(d, "pp"), counts=pc, block_size=32)
     back = spark.read.parquet(pp)
+    assert pc["train"] + pc["validation"] == back.count()
     assert back.where("split = 'validation'").count() >= 1
     assert all(len(r.input_ids) == 32 for r in back.collect())
 

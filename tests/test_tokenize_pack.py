@@ -6,7 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import docs_df
-from lectern.operators.pack import pack_batch, pack_document, pack_file, pack_stats, token_offsets
+from lectern.operators.pack import (pack_batch, pack_document, pack_file, pack_stats, token_offsets,
+                                   with_batches)
 from lectern.operators.tokenize import (EOS_ID, UNK_ID, fit_vocab, special_tokens, token_rows,
                                         tokenize, tokenize_bytes, tokenize_with)
 
@@ -94,6 +95,10 @@ def test_pack_batch_brute_force(spark):
                .withColumn("special_tokens_mask", F.transform("input_ids", lambda x: F.lit(0)))
         got = {(r.scope_id, r.block_id): r.input_ids for r in pack_batch(df, 16, 1000).collect()}
         assert got == brute_batches(rows, 16, 1000)
+        pre = with_batches(df, 1000)
+        same = {(r.scope_id, r.block_id): r.input_ids
+                for r in pack_batch(pre, 16, 1000, batch_col="batch_id").collect()}
+        assert same == got
 
 
 def test_pack_file_brute_force_and_repartition(spark):
