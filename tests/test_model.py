@@ -91,3 +91,6 @@ def test_generation(spark, model):
     assert {r.prompt_id: len(r.generated_text.split()) for r in capped} == {1: 3, 2: 3}
     blocks = {r.prompt_id: r.block for r in gen.render_samples(out).collect()}
     assert blocks[1].startswith("Prompt: c\nGenerated Text 1:\n") and "Generated Text 3:" in blocks[1]
+    assert blocks[1].count("Prompt: ") == 1
+    single = {r.prompt_id: r.block for r in gen.render_samples(out, per_prompt_header=False).collect()}
+    assert single[1].count("Prompt: c\nGenerated Text ") == 3 and single[1].endswith("\n\n")
