@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, normalize_ws
-from ..operators.pack import pack_batch, pack_document, pack_file
+from ..operators.pack import pack_batch, pack_document, pack_file, with_batches
 from ..operators.prefix import dense_ordinal, running_offsets
 from ..operators.split import split_exact
 from ..operators.tokenize import fit_vocab, token_rows, tokenize, tokenize_bytes, tokenize_with
@@ -39,13 +39,16 @@ def _tokenized(df: DataFrame, keys: list[str], tokenizer, vocab: DataFrame | Non
 
 def preprocess(lines: DataFrame, block_size: int = 1024, tokenizer: str = "whitespace",
                vocab: DataFrame | None = None, batch_rows: int = 1000, test_size: float = 0.1,
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, normalize: bool = True) -> DataFrame:
     """Lines ``row_idx, text`` -> blocks packed per batch of ``batch_rows`` lines ->
-    exact split. Each line is whitespace-normalised (the reference tokenizes raw
-    lines; its cleaned text is computed and then not used)."""
-    ln = lines.select("row_idx", F.trim(normalize_ws("text")).alias("text"))
-    tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, [])
-    blocks = pack_batch(tok, block_size, batch_rows, "row_idx")
+    exact split. With ``normalize`` each line is whitespace-normalised; without it
+    the raw lines are tokenized, as the reference does (its cleaned text is
+    computed and then not used). For the word tokenizers both give the same
+    tokens; for the byte tokenizer they differ."""
+    text = F.trim(normalize_ws("text")) if normalize else F.col("text")
+    ln = with_batches(lines.select("row_idx", text.alias("text")), batch_rows, "row_idx")
+    tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, ["batch_id"])
+    blocks = pack_batch(tok, block_size, batch_rows, "row_idx", batch_col="batch_id")
     return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, materialize=True)
 
 

@@ -158,3 +158,16 @@ def test_run_all(spark):
     samples = spark.read.parquet(paths["samples"]).collect()
     assert len(samples) == 4 and all(len(r.generated_text.split()) == 12 for r in samples)
     assert spark.read.parquet(paths["dataset"]).where("split = 'validation'").count() >= 1
+
+
+def test_preprocess_raw_bytes(spark):
+    lines = ["  a  b ", "", "héllo\tworld", "x" * 40] * 300
+    df = spark.createDataFrame(list(enumerate(lines)), "row_idx long, text string")
+    out = prepare.preprocess(df, block_size=32, tokenizer="bytes", normalize=False).collect()
+    want = {}
+    for b0 in range(0, len(lines), 1000):
+        stream = [x for t in lines[b0:b0 + 1000] for x in t.encode("utf-8")]
+        for j in range(0, len(stream) // 32 * 32, 32):
+            want[(b0 // 1000, j // 32)] = stream[j:j + 32]
+    assert {(r.scope_id, r.block_id): r.input_ids for r in out} == want
+    assert sum(r.split == "validation" for r in out) == -(-len(want) // 10)
