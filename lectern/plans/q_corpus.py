@@ -59,15 +59,14 @@ def document_lines(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("_first") + F.col("line_no")).cast("long").alias("row_idx"), "text")
 
 
-def tokenized_lines(spark: SparkSession, sf: str, by_batch: bool = False) -> DataFrame:
-    """Tokenized lines. ``by_batch`` adds ``batch_id`` (1,000-line batches) and
-    partitions by it before tokenizing, for the batch packers."""
-    lines = document_lines(spark, sf).withColumn("text", F.trim(tx.normalize_ws("text")))
+def tokenized_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokenized lines, partitioned by 1,000-line batch (``batch_id``) before
+    tokenizing: the same single shuffle the per-line token regrouping needs
+    anyway, but with batch-sized (never hot) keys, and the batch packers reuse it."""
+    lines = with_batches(document_lines(spark, sf), 1000, "row_idx").withColumn(
+        "text", F.trim(tx.normalize_ws("text")))
     vocab = fit_vocab(token_rows(lines, ["row_idx"], "text"))
-    keep = ["doc_id"]
-    if by_batch:
-        lines, keep = with_batches(lines, 1000, "row_idx"), ["batch_id", "doc_id"]
-    return tokenize(lines, vocab, ["row_idx"], "text", keep=keep)
+    return tokenize(lines, vocab, ["row_idx"], "text", keep=["batch_id", "doc_id"])
 
 
 # --------------------------------------------------------------------------- SQL
@@ -247,7 +246,7 @@ def q_pack_stats(spark, sf):
 SELECT doc_id, row_idx, CAST(batch_id AS BIGINT) AS batch_id, CAST(n AS BIGINT) AS n_tokens,
        CAST(off AS BIGINT) AS offset FROM lrows2""")
 def q_token_offsets(spark, sf):
-    t = token_offsets(tokenized_lines(spark, sf, by_batch=True), 1000, "row_idx",
+    t = token_offsets(tokenized_lines(spark, sf), 1000, "row_idx",
                       batch_col="batch_id")
     return t.select("doc_id", "row_idx", "batch_id", "n_tokens", "offset")
 
@@ -259,7 +258,7 @@ SELECT CAST(batch_id AS BIGINT) AS scope_id, CAST(gpos // {BLOCK} AS BIGINT) AS
        string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids
 FROM g WHERE gpos < (btot // {BLOCK}) * {BLOCK} GROUP BY ALL""")
 def q_pack_batch(spark, sf):
-    b = pack_batch(tokenized_lines(spark, sf, by_batch=True), BLOCK, 1000, "row_idx",
+    b = pack_batch(tokenized_lines(spark, sf), BLOCK, 1000, "row_idx",
                    batch_col="batch_id")
     return b.select("scope_id", "block_id", ids_str("input_ids").alias("input_ids"))
 
