@@ -28,7 +28,7 @@ def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     written once to the checkpoint folder: the fit and the evaluation both read
     it, so the corpus is not cleaned again for each branch."""
     d = cleaned_documents(spark, sf).select("doc_id", pretokens("text").alias("toks"))
-    return cut_lineage(split_exact(d, ["doc_id"], 0.1, SEED))
+    return cut_lineage(split_exact(d, ["doc_id"], 0.1, SEED, materialize=True))
 
 
 def fitted(spark: SparkSession, sf: str) -> tuple[lm.BigramModel, DataFrame]:

@@ -55,3 +55,13 @@ def test_batch_plan(spark):
     ev = step_events(batch_plan(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 1, 1), 100, 500, 500)
     got = sorted((r.step, r.event) for r in ev.collect())
     assert got[:2] == [(100, "log"), (200, "log")] and (500, "evaluate") in got and (1000, "save") in got
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3])
+def test_split_matches_brute_force(spark, digits):
+    import hashlib
+    n = 997
+    df = spark.range(n).withColumnRenamed("id", "k").repartition(5)
+    val = {r.k for r in split_exact(df, ["k"], 0.1, 42, digits=digits).where("split = 'validation'").collect()}
+    order = sorted(range(n), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    assert val == set(order[:math.ceil(0.1 * n)])
