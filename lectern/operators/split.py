@@ -53,9 +53,14 @@ def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.1, seed
     buckets = counts.select(*scope, "_hb", start.alias("_bo"), "_bn", n.alias("_n"))
     n_test = F.ceil(F.lit(float(test_size)) * F.col("_n")).cast("long")
     buckets = buckets.select(
-        *scope, "_hb", "_n", (n_test - F.col("_bo")).alias("_need"),
+        *scope, "_hb", "_n", "_bn", (n_test - F.col("_bo")).alias("_need"),
         F.when(F.col("_bo") + F.col("_bn") <= n_test, F.lit("validation"))
         .when(F.col("_bo") >= n_test, F.lit("train")).otherwise(F.lit("cross")).alias("_state"))
+    # the bucket table is an aggregate (at most 4,096 rows per scope value): written
+    # once, it gives the size of the straddling set without another pass
+    buckets = cut_lineage(buckets)
+    cross_rows = int(buckets.where(F.col("_state") == "cross").agg(F.sum("_bn")).first()[0] or 0)
+    buckets = buckets.drop("_bn")
 
     # 4,096 rows per scope value: a proven bound without a scope; with an
     # open-ended scope (one per document) the size is checked first
@@ -72,7 +77,8 @@ def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.1, seed
                                                F.lit("validation")).otherwise(F.lit("train"))
                          .alias("_cl"))
     # unique keys, no hot key: size-checked broadcast, else a plain join
-    keyed = lookup(labelled, cross, [*scope, *keys], "left", salt=1)
+    keyed = lookup(labelled, cross, [*scope, *keys], "left", salt=1,
+                   small_size=(cross_rows, cross_rows * (len(scope) + len(keys) + 1)))
     label = F.when(F.col("_state") == "cross", F.col("_cl")).otherwise(F.col("_state"))
     if small_guard:
         labels = F.when(F.col("_n") < 2, F.array(F.lit("train"), F.lit("validation"))).otherwise(
