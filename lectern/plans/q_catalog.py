@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import catalog as cat
-from ..sources.files import parse_works, prompt_table
+from ..sources.files import parse_works
 from . import oracle as o
 from .inputs import documents, table
 from .registry import register

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import split_lines, strip_ws, universal_newlines
+from ..functions.text import strip_ws, universal_newlines
 
 WORKS_SCHEMA = "map<string, array<struct<title: string, gutenberg_id: bigint>>>"
 
