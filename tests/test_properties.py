@@ -45,3 +45,19 @@ def test_words_scheme(spark):
     d = docs_df(spark, ["Hello, world! 42 times"])
     rows = token_rows(d, ["doc_id"], scheme="words").orderBy("pos").collect()
     assert [r.tok for r in rows] == ["Hello", ",", "world", "!", "42", "times"]
+
+
+def test_file_stream_equals_whole_document(spark):
+    """I10 over a file's lines gives the blocks I7 gives for the file's whole text."""
+    from lectern.functions.text import split_lines
+    from lectern.plans import prepare
+    texts = ["a b c\nd e\n\nf g h i j k\n" * 7, "one\ntwo three\n" * 11, "x"]
+    docs = docs_df(spark, texts)
+    vocab = fit_vocab(token_rows(docs, ["doc_id"]))
+    whole = prepare.create_dataset(docs, block_size=5, vocab=vocab, clean=True)
+    lines = docs.select("doc_id", F.posexplode(split_lines("text")).alias("line_no", "text")) \
+        .withColumn("row_idx", F.col("doc_id") * 1000 + F.col("line_no"))
+    streamed = prepare.create_dataset_from_lines(lines, block_size=5, vocab=vocab)
+    a = {(r.scope_id, r.block_id): (r.input_ids, r.split) for r in whole.collect()}
+    b = {(r.scope_id, r.block_id): (r.input_ids, r.split) for r in streamed.collect()}
+    assert a == b and len(a) > 10
