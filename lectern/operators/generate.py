@@ -87,16 +87,19 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     a number of plan steps fixed by the parameters, not by the data.
     """
     table = cut_lineage(sampling_table(model, k, t, p))
-    backoff = table.where(F.col("prev") == BACKOFF).select("cands")
-    # at most k entries: a proven bound, kept as a literal
-    b_rows = backoff.collect()
+    # one pass over the written table: the back-off list (at most k entries, a
+    # proven bound, kept as a literal) and the size of the context lookup
+    is_ctx = F.col("prev") != BACKOFF
+    stats = table.agg(
+        F.first(F.when(~is_ctx, F.col("cands")), ignorenulls=True).alias("b"),
+        F.count(F.when(is_ctx, F.lit(1))).alias("rows"),
+        F.sum(F.when(is_ctx, string_cells("prev") + F.size("cands") * 2)).alias("cells")).first()
     b_lit = F.lit(None).cast(table.schema["cands"].dataType)
-    if b_rows and b_rows[0]["cands"]:
+    if stats["b"]:
         b_lit = F.array(*[F.struct(F.lit(c["rank"]).alias("rank"), F.lit(c["tok"]).alias("tok"),
-                                   F.lit(c["cdf"]).alias("cdf")) for c in b_rows[0]["cands"]])
-    ctx = table.where(F.col("prev") != BACKOFF).withColumnRenamed("prev", "_last")
-    # rows are wide (up to k candidates each): measure rows and candidates
-    ctx_size = table_size(ctx, string_cells("_last") + F.size("cands") * 2)
+                                   F.lit(c["cdf"]).alias("cdf")) for c in stats["b"]])
+    ctx = table.where(is_ctx).withColumnRenamed("prev", "_last")
+    ctx_size = (int(stats["rows"] or 0), int(stats["cells"] or 0))
 
     words = F.filter(F.split(F.col(prompt_col), " "), lambda x: x != "")
     state = prompts.select(
