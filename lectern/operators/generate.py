@@ -26,7 +26,8 @@ def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
     context, plus the unigram distribution under context ``''``."""
     seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"],
-                  small_size=table_size(model.context, string_cells("prev"))).select(
+                  small_size=model.context_size or table_size(model.context,
+                                                              string_cells("prev"))).select(
         "prev", "tok", (F.col("c") / F.col("c_prev")).alias("p"))
     uni = model.unigram.select(F.lit(BACKOFF).alias("prev"), "tok",
                                (F.col("c_tok") / F.lit(float(model.n_tokens))).alias("p"))

@@ -55,6 +55,8 @@ class BigramModel:
     unigram: DataFrame     # tok, c_tok
     n_tokens: int          # N
     vocab_size: int        # V
+    context_size: tuple[int, int] | None = None   # (rows, cells) for lookups
+    unigram_size: tuple[int, int] | None = None
 
 
 def fit_bigram(train: DataFrame, tokens_col: str) -> BigramModel:
@@ -68,9 +70,13 @@ def fit_bigram(train: DataFrame, tokens_col: str) -> BigramModel:
     context = cut_lineage(bigram.groupBy("prev").agg(F.sum("c").alias("c_prev")))
     unigram = cut_lineage(train.select(F.explode(tokens_col).alias("tok")).groupBy("tok").agg(
         F.count(F.lit(1)).alias("c_tok")))
-    # two numbers, one small aggregate action
-    row = unigram.agg(F.sum("c_tok").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    return BigramModel(bigram, context, unigram, int(row["n"] or 0), int(row["v"] or 0))
+    # N and V, and the lookup sizes of the two keyed tables, in two small aggregates
+    row = unigram.agg(F.sum("c_tok").alias("n"), F.count(F.lit(1)).alias("v"),
+                      F.sum(string_cells("tok")).alias("cells")).first()
+    v = int(row["v"] or 0)
+    return BigramModel(bigram, context, unigram, int(row["n"] or 0), v,
+                       context_size=table_size(context, string_cells("prev")),
+                       unigram_size=(v, int(row["cells"] or 0)))
 
 
 def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> DataFrame:
@@ -82,9 +88,9 @@ def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> Da
     # The context and unigram lookups have hot keys on the validation side.
     j = val.join(model.bigram, ["prev", "tok"], "left")
     j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"],
-               small_size=table_size(model.context, string_cells("prev")))
+               small_size=model.context_size or table_size(model.context, string_cells("prev")))
     return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"],
-                  small_size=table_size(model.unigram, string_cells("tok")))
+                  small_size=model.unigram_size or table_size(model.unigram, string_cells("tok")))
 
 
 def prob(model: BigramModel, lam) -> Column:
