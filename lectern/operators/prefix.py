@@ -29,35 +29,44 @@ from ..session import cut_lineage
 
 def running_offsets(df: DataFrame, scope: Sequence[str], order_col: str, size_col: str,
                     out: str = "offset", range_width: int = 1_000,
-                    total_out: str | None = None) -> DataFrame:
+                    total_out: str | None = None, _level: int = 0) -> DataFrame:
     """Exclusive prefix sum of ``size_col`` within ``scope`` in ``order_col`` order
     (``order_col`` unique within a scope); optionally the scope total.
 
     Rows travel once, to the window of their (scope, key range): at most
-    ``range_width`` rows per window task, spillable. Computing offsets on a slim
-    projection and joining them back would read and re-derive the rows two more
-    times, which costs more than it saves.
+    ``range_width`` rows per window task, spillable. The prefix over the range
+    table is computed the same way one level up (ranges of ranges), so the only
+    window over a whole scope runs on rows / ``range_width``**2 rows. Scope
+    totals come from an aggregate, not a scope-wide window. (Computing offsets on
+    a slim projection and joining them back reads the input twice more and
+    measured slower.)
     """
     scope = list(scope)
-    rng = F.floor(F.col(order_col) / F.lit(range_width)).cast("long")
-    keyed = df.withColumn("_rng", rng)
-    sums = keyed.groupBy(*scope, "_rng").agg(F.sum(size_col).cast("long").alias("_rs"))
-    w_rng = (Window.partitionBy(*scope) if scope else Window.partitionBy()).orderBy("_rng")
-    rng_off = sums.select(
-        *scope, "_rng",
-        F.coalesce(F.sum("_rs").over(w_rng.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long").alias("_ro"),
-        *([F.sum("_rs").over(Window.partitionBy(*scope) if scope else Window.partitionBy())
-           .cast("long").alias(total_out)] if total_out else []),
-    )
-    # the range table grows with the data (rows / range_width): no forced broadcast,
-    # AQE broadcasts it at run time only if it is below the size threshold.
-    joined = keyed.join(rng_off, on=[*scope, "_rng"], how="inner")
-    w_in = Window.partitionBy(*scope, "_rng").orderBy(order_col).rowsBetween(
+    rng, rs, ro = f"_rng{_level}", f"_rs{_level}", f"_ro{_level}"   # distinct per level
+    keyed = df.withColumn(rng, F.floor(F.col(order_col) / F.lit(range_width)).cast("long"))
+    sums = keyed.groupBy(*scope, rng).agg(F.sum(size_col).cast("long").alias(rs))
+    if _level == 0:
+        rng_off = running_offsets(sums, scope, rng, rs, out=ro,
+                                  range_width=range_width, _level=1).drop(rs)
+    else:
+        w_rng = (Window.partitionBy(*scope) if scope else Window.partitionBy()).orderBy(rng)
+        rng_off = sums.select(*scope, rng, F.coalesce(F.sum(rs).over(
+            w_rng.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias(ro))
+    # the range table has rows / range_width rows: AQE broadcasts it when small
+    joined = keyed.join(rng_off, on=[*scope, rng], how="inner")
+    w_in = Window.partitionBy(*scope, rng).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, -1)
-    return joined.withColumn(
-        out, (F.col("_ro") + F.coalesce(F.sum(size_col).over(w_in), F.lit(0))).cast("long")
-    ).drop("_rng", "_ro")
+    res = joined.withColumn(
+        out, (F.col(ro) + F.coalesce(F.sum(size_col).over(w_in), F.lit(0))).cast("long")
+    ).drop(rng, ro)
+    if total_out:
+        if scope:
+            totals = sums.groupBy(*scope).agg(F.sum(rs).cast("long").alias(total_out))
+            res = res.join(totals, scope, "inner")
+        else:
+            total = sums.agg(F.sum(rs)).first()[0] or 0      # one number
+            res = res.withColumn(total_out, F.lit(int(total)).cast("long"))
+    return res
 
 
 def hash_rank(df: DataFrame, hash_col: str, keys: Sequence[str], out: str = "rank",

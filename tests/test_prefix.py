@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lectern.operators.prefix import dense_ordinal, hash_rank, running_offsets
@@ -25,12 +27,13 @@ def test_hash_rank_matches_sort(spark):
     assert got == {k: i for i, k in enumerate(order)}
 
 
-def test_running_offsets_hot_scope(spark):
+@pytest.mark.parametrize("width", [7, 97, 100_000])
+def test_running_offsets_hot_scope(spark, width):
     rnd = random.Random(2)
     rows = [(0 if rnd.random() < 0.7 else rnd.randint(1, 5), i, rnd.randint(0, 9)) for i in range(5000)]
     df = spark.createDataFrame(rows, "s long, o long, n long").repartition(6)
     got = {(r.s, r.o): (r.off, r.tot) for r in
-           running_offsets(df, ["s"], "o", "n", out="off", range_width=97, total_out="tot").collect()}
+           running_offsets(df, ["s"], "o", "n", out="off", range_width=width, total_out="tot").collect()}
     want, acc, tot = {}, {}, {}
     for s, o, n in rows:
         tot[s] = tot.get(s, 0) + n
@@ -38,3 +41,15 @@ def test_running_offsets_hot_scope(spark):
         want[(s, o)] = (acc.get(s, 0), tot[s])
         acc[s] = acc.get(s, 0) + n
     assert got == want
+
+
+def test_running_offsets_global(spark):
+    rows = [(i, (i * 7) % 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "o long, n long").repartition(4)
+    got = {r.o: (r.off, r.tot) for r in running_offsets(df, [], "o", "n", out="off", range_width=11,
+                                                          total_out="tot").collect()}
+    acc, want = 0, {}
+    for o, n in rows:
+        want[o] = (acc, sum(r[1] for r in rows))
+        acc += n
+    assert got == want
