@@ -17,7 +17,7 @@ def canon(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else f"{v:.9g}"
+        return "NaN" if math.isnan(v) else repr(v)
     return str(v)
 
 
