@@ -78,6 +78,10 @@ def planned(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- SQL
 
+def sanitize_sql(e: str) -> str:
+    return f"rtrim(regexp_replace({e}, '[^\\p{{L}}\\p{{N}} ._-]', '', 'g'), ' ')"
+
+
 CAT_SQL = f"""
 works AS (SELECT d.source AS author, d.lang || '-' || CAST(d.doc_id % 50 AS VARCHAR) AS title,
                  CAST(CASE WHEN l.quality = 1 THEN d.doc_id WHEN l.quality = 0 THEN 0 END AS BIGINT)
@@ -97,15 +101,11 @@ best AS (SELECT author, title, arg_min(identifier, (-n_chars, doc_id)) AS identi
          FROM searchable GROUP BY author, title),
 resolved AS (SELECT wk.author, wk.title, best.identifier FROM wk LEFT JOIN best USING (author, title)),
 planned AS (SELECT r.author, r.title, r.identifier, f.name,
-                   '{ROOT}/' || rtrim(regexp_replace(r.author, '[^\\p{{L}}\\p{{N}} ._-]', '', 'g'), ' ')
-                   || '/' || r.identifier || '/' || f.name AS path
+                   '{ROOT}/' || {sanitize_sql('r.author')} || '/' || r.identifier || '/' || f.name
+                   AS path
             FROM resolved r JOIN files f ON f.identifier = r.identifier AND f.format = 'Text')"""
 
 
-def sanitize_sql(e: str) -> str:
-    return f"rtrim(regexp_replace({e}, '[^\\p{{L}}\\p{{N}} ._-]', '', 'g'), ' ')"
-
-
 @register("works_flatten", """
 SELECT source AS author, lang || '-' || CAST(doc_id % 50 AS VARCHAR) AS title,
        CAST(doc_id AS BIGINT) AS gutenberg_id FROM documents""")
