@@ -22,6 +22,8 @@ WS_CHARS = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
 WS_CLASS = "[" + WS_CHARS + "]"
 # Characters a landing file name keeps besides letters and digits:
 NAME_EXTRA_CHARS = " ._-"
+# Catalogue search text for one work (author, title), no quote escaping:
+ARCHIVE_QUERY_FORMAT = 'creator:"%s" AND title:"%s" AND mediatype:texts AND language:"English"'
 # ---------------------------------------------------------------------------
 
 # Anchored at the start of the text: the unanchored form retries `.*` from every
@@ -100,9 +102,7 @@ def landing_path(root, author, title) -> Column:
 
 def archive_query(author, title) -> Column:
     """The catalogue search text (no quote escaping, as in the original)."""
-    return F.format_string(
-        'creator:"%s" AND title:"%s" AND mediatype:texts AND language:"English"',
-        _c(author), _c(title))
+    return F.format_string(ARCHIVE_QUERY_FORMAT, _c(author), _c(title))
 
 
 def two_decimals(x) -> Column:

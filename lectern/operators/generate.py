@@ -21,6 +21,12 @@ from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
 
+# ---------------------------------------------------------------------------
+# The generated-text file's labels.
+PROMPT_LINE = "Prompt: %s\n"
+SAMPLE_HEADER = "Generated Text %d:\n%s\n\n"
+# ---------------------------------------------------------------------------
+
 
 def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
@@ -143,12 +149,12 @@ def render_samples(samples: DataFrame, key: str = "prompt_id", per_prompt_header
     otherwise ``Prompt:`` repeats before every sequence (single-prompt layout).
     Groups hold ``num_return_sequences`` rows.
     """
-    entry = F.format_string("Generated Text %d:\n%s\n\n", F.col("seq_no"), F.col("generated_text"))
+    entry = F.format_string(SAMPLE_HEADER, F.col("seq_no"), F.col("generated_text"))
     if not per_prompt_header:
-        entry = F.concat(F.format_string("Prompt: %s\n", F.col("prompt")), entry)
+        entry = F.concat(F.format_string(PROMPT_LINE, F.col("prompt")), entry)
     g = samples.groupBy(key, "prompt").agg(
         F.sort_array(F.collect_list(F.struct("seq_no", entry.alias("e")))).alias("_es"))
     body = F.array_join(F.transform("_es", lambda x: x["e"]), "")
     if per_prompt_header:
-        body = F.concat(F.format_string("Prompt: %s\n", F.col("prompt")), body)
+        body = F.concat(F.format_string(PROMPT_LINE, F.col("prompt")), body)
     return g.select(key, body.alias("block"))

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import two_decimals
 
+# ---------------------------------------------------------------------------
+# The evaluation report's header and perplexity label.
+REPORT_HEADER = "Evaluation Results:"
+PERPLEXITY_LABEL = "Perplexity: "
+# ---------------------------------------------------------------------------
+
 
 def save_table(df: DataFrame, out_dir: str, name: str, counts: dict | None = None) -> str:
     """A5: ``out_dir/name`` as Parquet, replacing an earlier run. With ``counts``
@@ -45,13 +51,13 @@ def metrics_report(row: DataFrame, loss_col: str = "eval_loss",
     ``key: value`` line per metric, then ``Perplexity: %.2f`` (B13)."""
     formats = dict(formats or {loss_col: "%.6f"})
     sources = dict(sources or {})
-    lines = [F.struct(F.lit(1).alias("line_no"), F.lit("Evaluation Results:").alias("line"))]
+    lines = [F.struct(F.lit(1).alias("line_no"), F.lit(REPORT_HEADER).alias("line"))]
     for i, (key, fmt) in enumerate(formats.items()):
         col = F.col(sources.get(key, key))
         lines.append(F.struct(F.lit(i + 2).alias("line_no"),
                               F.concat(F.lit(f"{key}: "), F.format_string(fmt, col)).alias("line")))
     lines.append(F.struct(F.lit(len(formats) + 2).alias("line_no"),
-                          F.concat(F.lit("Perplexity: "), two_decimals(F.exp(loss_col))).alias("line")))
+                          F.concat(F.lit(PERPLEXITY_LABEL), two_decimals(F.exp(loss_col))).alias("line")))
     return row.select(F.explode(F.array(*lines)).alias("l")).select("l.*")
 
 
