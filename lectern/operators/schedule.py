@@ -17,16 +17,18 @@ from .prefix import hash_rank
 
 
 def batch_plan(df: DataFrame, keys: Sequence[str], epochs: int = 3, batch_size: int = 1,
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, digits: int = 3) -> DataFrame:
     """One row per (epoch, block). ``batch_id`` is the 0-based batch inside the epoch,
     ``step`` the 1-based global optimisation step (last partial batch kept).
 
-    Epochs are generated by ``explode(sequence)``: no cross join.
+    Epochs are generated by ``explode(sequence)``: no cross join. Every row needs
+    its full rank, ranked inside ``16**digits`` uniform hash buckets per epoch
+    (use 4 digits past ~10^10 blocks to keep each bucket window small).
     """
     keys = list(keys)
     ep = df.select(*keys).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     ranked = hash_rank(ep.withColumn("_h", seeded_md5(seed, "epoch", *keys)), "_h", keys,
-                       out="_r", scope=["epoch"], count_out="_n")
+                       out="_r", scope=["epoch"], digits=digits, count_out="_n")
     per_epoch = F.ceil(F.col("_n") / F.lit(batch_size)).cast("long")
     batch = F.floor(F.col("_r") / F.lit(batch_size)).cast("long")
     return ranked.select(

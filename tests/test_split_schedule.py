@@ -52,6 +52,8 @@ def test_batch_plan(spark):
     orders = [[r.k for r in sorted((r for r in plan if r.epoch == e), key=lambda r: (r.batch_id, r.k))]
               for e in range(3)]
     assert orders[0] != orders[1]                 # reshuffled each epoch
+    wide = batch_plan(df, ["k"], epochs=3, batch_size=4, digits=4).collect()
+    assert sorted(tuple(r) for r in wide) == sorted(tuple(r) for r in plan)   # same order
     ev = step_events(batch_plan(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 1, 1), 100, 500, 500)
     got = sorted((r.step, r.event) for r in ev.collect())
     assert got[:2] == [(100, "log"), (200, "log")] and (500, "evaluate") in got and (1000, "save") in got
