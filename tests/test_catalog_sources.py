@@ -171,3 +171,19 @@ def test_preprocess_raw_bytes(spark):
             want[(b0 // 1000, j // 32)] = stream[j:j + 32]
     assert {(r.scope_id, r.block_id): r.input_ids for r in out} == want
     assert sum(r.split == "validation" for r in out) == -(-len(want) // 10)
+
+
+def test_read_works_layouts(spark):
+    d = fresh_dir()
+    whole = os.path.join(d, "works.json")
+    with open(whole, "w") as f:
+        json.dump({"Aesop": [{"title": "Fables", "gutenberg_id": 7}],
+                   "Homer": [{"title": "Iliad"}, {"title": "Odyssey", "gutenberg_id": 0}]}, f, indent=2)
+    rows = sorted((r.author, r.title, r.gutenberg_id) for r in files.read_works(spark, whole).collect())
+    assert rows == [("Aesop", "Fables", 7), ("Homer", "Iliad", None), ("Homer", "Odyssey", 0)]
+    lines = os.path.join(d, "works.jsonl")
+    with open(lines, "w") as f:
+        f.write(json.dumps({"Aesop": [{"title": "Fables", "gutenberg_id": 7}]}) + "\n")
+        f.write(json.dumps({"Homer": [{"title": "Iliad"}]}) + "\n")
+    rows = sorted((r.author, r.title) for r in files.read_works(spark, lines, json_lines=True).collect())
+    assert rows == [("Aesop", "Fables"), ("Homer", "Iliad")]
