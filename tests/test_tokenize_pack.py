@@ -127,3 +127,15 @@ def test_offsets_and_stats(spark):
     assert o == {0: 0, 1: 2, 2: 2}
     st = pack_stats(df.withColumn("s", F.lit(1)), 2, "s").first()
     assert (st.n_tokens, st.usable_tokens, st.n_blocks, st.dropped_tokens) == (5, 4, 2, 1)
+
+
+def test_flow_with_callable_tokenizer_and_pad(spark):
+    from lectern.plans import prepare
+    docs = docs_df(spark, ["ab cd " * 20, "x"])
+    ds = prepare.create_dataset(docs, block_size=8, tokenizer=lambda s: [len(s), ord(s[0])])
+    rows = ds.collect()
+    assert len(rows) == (20 * 2 * 2) // 8 and all(len(r.input_ids) == 8 for r in rows)
+    assert rows[0].input_ids[:4] in ([2, 97, 2, 99], [2, 99, 2, 97])
+    v = fit_vocab(token_rows(docs, ["doc_id"]))
+    sp = {r.name: r.id for r in special_tokens(v, pad_token="<unk>").collect()}
+    assert sp["pad"] == UNK_ID
