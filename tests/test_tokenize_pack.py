@@ -3,6 +3,7 @@ force over random rows for the batch and file packers."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import docs_df
@@ -85,7 +86,8 @@ def brute_batches(rows, bs, batch_rows):
     return out
 
 
-def test_pack_batch_brute_force(spark):
+@pytest.mark.parametrize("bs", [1, 16, 5000])
+def test_pack_batch_brute_force(spark, bs):
     rnd = random.Random(3)
     for n_rows in (999, 1000, 1001, 2500):
         rows = {i: [rnd.randint(2, 50) for _ in range(rnd.choice([0, 0, 1, 3, 7, 40]))]
@@ -93,11 +95,11 @@ def test_pack_batch_brute_force(spark):
         df = spark.createDataFrame([(i, ids) for i, ids in rows.items()], "row_idx bigint, input_ids array<int>")
         df = df.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1))) \
                .withColumn("special_tokens_mask", F.transform("input_ids", lambda x: F.lit(0)))
-        got = {(r.scope_id, r.block_id): r.input_ids for r in pack_batch(df, 16, 1000).collect()}
-        assert got == brute_batches(rows, 16, 1000)
+        got = {(r.scope_id, r.block_id): r.input_ids for r in pack_batch(df, bs, 1000).collect()}
+        assert got == brute_batches(rows, bs, 1000)
         pre = with_batches(df, 1000)
         same = {(r.scope_id, r.block_id): r.input_ids
-                for r in pack_batch(pre, 16, 1000, batch_col="batch_id").collect()}
+                for r in pack_batch(pre, bs, 1000, batch_col="batch_id").collect()}
         assert same == got
 
 
