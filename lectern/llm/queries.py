@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sql, url_filter
+from . import decontaminate, sql, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,10 @@ def query(name: str, oracle: str | None = None):
 @query("op1_url_filter", sql.URL_FILTER)
 def op1_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op5_decontaminate", sql.DECONTAMINATE)
+def op5_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return decontaminate.digest(found)

@@ -27,3 +27,25 @@ SELECT page_id, host, path, rule, coalesce(rverdict, gverdict, 'allow') AS verdi
        CASE WHEN rule IS NULL THEN pattern END AS pattern
 FROM k LEFT JOIN fit USING (k) LEFT JOIN own USING (k)
 """
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATE = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}') AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)),
+places AS (
+  SELECT k, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM win))),
+hits AS (SELECT k, places.n, p, item FROM places JOIN win USING (n, g)),
+pos AS (SELECT k, count(DISTINCT q) AS n_hit FROM (SELECT k, unnest(range(p, p + n)) AS q FROM hits) GROUP BY k),
+its AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+        FROM (SELECT DISTINCT k, item FROM hits) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
+"""
