@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, sql, url_filter
+from . import decontaminate, quality, sql, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,9 @@ def op5_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
     return decontaminate.digest(found)
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
