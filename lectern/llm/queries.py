@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, quality, sql, url_filter
+from . import decontaminate, ngram_join, packing, quality, sql, staging, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,10 @@ def op10_packing(spark, sf_dir):
 @query("op2_ngram_join")
 def op2_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc", sql.WARC)
+def op4_warc(spark, sf_dir):
+    path = staging.new_path(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.listing(spark, path)

@@ -49,3 +49,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
 """
+
+_LETTERS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, {a}, 5) AS BIGINT) >> {s}) & 31 AS BIGINT) + 1, 1)"
+    for a in range(1, 41, 5) for s in (15, 10, 5, 0))
+
+WARC = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT b, min(page_id) AS first_id FROM p GROUP BY b)
+SELECT page_id, CAST(octet_length(p.b) AS BIGINT) AS payload_bytes, {_LETTERS} AS payload_digest,
+       CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p JOIN g ON p.b = g.b
+"""

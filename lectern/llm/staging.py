@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -12,11 +12,16 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_ROWS = 2_000_000
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet into the session's shared checkpoint folder and read
     again: cuts lineage, keeps column pruning, survives lost executors."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = new_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
