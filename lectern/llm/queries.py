@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, quality, sql, staging, url_filter, warc
+from . import decontaminate, license_scan, ngram_join, packing, quality, sql, staging, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,9 @@ def op4_warc(spark, sf_dir):
     path = staging.new_path(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.listing(spark, path)
+
+
+@query("op7_license_scan", sql.license_scan(license_scan.BASE, license_scan.NOTICES, license_scan.K, license_scan.GAP,
+                                            license_scan.LEAST_COVER, license_scan.MOST_STRETCH))
+def op7_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))

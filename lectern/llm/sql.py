@@ -62,3 +62,40 @@ SELECT page_id, CAST(octet_length(p.b) AS BIGINT) AS payload_bytes, {_LETTERS} A
        CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM p JOIN g ON p.b = g.b
 """
+
+
+def license_scan(base, notices, k, gap, least_cover, most_stretch) -> str:
+    rows = ", ".join(f"({i}, '{t}', '{label}', {i < len(base)})" for i, (t, label) in enumerate([*base, *notices]))
+    gram = " || ' ' || ".join(f"w[p + {j}]" for j in range(k))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}') AS w FROM documents),
+t AS (SELECT t, string_split(txt, ' ') AS w, label, is_base FROM (VALUES {rows}) v(t, txt, label, is_base)),
+dg AS (SELECT d, p - 1 AS p, {gram} AS g FROM (SELECT d, w, unnest(range(1, len(w) - {k} + 2)) AS p FROM d)),
+tg AS (SELECT t, len(w) AS n, label, is_base, p - 1 AS q, {gram} AS g
+       FROM (SELECT t, w, label, is_base, unnest(range(1, len(w) - {k} + 2)) AS p FROM t)),
+hit AS (SELECT d, t, n, label, is_base, p - q AS diag, q FROM dg JOIN tg USING (g)),
+vote AS (SELECT d, t, n, label, is_base, diag, count(*) AS votes, min(q + diag) AS lo, max(q + diag) + {k} AS hi FROM hit GROUP BY ALL),
+step AS (SELECT *, CASE WHEN diag - lag(diag) OVER (PARTITION BY d, t ORDER BY diag) > {gap} THEN 1 ELSE 0 END AS new FROM vote),
+span AS (SELECT *, sum(new) OVER (PARTITION BY d, t ORDER BY diag) AS s FROM step),
+covered AS (
+  SELECT d, t, s, count(DISTINCT c) AS c FROM (
+    SELECT h.d, h.t, s, unnest(range(q, q + {k})) AS c FROM hit h JOIN span USING (d, t, diag)) GROUP BY ALL),
+merged AS (
+  SELECT d, t, s, any_value(n) AS n, any_value(label) AS label, any_value(is_base) AS is_base, min(lo) AS lo, max(hi) AS hi,
+         count(*) FILTER (is_base AND votes = n - {k} + 1) AS places,
+         min(diag) FILTER (is_base AND votes = n - {k} + 1) AS first_word,
+         max(diag) FILTER (is_base AND votes = n - {k} + 1) AS last_word
+  FROM span GROUP BY d, t, s),
+judged AS (
+  SELECT *, CASE WHEN hi - lo <= {most_stretch} * n THEN c / n END AS cover FROM merged JOIN covered USING (d, t, s)),
+per AS (
+  SELECT d, sum(places) AS n_base, min(first_word) AS first_word, max(last_word) AS last_word, max(cover) AS score,
+    list_sort(list_distinct(list(label) FILTER (is_base AND places > 0))) AS bl,
+    list_sort(list_distinct(list(label) FILTER ((is_base AND places > 0) OR (NOT is_base AND cover >= {least_cover})))) AS al
+  FROM judged GROUP BY d)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(array_to_string(bl, ','), '') AS base_labels, coalesce(array_to_string(al, ','), '') AS labels,
+       coalesce(score, 0.0) AS score
+FROM d LEFT JOIN per USING (d)
+"""
