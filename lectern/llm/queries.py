@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, ngram_join, packing, quality, sql, staging, url_filter, warc
+from . import decontaminate, gru_lm, license_scan, ngram_join, packing, quality, sql, staging, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op4_warc(spark, sf_dir):
                                             license_scan.LEAST_COVER, license_scan.MOST_STRETCH))
 def op7_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_gru_lm")
+def op8_gru_lm(spark, sf_dir):
+    return gru_lm.score(table(spark, sf_dir, "documents"))
