@@ -21,9 +21,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,22 +40,46 @@ SIZE = 4096
 END_ID = 2
 OPEN_WINDOWS = 8
 FAN_IN = 16
-CACHE_WORDS = 400_000
+CACHE_PIECES = 800_000
+#: Characters that the tokenizer's normaliser only lower-cases, without white space.
+PLAIN = [(0x21, 0x7E), (0xA1, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20BF)]
 
-_SPLIT = str.maketrans("\n", " ")
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "open", "ids"]
 
 
+def _plain_pattern():
+    """The tokenizer's pre-token pattern for plain characters: letters, one digit,
+    contractions, other runs. A contraction starts with an apostrophe, so trying letters
+    first changes nothing."""
+    plain = [chr(c) for a, b in PLAIN for c in range(a, b + 1)]
+    kind = lambda k: "".join(c for c in plain if unicodedata.category(c)[0] == k)
+    letters, digits = kind("L"), kind("N")
+    cut = re.compile(f"[{letters}]+|[{digits}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{letters}{digits}]+")
+    return cut.findall, re.compile("[\\t\\n\\r " + "".join(f"{chr(a)}-{chr(b)}" for a, b in PLAIN) + "]*").fullmatch
+
+
 class WordIds:
-    """Little-endian 32-bit ids of texts, by a cache of word ids."""
+    """Little-endian 32-bit ids of texts, by a cache of pre-token ids.
 
+    Texts of plain characters (Latin letters and common punctuation, which the
+    normaliser only lower-cases) are cut into pre-tokens by the tokenizer's own pattern,
+    and only unseen ones are encoded; words with other characters are encoded whole. New
+    strings are encoded many at a time, as one text with a mark between them: the
+    mark is one id of its own, so the ids are cut at it. Strings that hold the mark's
+    character are encoded alone. The cache is emptied when full."""
+
+    MARK = "\x01"
+    TOGETHER = 500
     _loaded: dict[str, WordIds] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.cut, self.plain = _plain_pattern()
 
     @classmethod
     def at(cls, path: str) -> WordIds:
@@ -61,20 +88,40 @@ class WordIds:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        alone = [w for w in words if self.mark is None or self.MARK in w]
+        for w, ids in zip(alone, self._ids(alone)):
+            self.known[w] = ids.tobytes()
+        if alone:
+            words = [w for w in words if w not in self.known]
+        for at in range(0, len(words), 40 * self.TOGETHER):
+            parts = [words[i:i + self.TOGETHER] for i in range(at, min(len(words), at + 40 * self.TOGETHER), self.TOGETHER)]
+            for part, ids in zip(parts, self._ids([f" {self.MARK} ".join(p) for p in parts])):
+                cut = (4 * np.flatnonzero(ids == self.mark)).tolist()
+                raw = ids.tobytes()
+                for w, x, y in zip(part, [0, *(c + 4 for c in cut)], [*cut, len(raw)], strict=True):
+                    self.known[w] = raw[x:y]
+
+    def pieces(self, text: str) -> list[str]:
+        """Lower-case pre-tokens of a plain text; of another, its plain words' and its other
+        words whole. Joining the pieces' ids gives the text's."""
+        if self.plain(text):
+            return self.cut(text.lower())
+        return [p for w in text.replace("\n", " ").split(" ") if w
+                for p in (self.cut(w.lower()) if self.plain(w) else (w,))]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").translate(_SPLIT).split(" ") for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {"": b""}
-            new = set().union(*words) - {""}
-        if new:
-            new = list(new)
-            for at in range(0, len(new), 50_000):
-                part = new[at:at + 50_000]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    self.known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        known = self.known
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        pieces = [self.pieces(t or "") for t in texts]
+        new = set().union(*pieces).difference(self.known)
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known = {}
+            new = set().union(*pieces)
+        self.learn(list(new))
+        find = self.known.__getitem__
+        return [b"".join(map(find, p)) for p in pieces]
 
 
 class Packer:
