@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru_lm, license_scan, ngram_join, packing, quality, sql, staging, url_filter, warc
+from . import decontaminate, gru_lm, license_scan, ngram_join, packing, pii, quality, sql, staging, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,9 @@ def op7_license_scan(spark, sf_dir):
 @query("op8_gru_lm")
 def op8_gru_lm(spark, sf_dir):
     return gru_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pii")
+def op9_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
