@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru_lm, license_scan, ngram_join, packing, pii, quality, sql, staging, url_filter, warc
+from . import decontaminate, gru_lm, license_scan, ngram_join, packing, pii, quality, sql, staging, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,11 @@ def op8_gru_lm(spark, sf_dir):
 def op9_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.train(docs))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    path = tokenizer_path()
+    state = token_counts.build(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    edited = token_counts.apply_edits(token_counts.cleaning_edits(state), path, keep_text=False)
+    return edited.select("doc_id", "n_edits", "n_tokens_before", "n_tokens", "n_encoded")
