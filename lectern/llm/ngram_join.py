@@ -3,10 +3,11 @@
 A document is its set of distinct word shingles. All sets share one order of
 shingles, rarest first. Two sets of ``n`` and ``m`` shingles that link share at least
 ``o = ceil(t / (1 + t) * (n + m))`` of them, so for any ``l`` up to that, the first
-``n - o + l`` and ``m - o + l`` shingles share at least ``l``. Each document picks its own
-``l``: longer prefixes cost more postings but ask for more shared prefix shingles before a
-pair is verified, so ``l`` minimises postings plus verifications, estimated from the
-frequencies of its own prefix. A pair is judged at the smaller ``l`` of the two.
+``n - o + l`` and ``m - o + l`` shingles share at least ``l``. Pairs meet through one shared
+shingle of their prefixes for ``l = 1``. Each document then lengthens its prefix to its own
+``l``: a longer prefix costs more to compare but asks for more shared shingles before a
+pair is verified on whole sets, so ``l`` minimises both costs, estimated from the
+frequencies in the prefix. A pair is judged at the smaller ``l`` of the two.
 
 Steps:
 
@@ -16,15 +17,16 @@ Steps:
 2. One pass writes the prefix shingles of each distinct signature; equal sets never
    meet as pairs. Shingles of one signature alone are dropped.
 3. Within each prefix shingle the set where it ranks first is a pivot. Pivot pairs
-   are verified on whole sets, and links give first components.
-4. Pairs of one shingle in different components are counted; those with ``l`` or more
-   shared prefix shingles are verified, and final components follow. Pairs that are
-   connected already cannot change a component, so no pair is lost for the result.
+   are checked on their longer prefixes, then verified on whole sets, and links give
+   first components.
+4. Pairs that meet in a shingle but lie in different components are checked and verified
+   alike, and final components follow. Pairs that are connected already cannot
+   change a component, so no pair is lost for the result.
 
-Scale: shuffles carry prefix hashes (about (1 - t) of the shingles), never texts or
-whole sets; whole sets travel only for pairs to verify. Shingle groups above ``block``
-rows are split into pairs of blocks over many tasks. Sets are compared by 64-bit
-shingle hashes and identified by 64-bit signatures.
+Scale: shuffles carry prefix hashes (about (1 - t) of the shingles), never texts; whole
+sets travel only for pairs to verify. Shingle groups above ``block`` rows are split
+into pairs of blocks over many tasks. Sets are compared by 64-bit shingle hashes and
+identified by 64-bit signatures.
 
 Defined cases: null, empty or wordless texts have no shingles and link with
 nothing; fewer than ``k`` words are one shingle; equal sets link; repeated rows are in
@@ -156,58 +158,67 @@ def choose_matches(weight: np.ndarray, base: int, most: int) -> int:
     return int(np.argmin(posting * (1 + VERIFY_COST / l)) + 1)
 
 
-def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(token, sig, n, matches, place): the prefix shingles of each signature (copies
-    in different tasks may repeat)."""
-    noise = float(np.median(counts))
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-    cut = noise + 3 * noise ** 0.5 + 1
-
+class Order:
+    """The common order of shingles, by the summed bucket counts."""
+
+    def __init__(self, counts: np.ndarray, percent: int):
+        self.counts, self.percent, self.mask = counts, percent, np.uint64(len(counts) - 1)
+        noise = float(np.median(counts))
+        self.floor = noise + 3 * noise ** 0.5 + 1      # what a bucket holds without a frequent shingle
+
+    def first(self, s: np.ndarray, more: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The prefix of set ``s`` for one shared shingle, and ``more`` of the next, with
+        the counts of their buckets."""
+        n = len(s)
+        take = min(n, n - -(-self.percent * n // 100) + 1 + more)
+        df = self.counts[(s & self.mask).astype(np.int64)]
+        near = np.flatnonzero(df <= np.partition(df, take - 1)[take - 1]) if take < n else np.arange(n)
+        order = near[np.argsort(df[near], kind="stable")][:take]       # ties: smallest hash, as s is sorted
+        return s[order], df[order]
+
+    def adaptive(self, s: np.ndarray) -> tuple[np.ndarray, int]:
+        """The lengthened prefix of ``s`` and the number of shared shingles it asks for."""
+        most = min(MOST_MATCHES, max(1, len(s) // 4))
+        prefix, df = self.first(s, most - 1)
+        base = len(prefix) - most + 1
+        l = choose_matches(np.maximum(df - self.floor, 0.0), base, most)
+        return prefix[:base + l - 1], l
+
+
+def prefixes(docs: DataFrame, order, k: int) -> DataFrame:
+    """(token, sig, n, place): the prefix shingles of each signature (copies in
+    different tasks may repeat)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
-        mask = np.uint64(len(counts) - 1)
+        seen = set()
         for batch in batches:
             for b in chunks(batch, "text"):
                 out = []
                 for s in shingle_sets(b.column("text"), k):
-                    n = len(s)
-                    if not n or (sig := signature(s)) in seen:
-                        continue
-                    seen.add(sig)
-                    df = counts[(s & mask).astype(np.int64)]
-                    base, most = n + (-percent * n // 100) + 1, min(MOST_MATCHES, max(1, n // 4))
-                    take = base + most - 1
-                    if take < n:
-                        near = np.flatnonzero(df <= np.partition(df, take - 1)[take - 1])
-                        order = near[np.argsort(df[near], kind="stable")][:take]    # ties: smallest hash, as s is sorted
-                    else:
-                        order = np.argsort(df, kind="stable")
-                    l = choose_matches(np.maximum(df[order] - cut, 0.0), base, most)
-                    order = order[:base + l - 1]
-                    out.append((s[order].view(np.int64), sig, n, l))
+                    if len(s) and (sig := signature(s)) not in seen:
+                        seen.add(sig)
+                        out.append((order.value.first(s)[0].view(np.int64), sig, len(s)))
                 if out:
                     size = [len(o[0]) for o in out]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate([o[0] for o in out])),
-                         *(pa.array(np.repeat(np.array([o[j] for o in out], np.int64), size)) for j in (1, 2, 3)),
+                         *(pa.array(np.repeat(np.array([o[j] for o in out], np.int64), size)) for j in (1, 2)),
                          pa.array(np.concatenate([np.arange(z) for z in size]))],
-                        names=["token", "sig", "n", "matches", "place"])
+                        names=["token", "sig", "n", "place"])
 
-    return docs.select("text").mapInArrow(run, "token bigint, sig bigint, n bigint, matches bigint, place bigint")
+    return docs.select("text").mapInArrow(run, "token bigint, sig bigint, n bigint, place bigint")
 
 
-def _may_link(a: str, b: str, percent: int):
+def _may_meet(a: str, b: str, percent: int):
     """Size and place conditions of a pair; ``a`` and ``b`` prefix the columns."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     o = F.ceil(percent * (n + m) / F.lit(100 + percent))
-    l = F.least(f"{a}matches", f"{b}matches")
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & (F.col(f"{a}place") < n - o + l) & (F.col(f"{b}place") < m - o + l))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col(f"{a}place") <= n - o) & (F.col(f"{b}place") <= m - o)
 
 
-def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of signatures, those whose whole sets link. ``classes``
-    (sig, doc_id) names the document whose text stands for a signature."""
+def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, order, k: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of signatures, those whose whole sets link; sets are only
+    compared if the longer prefixes share enough. ``classes`` (sig, doc_id) names the
+    document whose text stands for a signature."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     wanted = stage(sized_join(classes, ids, "sig", "left_semi"))
 
@@ -215,33 +226,50 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int,
         for batch in batches:
             for b in chunks(batch, "text"):
                 sets = shingle_sets(b.column("text"), k)
+                prefix = [order.value.adaptive(s) if len(s) else (s, 0) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("sig"), pa.array([signature(s) if len(s) else None for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "own", "set"])
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([l for _, l in prefix], pa.int64()),
+                     pa.array([p.tobytes() for p, _ in prefix], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["sig", "own", "n", "l", "prefix", "set"])
+
+    # several rows may carry one doc_id: the signature tells which is meant
+    sets = stage(sized_join(docs.select("doc_id", "text"), wanted, "doc_id", "inner").select("sig", "text")
+                 .mapInArrow(load, "sig bigint, own bigint, n bigint, l bigint, prefix binary, set binary")
+                 .where("sig = own").drop("own").dropDuplicates(["sig"]))
+
+    def both(pairs: DataFrame, cols: list[str]) -> DataFrame:
+        for side, tag in (("a", "x_"), ("b", "y_")):
+            pairs = pairs.join(sets.select(F.col("sig").alias(side), *(F.col(c).alias(tag + c) for c in cols)), side)
+        return pairs
+
+    def shared(x: pa.Scalar, y: pa.Scalar, xs=slice(None), ys=slice(None)) -> int:
+        return len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64)[xs], np.frombuffer(y.as_buffer(), np.uint64)[ys],
+                                  assume_unique=True))
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for n, m, l, r, x, y in zip(*(b.column(c).to_pylist() for c in ("x_n", "y_n", "x_l", "y_l")), b.column("x_prefix"), b.column("y_prefix")):
+                o, l = overlap(n, m, percent), min(l, r)
+                keep.append(shared(x, y, slice(n - o + l), slice(m - o + l)) >= l)
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for x, y in zip(b.column("x"), b.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            for n, m, x, y in zip(b.column("x_n").to_pylist(), b.column("y_n").to_pylist(), b.column("x_set"), b.column("y_set")):
+                c = shared(x, y)
+                keep.append(100 * c >= percent * (n + m - c))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # several rows may carry one doc_id: the signature tells which is meant
-    sets = (sized_join(docs.select("doc_id", "text"), wanted, "doc_id", "inner").select("sig", "text")
-            .mapInArrow(load, "sig bigint, own bigint, set binary").where("sig = own")
-            .select("sig", "set").dropDuplicates(["sig"]))
-    sets = stage(sets)
-    return (pairs.join(sets.select(F.col("sig").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("sig").alias("b"), F.col("set").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint"))
+    checked = stage(both(pairs, ["n", "l", "prefix"]).mapInArrow(enough, "a bigint, b bigint"))
+    return both(checked, ["n", "set"]).mapInArrow(compare, "a bigint, b bigint")
 
 
 def cross_pairs(postings: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of signatures in different components that share enough prefix shingles.
-    ``postings``: token, size, sig, n, matches, place, root."""
+    """Pairs of signatures in different components that meet in a prefix shingle.
+    ``postings``: token, size, sig, n, place, root."""
     mixed = postings.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
         "low <> high").select("token")
     rows = sized_join(postings, mixed, "token", "left_semi")
@@ -258,13 +286,12 @@ def cross_pairs(postings: DataFrame, percent: int, block: int) -> DataFrame:
             cells = t.to_pandas()
             edge = np.flatnonzero((cells[["token", "low", "high"]].diff().fillna(1) != 0).any(axis=1).to_numpy())
             cols = {c: cells[c].to_numpy() for c in cells}
-            a_out, b_out, l_out = [], [], []
+            a_out, b_out = [], []
             for x, y in zip(edge, [*edge[1:], len(cells)]):
                 if y - x > 1:
-                    _block_pairs({c: v[x:y] for c, v in cols.items()}, percent, a_out, b_out, l_out)
+                    _block_pairs({c: v[x:y] for c, v in cols.items()}, percent, a_out, b_out)
             if a_out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a_out, b_out, l_out)],
-                                                 names=["a", "b", "l"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a_out, b_out)], names=["a", "b"])
 
         # a group may continue in the next batch: keep its last group back
         for b in batches:
@@ -279,13 +306,11 @@ def cross_pairs(postings: DataFrame, percent: int, block: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from flush(held)
 
-    found = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(
-        run, "a bigint, b bigint, l bigint")
-    return found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("l").alias("l")).where(
-        "shared >= l").select("a", "b")
+    return rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(
+        run, "a bigint, b bigint").distinct()
 
 
-def _block_pairs(g: dict[str, np.ndarray], percent: int, a_out: list, b_out: list, l_out: list) -> None:
+def _block_pairs(g: dict[str, np.ndarray], percent: int, a_out: list, b_out: list) -> None:
     """Pairs of one block pair of one shingle group that pass the size and place conditions."""
     roots, inverse, counts = np.unique(g["root"], return_inverse=True, return_counts=True)
     if len(roots) < 2:
@@ -301,14 +326,12 @@ def _block_pairs(g: dict[str, np.ndarray], percent: int, a_out: list, b_out: lis
             ok &= g["part"] != g["part"][i]
         n, m = g["n"][i], g["n"]
         o = overlap(n, m, percent)
-        l = np.minimum(g["matches"], g["matches"][i])
-        ok &= (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (g["place"][i] < n - o + l) & (g["place"] < m - o + l)
+        ok &= (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (g["place"][i] <= n - o) & (g["place"] <= m - o)
         j = np.flatnonzero(ok)
         if len(j):
             mine = np.full(len(j), g["sig"][i])
             a_out.append(np.minimum(mine, g["sig"][j]))
             b_out.append(np.maximum(mine, g["sig"][j]))
-            l_out.append(l[j].astype(np.int64))
 
 
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS,
@@ -317,22 +340,23 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_
     docs = docs.select("doc_id", "text")
     sizes, counts = survey(docs, k, sketch_bits)
     classes = stage(sizes.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")))
-    rows = stage(prefixes(docs, counts, k, percent))
-    place = F.struct("place", "n", "sig", "matches")
-    groups = stage(rows.groupBy("token").agg(F.min(place).alias("pivot"), F.min("sig").alias("low"), F.max("sig").alias("high"),
-                                             F.count(F.lit(1)).alias("size"))
+    order = docs.sparkSession.sparkContext.broadcast(Order(counts, percent))
+    rows = stage(prefixes(docs, order, k))
+    groups = stage(rows.groupBy("token").agg(F.min(F.struct("place", "n", "sig")).alias("pivot"), F.min("sig").alias("low"),
+                                             F.max("sig").alias("high"), F.count(F.lit(1)).alias("size"))
                    .where("low <> high").select("token", "size", "pivot"))
-    postings = stage(sized_join(rows, groups, "token", "inner").dropDuplicates(["token", "sig"])
-                     .select("token", "size", "sig", "n", "matches", "place", "pivot"))
-    stars = stage(postings.select("*", *(F.col(f"pivot.{c}").alias(f"p_{c}") for c in ("place", "n", "sig", "matches")))
-                  .where((F.col("sig") != F.col("p_sig")) & _may_link("", "p_", percent))
+    # the broadcast, if any, holds shingle hashes alone; pivots then join the few rows left
+    met = stage(sized_join(rows, groups.select("token"), "token", "left_semi").dropDuplicates(["token", "sig"]))
+    postings = stage(met.join(groups, "token"))
+    stars = stage(postings.select("*", *(F.col(f"pivot.{c}").alias(f"p_{c}") for c in ("place", "n", "sig")))
+                  .where((F.col("sig") != F.col("p_sig")) & _may_meet("", "p_", percent))
                   .select(F.least("sig", "p_sig").alias("a"), F.greatest("sig", "p_sig").alias("b")).distinct())
-    links = stage(linked_pairs(docs, classes, stars, k, percent))
+    links = stage(linked_pairs(docs, classes, stars, order, k, percent))
     first = stage(components(links))
     more = sized_join(postings.drop("pivot"), first.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "root", F.coalesce("root", "sig"))
     cross = stage(cross_pairs(stage(more), percent, block))
-    links = links.unionByName(linked_pairs(docs, classes, cross, k, percent))
+    links = links.unionByName(linked_pairs(docs, classes, cross, order, k, percent))
     final = stage(components(links))
     # components of several signatures take the smallest doc_id of any; others their own class's
     named = sized_join(classes, final.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
