@@ -1,0 +1,8 @@
+"""Names of the fixture module for plain imports."""
+import importlib.util
+import os
+
+_spec = importlib.util.spec_from_file_location("llm_fixtures", os.path.join(os.path.dirname(__file__), "conftest.py"))
+_module = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_module)
+make_docs, edge_rows, rows_of = _module.make_docs, _module.edge_rows, _module.rows_of
