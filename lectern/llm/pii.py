@@ -126,14 +126,20 @@ def features(text: str, token: tuple[int, int, str, bool], before: str) -> list[
 
 
 def known_labels(text: str, tokens: list, spans: list) -> list[int]:
-    """Training labels: the covering rule span's kind, or a long value after a cue word."""
+    """Training labels: the covering rule span's kind, or secret for a long value after a
+    cue word; similar tokens of the document share a label."""
     out = []
     for s, e, t, _ in tokens:
         label = next((k + 1 for a, k, b in spans if a < e and s < b), 0)
         if not label and len(t) >= 16 and any("0" <= c <= "9" for c in t) and CUE.search(text, max(0, s - 24), s):
             label = LABELS.index("secret")
         out.append(label)
-    return out
+    shared = {}
+    for (_, _, t, _), label in zip(tokens, out):
+        key = key_of(t)
+        if label and key is not None and len(key) >= 8:
+            shared.setdefault(key, label)
+    return [label or shared.get(key_of(t), 0) for (_, _, t, _), label in zip(tokens, out)]
 
 
 def key_of(token: str) -> str | None:

@@ -218,7 +218,8 @@ MARKS = re.compile(r"[#*$%&|<>!]+|[0-9]{4,}")
 
 def cleaning_edits(docs: DataFrame, pattern: re.Pattern = MARKS) -> DataFrame:
     """``docs`` with the edits that a cleaning step would make: runs of markup
-    characters are deleted, long digit runs become ``0``."""
+    characters are deleted, long digit runs become ``0``. An older column of that name goes."""
+    docs = docs.drop("edits")
     schema = T.StructType([*docs.schema.fields, T.StructField("edits", T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("text", T.StringType())])))])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())]))
