@@ -46,6 +46,7 @@ CLASSES, CLASS_WORDS = 16, 16
 BUCKETS = 64
 WINDOW = 16
 LANES = 512
+LANE_TOKENS = 4096
 ROUNDS = 2
 RATE = 0.01
 HEAD_ROWS = 1_000_000
@@ -133,12 +134,23 @@ class Gru:
         self.to_class, self.class_bias = init(hidden, self.classes + 1), np.zeros(self.classes + 1, np.float32)
         self.to_word = init(self.classes, hidden, CLASS_WORDS)
         self.word_bias = np.zeros((self.classes, CLASS_WORDS), np.float32)
-        if size % CLASS_WORDS and self.classes:
+        if size % CLASS_WORDS:
             self.word_bias[-1, size % CLASS_WORDS:] = -1e9        # places without a word
 
     def arrays(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
 
+    def start_from(self, counts: np.ndarray, rest: int) -> Gru:
+        """Biases that give the words' and classes' own frequencies. ``counts`` by rank."""
+        c = np.zeros(self.classes * CLASS_WORDS)
+        c[:self.size] = counts + 1.0
+        c = c.reshape(-1, CLASS_WORDS)
+        with np.errstate(divide="ignore"):
+            self.word_bias = np.maximum(np.log(c), -1e9).astype(np.float32)
+        self.class_bias = np.log(np.append(c.sum(1), rest + 1.0)).astype(np.float32)
+        self.class_bias -= self.class_bias.max()
+        return self
+
     def pack(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()]).astype(np.float64)
 
@@ -286,7 +298,7 @@ class Trainer:
         before[first[:-1]] = g.start
         fresh = np.zeros(len(ids), bool)
         fresh[first[:-1]] = True
-        lanes = lanes_of(first)
+        lanes = lanes_of(first, min(LANES, max(8, len(ids) // LANE_TOKENS)))      # a small chunk still gives many steps
         live, h = np.arange(lanes.shape[1]), np.zeros((lanes.shape[1], g.hidden), np.float32)
         for at in range(0, len(lanes), self.window):
             p = lanes[at:at + self.window][:, live]
@@ -322,9 +334,9 @@ def _average(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([[key[0], int(n.sum()), flat.tobytes()]], columns=["task", "tokens", "weights"])
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN) -> Gru:
+def train(docs: DataFrame, vocabulary: Vocabulary, gru: Gru, rounds: int = ROUNDS) -> Gru:
     """The network after all rounds; round ``r`` takes the documents of part ``r``."""
-    gru = Gru(vocabulary.size, hidden)
+    hidden = gru.hidden
     sc = docs.sparkSession.sparkContext
     part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds))
     for r in range(rounds):
@@ -368,7 +380,8 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
     order = np.argsort(ranked)
     vocabulary = Vocabulary(ranked[order], order)
     n_rest, v_rest = n - sum(r["c"] for r in top), v - len(top)
-    gru = train(learn, vocabulary, rounds, hidden)
+    gru = Gru(vocabulary.size, hidden).start_from(np.array([r["c"] for r in top], float), n_rest)
+    gru = train(learn, vocabulary, gru, rounds)
 
     least = 0
     if v > head_rows:      # the counts above a quantile make up the head; the rest is joined
@@ -413,20 +426,23 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
                                    "base_score double, score double")
     if least:
         def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            _, _, head, c = shared.value
+            vocabulary, _, head, c = shared.value
             for batch in batches:
                 for b in chunks(batch, "text", CHUNK):
                     tokens, first = tokens_of(b.column("text"))
                     gone = np.flatnonzero(~known(tokens, head, c)[1])
                     row = b.column("row").to_numpy()[np.searchsorted(first, gone, side="right") - 1]
-                    yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(tokens[gone].view(np.int64))], names=["row", "token"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(row), pa.array(tokens[gone].view(np.int64)), pa.array(vocabulary.ids(tokens[gone]) >= vocabulary.size)],
+                        names=["row", "token", "outside"])
 
-        rare = (with_row.select("row", "text").mapInArrow(missing, "row bigint, token bigint")
-                .groupBy("row", "token").agg(F.count(F.lit(1)).alias("times"))
+        rare = (with_row.select("row", "text").mapInArrow(missing, "row bigint, token bigint, outside boolean")
+                .groupBy("row", "token", "outside").agg(F.count(F.lit(1)).alias("times"))
                 .join(counts.where(F.col("c") <= least), "token", "left").withColumn("c", F.coalesce("c", F.lit(0))))
-        log = lambda total: F.sum(F.col("times") * F.log10((F.col("c") + 1.0) / F.lit(float(total))))
+        log = lambda total: F.col("times") * F.log10((F.col("c") + 1.0) / F.lit(float(total)))
         rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("k"),
-                                       log(n + v + 1).alias("b"), log(n_rest + v_rest + 1).alias("s"))
+                                       F.sum(log(n + v + 1)).alias("b"),
+                                       F.sum(F.when(F.col("outside"), log(n_rest + v_rest + 1)).otherwise(0.0)).alias("s"))
         plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
         out = out.join(rare, "row", "left").select("doc_id", "held_out", "n_tokens", plus("n_known", "k"),
                                                    plus("base_score", "b"), plus("score", "s"))
