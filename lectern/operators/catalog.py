@@ -100,14 +100,23 @@ def works_routable(works: DataFrame, id_col: str = "gutenberg_id") -> DataFrame:
 
 
 def fetch_status(resolved: DataFrame, files: DataFrame) -> DataFrame:
-    """Per work: ``not_found`` (no hit), ``failed`` (no text file) or ``success``."""
-    has_text = text_files(files).select("identifier").distinct().withColumn("_t", F.lit(True))
-    j = resolved.join(has_text, "identifier", "left")
-    status = (F.when(F.col("identifier").isNull(), F.lit("not_found"))
-              .when(F.col("_t").isNull(), F.lit("failed")).otherwise(F.lit("success")))
-    return j.select(*WORK_KEYS, "identifier", status.alias("status"))
-
+    """Per work: ``not_found`` (no hit), ``failed`` (no text file) or ``success``.
 
-def fetch_tally(status: DataFrame) -> DataFrame:
-    """``status, n``."""
-    return status.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    Unresolved works are labelled first and never join: their null identifiers
+    would all meet in one partition."""
+    has_text = text_files(files).select("identifier").distinct().withColumn("_t", F.lit(True))
+    found = resolved.where(F.col("identifier").isNotNull()).join(has_text, "identifier", "left")
+    found = found.select(*WORK_KEYS, "identifier", F.when(F.col("_t").isNull(), F.lit("failed")).otherwise(
+        F.lit("success")).alias("status"))
+    return found.unionByName(resolved.where(F.col("identifier").isNull()).select(
+        *WORK_KEYS, "identifier", F.lit("not_found").alias("status")))
+
+
+def fetch_tally(status: DataFrame, works: DataFrame | None = None) -> DataFrame:
+    """``status, n``. With ``works`` (the list itself) every entry counts, repeated
+    ones as often as they are listed; without it every distinct work counts once.
+    Entries are counted per work before the join, so a work listed very often is one row."""
+    if works is None:
+        return status.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    listed = works.groupBy(*WORK_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(status.select(*WORK_KEYS, "status"), list(WORK_KEYS)).groupBy("status").agg(F.sum("n").alias("n"))

@@ -2,8 +2,9 @@
 
 Per context, the candidate list is bounded by ``top_k`` before anything else is
 computed, so a context followed by millions of distinct tokens is never one
-window partition: the ``row_number() <= k`` filter is planned as a partial
-group limit on the map side, then a final one after the shuffle.
+window partition: up to Spark's group-limit threshold the ``row_number() <= k``
+filter is planned as a partial limit on the map side; for larger ``k`` each
+context is first cut into slices by token hash that are ranked on their own.
 
 Order of the warpers follows the reference's generation call: temperature,
 then top-k, then top-p, then a draw. Every draw is ``md5(seed:prompt:seq:step)``.
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
-from .joins import lookup, string_cells, table_size
+from .joins import lookup, string_cells
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
@@ -32,17 +33,28 @@ def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
     context, plus the unigram distribution under context ``''``."""
     seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"],
-                  small_size=model.context_size or table_size(model.context,
-                                                              string_cells("prev"))).select(
+                  small_size=model.context_size).select(
         "prev", "tok", (F.col("c") / F.col("c_prev")).alias("p"))
     uni = model.unigram.select(F.lit(BACKOFF).alias("prev"), "tok",
                                (F.col("c_tok") / F.lit(float(model.n_tokens))).alias("p"))
     return seen.unionByName(uni)
 
 
-def top_k(probs: DataFrame, k: int) -> DataFrame:
-    """the ``k`` most likely successors per context (ties by token); adds ``rank``."""
-    w = Window.partitionBy("prev").orderBy(F.col("p").desc(), F.col("tok"))
+def top_k(probs: DataFrame, k: int, slices: int = 64) -> DataFrame:
+    """the ``k`` most likely successors per context (ties by token); adds ``rank``.
+
+    Above Spark's group-limit threshold the plan has no map-side limit, so each
+    context is ranked within ``slices`` slices of its successors first; what is left
+    per context, at most ``slices * k`` rows, is ranked again. The result is the same.
+    """
+    order = [F.col("p").desc(), F.col("tok")]
+    limit = int(probs.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        part = F.pmod(F.xxhash64("tok"), F.lit(slices))
+        first = Window.partitionBy("prev", "_part").orderBy(*order)
+        probs = (probs.withColumn("_part", part).withColumn("_r", F.row_number().over(first))
+                 .where(F.col("_r") <= k).drop("_part", "_r"))
+    w = Window.partitionBy("prev").orderBy(*order)
     return probs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -73,6 +85,11 @@ def sampling_table(model: BigramModel, k: int = 50, t: float = 1.0, p: float = 0
         F.sort_array(F.collect_list(F.struct("rank", "tok", "cdf"))).alias("cands"))
 
 
+def candidate_cells(cands: str) -> Column:
+    """Cell measure of a candidate list: per candidate its token's bytes and two numbers."""
+    return F.aggregate(cands, F.lit(0).cast("long"), lambda a, c: a + string_cells(c["tok"]) + 2)
+
+
 def draw(cands: Column, u: Column) -> Column:
     """Inverse CDF - the first candidate whose cdf exceeds ``u`` (the last one
     if rounding leaves the top cdf a hair below 1)."""
@@ -100,7 +117,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     stats = table.agg(
         F.first(F.when(~is_ctx, F.col("cands")), ignorenulls=True).alias("b"),
         F.count(F.when(is_ctx, F.lit(1))).alias("rows"),
-        F.sum(F.when(is_ctx, string_cells("prev") + F.size("cands") * 2)).alias("cells")).first()
+        F.sum(F.when(is_ctx, string_cells("prev") + candidate_cells("cands"))).alias("cells")).first()
     b_lit = F.lit(None).cast(table.schema["cands"].dataType)
     if stats["b"]:
         b_lit = F.array(*[F.struct(F.lit(c["rank"]).alias("rank"), F.lit(c["tok"]).alias("tok"),

@@ -31,7 +31,7 @@ def table_size(small: DataFrame, cells: Column | None = None) -> tuple[int, int]
     return int(r["n"] or 0), int(r["c"] or 0)
 
 
-def string_cells(col: str) -> Column:
+def string_cells(col: str | Column) -> Column:
     """Cell measure of a string key: one cell per started 16 bytes, plus one."""
     return F.ceil(F.octet_length(col) / F.lit(16)) + 1
 

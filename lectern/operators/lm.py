@@ -14,9 +14,9 @@ probabilities sum to one over the vocabulary plus one unknown class.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -48,35 +48,83 @@ def pair_counts(df: DataFrame, tokens_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("c"))
 
 
-@dataclass
 class BigramModel:
-    bigram: DataFrame      # prev, tok, c
-    context: DataFrame     # prev, c_prev
-    unigram: DataFrame     # tok, c_tok
-    n_tokens: int          # N
-    vocab_size: int        # V
-    context_size: tuple[int, int] | None = None   # (rows, cells) for lookups
-    unigram_size: tuple[int, int] | None = None
+    """The three count tables and two scalars of a bigram model.
+
+    A table is computed when it is first asked for and written to the shared
+    checkpoint folder then (the fitted model), so a caller that needs only bigram
+    counts never counts contexts; sizes for the lookups are measured the same way.
+    """
+
+    def __init__(self, pairs: DataFrame | None = None, tokens: DataFrame | None = None, *,
+                 bigram: DataFrame | None = None, context: DataFrame | None = None,
+                 unigram: DataFrame | None = None, totals: tuple[int, int] | None = None):
+        """From training ``pairs`` (prev, tok) and ``tokens`` (tok), or from finished tables."""
+        self._pairs, self._tokens = pairs, tokens
+        for name, value in (("bigram", bigram), ("context", context), ("unigram", unigram), ("totals", totals)):
+            if value is not None:
+                self.__dict__[name] = value
+
+    @cached_property
+    def bigram(self) -> DataFrame:
+        """``prev, tok, c``."""
+        return cut_lineage(self._pairs.groupBy("prev", "tok").agg(F.count(F.lit(1)).alias("c")))
+
+    @cached_property
+    def context(self) -> DataFrame:
+        """``prev, c_prev``."""
+        return cut_lineage(self.bigram.groupBy("prev").agg(F.sum("c").alias("c_prev")))
+
+    @cached_property
+    def unigram(self) -> DataFrame:
+        """``tok, c_tok``."""
+        return cut_lineage(self._tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("c_tok")))
+
+    @cached_property
+    def totals(self) -> tuple[int, int]:
+        """N and V."""
+        row = self.unigram.agg(F.sum("c_tok").alias("n"), F.count(F.lit(1)).alias("v")).first()
+        return int(row["n"] or 0), int(row["v"] or 0)
+
+    @property
+    def n_tokens(self) -> int:
+        return self.totals[0]
+
+    @property
+    def vocab_size(self) -> int:
+        return self.totals[1]
+
+    @cached_property
+    def context_size(self) -> tuple[int, int]:
+        return table_size(self.context, string_cells("prev"))
+
+    @cached_property
+    def unigram_size(self) -> tuple[int, int]:
+        return table_size(self.unigram, string_cells("tok"))
 
 
 def fit_bigram(train: DataFrame, tokens_col: str) -> BigramModel:
-    """Fit on the training rows; three count tables plus two scalars.
+    """The model of the training rows; its tables are counted when first used."""
+    return BigramModel(next_token_pairs(train, tokens_col), train.select(F.explode(tokens_col).alias("tok")))
 
-    The tables are written to the shared checkpoint folder (the fitted model), so
-    evaluation and generation start from them instead of recounting, and their
-    sizes are known for the lookups.
-    """
-    bigram = cut_lineage(pair_counts(train, tokens_col))
-    context = cut_lineage(bigram.groupBy("prev").agg(F.sum("c").alias("c_prev")))
-    unigram = cut_lineage(train.select(F.explode(tokens_col).alias("tok")).groupBy("tok").agg(
-        F.count(F.lit(1)).alias("c_tok")))
-    # N and V, and the lookup sizes of the two keyed tables, in two small aggregates
-    row = unigram.agg(F.sum("c_tok").alias("n"), F.count(F.lit(1)).alias("v"),
-                      F.sum(string_cells("tok")).alias("cells")).first()
-    v = int(row["v"] or 0)
-    return BigramModel(bigram, context, unigram, int(row["n"] or 0), v,
-                       context_size=table_size(context, string_cells("prev")),
-                       unigram_size=(v, int(row["cells"] or 0)))
+
+def save_model(model: BigramModel, path: str) -> str:
+    """The model as tables below ``path``: bigram, context, unigram, totals."""
+    root = path.rstrip("/")
+    for name in ("bigram", "context", "unigram"):
+        getattr(model, name).write.mode("overwrite").parquet(f"{root}/{name}")
+    n, v = model.totals
+    model.unigram.sparkSession.range(1).select(F.lit(n).cast("long").alias("n_tokens"), F.lit(v).cast("long").alias(
+        "vocab_size")).write.mode("overwrite").parquet(f"{root}/totals")
+    return path
+
+
+def load_model(spark: SparkSession, path: str) -> BigramModel:
+    """A model written by ``save_model``."""
+    root = path.rstrip("/")
+    t = spark.read.parquet(f"{root}/totals").first()
+    return BigramModel(**{name: spark.read.parquet(f"{root}/{name}") for name in ("bigram", "context", "unigram")},
+                       totals=(t["n_tokens"], t["vocab_size"]))
 
 
 def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> DataFrame:
@@ -88,9 +136,9 @@ def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> Da
     # The context and unigram lookups have hot keys on the validation side.
     j = val.join(model.bigram, ["prev", "tok"], "left")
     j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"],
-               small_size=model.context_size or table_size(model.context, string_cells("prev")))
+               small_size=model.context_size)
     return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"],
-                  small_size=model.unigram_size or table_size(model.unigram, string_cells("tok")))
+                  small_size=model.unigram_size)
 
 
 def prob(model: BigramModel, lam) -> Column:

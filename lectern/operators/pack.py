@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .prefix import running_offsets
 from .tokenize import TOKEN_COLS
 
@@ -122,20 +121,15 @@ def pack_batch(df: DataFrame, block_size: int, batch_rows: int = 1000,
 
 
 def pack_file(df: DataFrame, block_size: int, scope_col: str, order_col: str = "row_idx",
-              cols: Sequence[str] = TOKEN_COLS, range_width: int = 1_000,
-              materialize: bool = True) -> DataFrame:
+              cols: Sequence[str] = TOKEN_COLS, slices: int | None = None) -> DataFrame:
     """Each scope (a file) is one token stream however many rows it has.
 
-    Offsets come from the two-phase prefix sum, so a file that is a third of the
-    corpus is still cut into ``range_width``-row windows. The prefix sum reads
-    its input twice; ``materialize`` writes the (usually tokenized, expensive)
-    input to the shared checkpoint folder once instead of deriving it twice.
+    Offsets come from the sliced prefix sum, which writes its (usually tokenized,
+    expensive) input once, so a file that is a third of the corpus is still cut into
+    balanced windows.
     """
     sized = df.withColumn("_n", F.size(cols[0]).cast("long"))
-    if materialize:
-        sized = cut_lineage(sized)
-    off = running_offsets(sized, [scope_col], order_col, "_n", out="_off",
-                          range_width=range_width, total_out="_tot")
+    off = running_offsets(sized, [scope_col], order_col, "_n", out="_off", slices=slices, total_out="_tot")
     blocks = cut_blocks(off, [scope_col], "_off", "_tot", block_size, cols)
     return blocks.withColumn("scope_id", F.col(scope_col).cast("long")).select(
         "scope_id", "block_id", *cols, "labels")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import seeded_md5
+from ..session import cut_lineage
 from .prefix import hash_rank
 
 
@@ -26,7 +27,8 @@ def batch_plan(df: DataFrame, keys: Sequence[str], epochs: int = 3, batch_size:
     (use 4 digits past ~10^10 blocks to keep each bucket window small).
     """
     keys = list(keys)
-    ep = df.select(*keys).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    # ranked in two passes (bucket counts, then ranks): the keys are written once
+    ep = cut_lineage(df.select(*keys)).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     ranked = hash_rank(ep.withColumn("_h", seeded_md5(seed, "epoch", *keys)), "_h", keys,
                        out="_r", scope=["epoch"], digits=digits, count_out="_n")
     per_epoch = F.ceil(F.col("_n") / F.lit(batch_size)).cast("long")
@@ -37,12 +39,23 @@ def batch_plan(df: DataFrame, keys: Sequence[str], epochs: int = 3, batch_size:
         batch.alias("batch_id"), *keys)
 
 
-def step_events(plan: DataFrame, logging_steps: int = 100, eval_steps: int = 500,
-                save_steps: int = 500) -> DataFrame:
-    """``step, event`` for every step that logs, evaluates or saves."""
-    steps = plan.select("step").distinct()
-    ev = F.filter(F.array(
-        F.when(F.col("step") % logging_steps == 0, F.lit("log")),
-        F.when(F.col("step") % eval_steps == 0, F.lit("evaluate")),
-        F.when(F.col("step") % save_steps == 0, F.lit("save"))), lambda x: x.isNotNull())
-    return steps.select("step", F.explode(ev).alias("event"))
+def block_keys(counts: DataFrame, block_size: int, scope_col: str = "doc_id",
+               tokens_col: str = "n_tokens") -> DataFrame:
+    """``scope_id, block_id`` of the blocks that ``pack_document`` cuts, from token counts
+    alone: a plan needs the keys, not the tokens."""
+    n = F.floor(F.col(tokens_col) / F.lit(block_size))
+    # sequence(0, -1) counts down: scopes without a whole block go first
+    return counts.where(n > 0).select(F.col(scope_col).cast("long").alias("scope_id"), F.explode(
+        F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).alias("block_id"))
+
+
+def step_events(blocks: DataFrame, epochs: int = 3, batch_size: int = 1, logging_steps: int = 100,
+                eval_steps: int = 500, save_steps: int = 500) -> DataFrame:
+    """``step, event`` for every step that logs, evaluates or saves. Steps follow from
+    the number of blocks (one row per block in ``blocks``): each epoch has
+    ``ceil(blocks / batch_size)``."""
+    total = blocks.agg((F.ceil(F.count(F.lit(1)) / F.lit(batch_size)) * epochs).cast("long").alias("total"))
+    every = [("log", logging_steps), ("evaluate", eval_steps), ("save", save_steps)]
+    due = F.inline(F.array(*[F.struct(F.lit(name).alias("event"), F.lit(n).cast("long").alias("every")) for name, n in every]))
+    return total.select("total", due).where(F.col("total") >= F.col("every")).select(
+        F.explode(F.sequence("every", "total", "every")).alias("step"), "event")

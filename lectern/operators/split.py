@@ -42,6 +42,12 @@ def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.1, seed
     keys, scope = list(keys), list(scope)
     if materialize:
         df = cut_lineage(df)
+    own = list(dict.fromkeys([*scope, *keys]))
+    if scope and set(df.columns) != set(own):
+        # many scopes: their buckets may be too many to broadcast, so only keys travel
+        # through the joins and the labels meet the wide rows once
+        labels = split_exact(df.select(*own), keys, test_size, seed, out, small_guard, scope, digits=digits)
+        return df.join(labels, own)
     h = seeded_md5(seed, *keys)
     hashed = df.withColumn("_hb", F.conv(F.substring(h, 1, digits), 16, 10).cast("int"))
 
@@ -62,13 +68,8 @@ def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.1, seed
     cross_rows = int(buckets.where(F.col("_state") == "cross").agg(F.sum("_bn")).first()[0] or 0)
     buckets = buckets.drop("_bn")
 
-    # 4,096 rows per scope value: a proven bound without a scope; with an
-    # open-ended scope (one per document) the size is checked first
-    on = [*scope, "_hb"]
-    if scope:
-        labelled = lookup(hashed, buckets, on, "inner", salt=1)
-    else:
-        labelled = hashed.join(F.broadcast(buckets), on, "inner")
+    # 16**digits rows per scope value: the size is checked before any broadcast
+    labelled = lookup(hashed, buckets, [*scope, "_hb"], "inner", salt=1)
 
     # rank only the straddling bucket(s): about n / 4,096 rows per scope
     cross = labelled.where(F.col("_state") == "cross").select(*scope, *keys, "_hb", "_need")

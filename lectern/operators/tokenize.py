@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CHARS
 from ..session import cut_lineage
-from .joins import lookup, string_cells, table_size
+from .joins import BROADCAST_MAX_CELLS, lookup, string_cells, table_size
 from .prefix import dense_ordinal
 
 # ---------------------------------------------------------------------------
@@ -25,6 +25,7 @@ EOS_TOKEN = "<|endoftext|>"
 UNK_ID = 0
 EOS_ID = 1
 FIRST_WORD_ID = 2
+MAX_ID = 2**31 - 1
 # Pre-token pattern of the "words" scheme: letter runs, digit runs, and any
 # other single character that is not whitespace.
 WORDS_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}" + WS_CHARS + "]"
@@ -71,8 +72,12 @@ def fit_vocab(tokens: DataFrame, tok_col: str = "tok", min_count: int = 1,
               .where((F.col("count") >= min_count) & ~F.col("token").isin(UNK_TOKEN, EOS_TOKEN)))
     ranked = dense_ordinal(counts, [F.col("count").desc(), F.col("token").asc()], out="_o",
                            slices=slices)
-    words = ranked.select("token", (F.col("_o") + FIRST_WORD_ID).cast("int").alias("id"),
-                          F.col("count").cast("long").alias("count"))
+    # ids are 32-bit, as the token arrays are: a larger vocabulary stops with an error
+    # instead of wrapping round
+    wide = F.col("_o") + FIRST_WORD_ID
+    bounded = F.when(wide <= MAX_ID, wide.cast("int")).otherwise(F.raise_error(F.lit(
+        f"more than {MAX_ID} vocabulary entries; raise min_count")).cast("int"))
+    words = ranked.select("token", bounded.alias("id"), F.col("count").cast("long").alias("count"))
     spark = tokens.sparkSession
     specials = spark.createDataFrame(
         [(UNK_TOKEN, UNK_ID, 0), (EOS_TOKEN, EOS_ID, 0)],
@@ -90,20 +95,33 @@ def special_tokens(vocab: DataFrame, pad_token: str | None = None) -> DataFrame:
     return names.unionByName(pad)
 
 
-def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], salt: int = 8,
+def lookup_ids(rows: DataFrame, vocab: DataFrame, keys: Sequence[str],
                broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Attach ``id`` to each token row (unknown -> 0).
 
-    A size-checked lookup (``joins.lookup``): broadcast up to
-    ``broadcast_max_rows`` vocabulary entries, so token rows never leave their
-    partition and the per-row regrouping after it is combined map-side; beyond
-    that a shuffled join salted over ``salt`` sub-keys, so a token that is a third
-    of the corpus is spread over ``salt`` tasks.
+    Up to ``broadcast_max_rows`` vocabulary entries (and as many cells as
+    ``joins.lookup`` allows) are broadcast, so token rows never leave their partition.
+    A larger vocabulary is cut by count: its frequent head is broadcast, and only the
+    rows the head does not know, whose tokens are rare by construction, are shuffled
+    to the tail. However hot a token is, its rows stay where they are.
     """
-    v = vocab.select(F.col("token").alias("tok"), "id")
-    joined = lookup(rows, v, ["tok"], "left", salt=salt, broadcast_max_rows=broadcast_max_rows,
-                    salt_cols=[*keys, "pos"], small_size=table_size(v, string_cells("tok")))
-    return joined.select(*keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+    v = vocab.select(F.col("token").alias("tok"), "id", "count")
+    size = table_size(v, string_cells("tok"))
+    done = lambda j: j.select(*keys, "pos", "tok", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+    if size[0] <= broadcast_max_rows and size[1] <= BROADCAST_MAX_CELLS:
+        return done(rows.join(F.broadcast(v.drop("count")), "tok", "left"))
+    # as many entries as fit, by the share of rows and of cells; a margin covers the
+    # approximate quantile, and ties at the cut stay in the tail
+    share = 0.8 * min(1.0, broadcast_max_rows / size[0], BROADCAST_MAX_CELLS / max(size[1], 1))
+    cut = v.approxQuantile("count", [1 - share], 0.1 * share)[0] if broadcast_max_rows else None
+    if cut is None:
+        return done(rows.join(v.drop("count"), "tok", "left"))
+    head = v.where(F.col("count") > cut).select("tok", F.col("id").alias("_head"))
+    tail = v.where(F.col("count") <= cut).select("tok", "id")
+    seen = rows.join(F.broadcast(head), "tok", "left")
+    known = seen.where(F.col("_head").isNotNull() | F.col("tok").isNull()).withColumnRenamed("_head", "id")
+    rest = seen.where(F.col("_head").isNull() & F.col("tok").isNotNull()).drop("_head").join(tail, "tok", "left")
+    return done(known).unionByName(done(rest))
 
 
 def mask_columns(ids: Column) -> list[Column]:
@@ -116,8 +134,8 @@ def mask_columns(ids: Column) -> list[Column]:
 
 
 def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str = "text",
-             scheme: str = "whitespace", keep: Sequence[str] = (), salt: int = 8,
-             add_eos: bool = False, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+             scheme: str = "whitespace", keep: Sequence[str] = (), add_eos: bool = False,
+             broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """``keys..., keep..., input_ids, attention_mask, special_tokens_mask``.
 
     No truncation (I6). Rows without tokens keep empty arrays. Token order is
@@ -128,7 +146,7 @@ def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str
     keys_all = keys + [k for k in keep if k not in keys]
     # outer explode keeps rows without tokens (pos is null there)
     rows = df.select(*keys_all, F.posexplode_outer(pretokens(text_col, scheme)).alias("pos", "tok"))
-    ided = lookup_ids(rows, vocab, keys_all, salt, broadcast_max_rows)
+    ided = lookup_ids(rows, vocab, keys_all, broadcast_max_rows)
     grouped = ided.groupBy(*keys_all).agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))))
         .alias("_p"))
@@ -138,6 +156,26 @@ def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str
     return grouped.select(*keys_all, *mask_columns(ids))
 
 
+def detokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], ids_col: str = "input_ids",
+               out: str = "text", skip_special: bool = True, keep: Sequence[str] = (),
+               broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Ids back to text: ``keys..., keep..., out``, the ids' tokens joined by single blanks.
+
+    ``skip_special`` leaves out end-of-text tokens; an id outside the vocabulary shows as
+    the unknown token. The id lookup is size-checked like the token lookup; row order
+    is restored within each row.
+    """
+    keys_all = list(dict.fromkeys([*keys, *keep]))
+    rows = df.select(*keys_all, F.posexplode_outer(ids_col).alias("pos", "_id"))
+    v = vocab.select(F.col("id").alias("_id"), "token")
+    named = lookup(rows, v, ["_id"], "left", salt_cols=[*keys_all, "pos"], broadcast_max_rows=broadcast_max_rows,
+                   small_size=table_size(v, string_cells("token")))
+    token = F.coalesce("token", F.lit(UNK_TOKEN))
+    shown = F.col("pos").isNotNull() & ((F.col("_id") != EOS_ID) if skip_special else F.lit(True))
+    grouped = named.groupBy(*keys_all).agg(F.sort_array(F.collect_list(F.when(shown, F.struct("pos", token.alias("t"))))).alias("_p"))
+    return grouped.select(*keys_all, F.array_join(F.transform("_p", lambda x: x["t"]), " ").alias(out))
+
+
 def byte_ids(text) -> Column:
     """UTF-8 byte values of a text as ``array<int>`` (empty text -> []).
 

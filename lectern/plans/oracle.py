@@ -7,10 +7,19 @@ rounded the same way as in the Spark queries.
 
 from __future__ import annotations
 
-from ..functions.text import FOOTER_MARKER, HEADER_MARKER, WS_CHARS
-from ..operators.tokenize import EOS_TOKEN, UNK_TOKEN
-
-WS = "[" + WS_CHARS + "]"
+# ---------------------------------------------------------------------------
+# Fixed values, written out here on their own so that a wrong constant in the engine
+# shows as a difference: the markers, the reserved tokens, and the white space
+# characters (tab to carriage return, U+001C to U+001F, space, next line, no-break
+# space, ogham space, en quad to hair space, line and paragraph separator, narrow
+# no-break space, medium mathematical space, ideographic space).
+HEADER_MARKER = "START OF THIS PROJECT GUTENBERG EBOOK"
+FOOTER_MARKER = "End of the Project Gutenberg"
+UNK_TOKEN, EOS_TOKEN = "<unk>", "<|endoftext|>"
+WS = "[" + "".join(chr(c) for c in (
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003,
+    0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)) + "]"
+# ---------------------------------------------------------------------------
 HEADER_RE = r"(?s)\A.*" + HEADER_MARKER + r".*?\*{3}"
 FOOTER_RE = r"(?s)" + FOOTER_MARKER + r".*"
 

@@ -107,13 +107,18 @@ planned AS (SELECT r.author, r.title, r.identifier, f.name,
 
 
 @register("works_flatten", """
-SELECT source AS author, lang || '-' || CAST(doc_id % 50 AS VARCHAR) AS title,
-       CAST(doc_id AS BIGINT) AS gutenberg_id FROM documents""")
+SELECT source || suffix AS author, lang || '-' || CAST(doc_id % 50 AS VARCHAR) || title_end AS title,
+       CASE WHEN has_id THEN CAST(doc_id AS BIGINT) END AS gutenberg_id
+FROM documents, (VALUES ('', '', true), ('', ' "vol. 2"', false), (' jr.', '', true)) t(suffix, title_end, has_id)""")
 def q_works_flatten(spark, sf):
-    """A works JSON document per source row, parsed back to flat rows."""
+    """A works JSON value per row, with two authors and several titles (one with
+    quotes and without an id), parsed back to flat rows."""
     d = documents(spark, sf)
-    js = F.to_json(F.create_map(F.col("source"), F.array(F.struct(
-        _title().alias("title"), F.col("doc_id").alias("gutenberg_id")))))
+    work = lambda title, gid: F.struct(title.alias("title"), gid.alias("gutenberg_id"))
+    gid = F.col("doc_id").cast("long")
+    js = F.to_json(F.create_map(
+        F.col("source"), F.array(work(_title(), gid), work(F.concat(_title(), F.lit(' "vol. 2"')), F.lit(None).cast("long"))),
+        F.concat("source", F.lit(" jr.")), F.array(work(_title(), gid))))
     return parse_works(d.select(js.alias("value")), "value")
 
 
@@ -184,10 +189,13 @@ def q_new_files_only(spark, sf):
 st AS (SELECT CASE WHEN r.identifier IS NULL THEN 'not_found'
                    WHEN NOT EXISTS (SELECT 1 FROM files f WHERE f.identifier = r.identifier
                                     AND f.format = 'Text') THEN 'failed'
-                   ELSE 'success' END AS status FROM resolved r)
+                   ELSE 'success' END AS status FROM works w JOIN resolved r
+                     ON r.author = w.author AND r.title = w.title)
 SELECT status, CAST(count(*) AS BIGINT) AS n FROM st GROUP BY status""")
 def q_fetch_tally(spark, sf):
-    return cat.fetch_tally(cat.fetch_status(resolved(spark, sf), item_files(spark, sf)))
+    """One outcome per entry of the works list, repeated entries included."""
+    status = cat.fetch_status(resolved(spark, sf), item_files(spark, sf))
+    return cat.fetch_tally(status, works_with_ids(spark, sf))
 
 
 @register("sanitize_name", f"SELECT page_id, {sanitize_sql('url')} AS name FROM pages")
@@ -231,14 +239,14 @@ def q_prompt_scan(spark, sf):
 @register("corpus_counts", "WITH " + CAT_SQL + f""",
 pr AS (SELECT {o.clean('text')} AS p FROM benchmark)
 SELECT 'documents' AS metric, CAST(count(*) AS BIGINT) AS value FROM documents
-UNION ALL SELECT 'works', CAST(count(*) AS BIGINT) FROM wk
+UNION ALL SELECT 'works', CAST(count(*) AS BIGINT) FROM works
 UNION ALL SELECT 'prompts', CAST(count(*) AS BIGINT) FROM pr WHERE p <> ''""")
 def q_corpus_counts(spark, sf):
-    """Progress counts, all from one scan each (small aggregate rows)."""
+    """Progress counts, all from one scan each (small aggregate rows); every entry
+    of the works list counts."""
     docs = documents(spark, sf).agg(F.count(F.lit(1)).alias("value")) \
         .select(F.lit("documents").alias("metric"), "value")
-    works = works_with_ids(spark, sf).select("author", "title").distinct() \
-        .agg(F.count(F.lit(1)).alias("value")).select(F.lit("works").alias("metric"), "value")
+    works = works_with_ids(spark, sf).agg(F.count(F.lit(1)).alias("value")).select(F.lit("works").alias("metric"), "value")
     pr = table(spark, sf, "benchmark").select(tx.clean_text("text").alias("p")).where(F.col("p") != "") \
         .agg(F.count(F.lit(1)).alias("value")).select(F.lit("prompts").alias("metric"), "value")
     return docs.unionByName(works).unionByName(pr)

@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.pack import (pack_batch, pack_document, pack_file, pack_stats, token_offsets,
+from ..operators.lines import clean_lines
+from ..operators.pack import (BLOCK_COLS, pack_batch, pack_document, pack_file, pack_stats, token_offsets,
                               with_batches)
 from ..operators.prefix import running_offsets
-from ..operators.schedule import batch_plan, step_events
+from ..operators.schedule import batch_plan, block_keys, step_events
 from ..operators.split import split_exact
-from ..operators.tokenize import (WORDS_PATTERN, fit_vocab, special_tokens, token_rows,
-                                  tokenize, tokenize_bytes)
+from ..operators.tokenize import (TOKEN_COLS, WORDS_PATTERN, detokenize, fit_vocab, pretokens, special_tokens,
+                                  token_rows, tokenize, tokenize_bytes)
+from ..session import cut_lineage
 from . import oracle as o
 from .inputs import WRAPPED_SQL, documents, wrapped_documents
 from .registry import register
 
 BLOCK = 128          # block size used by the registered packing queries
 SEED = 42
+PAD_WORD = "the"     # a frequent word of the corpus
 
 
 def ids_str(c) -> F.Column:
@@ -50,7 +53,7 @@ def split_blocks(spark: SparkSession, sf: str, block_size: int = BLOCK) -> DataF
 
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     """A2: ``doc_id, line_no, row_idx, text``; ``row_idx`` numbers lines across the
-    corpus in (doc_id, line_no) order via the two-phase prefix sum."""
+    corpus in (doc_id, line_no) order via the sliced prefix sum: one scan."""
     d = documents(spark, sf).select("doc_id", tx.split_lines("text").alias("_ls"))
     sized = d.withColumn("_nl", F.size("_ls").cast("long"))
     off = running_offsets(sized, [], "doc_id", "_nl", out="_first")
@@ -59,14 +62,26 @@ def document_lines(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("_first") + F.col("line_no")).cast("long").alias("row_idx"), "text")
 
 
-def tokenized_lines(spark: SparkSession, sf: str) -> DataFrame:
+def tokenized_lines(spark: SparkSession, sf: str, add_eos: bool = False) -> DataFrame:
     """Tokenized lines, partitioned by 1,000-line batch (``batch_id``) before
     tokenizing: the same single shuffle the per-line token regrouping needs
     anyway, but with batch-sized (never hot) keys, and the batch packers reuse it."""
     lines = with_batches(document_lines(spark, sf), 1000, "row_idx").withColumn(
         "text", F.trim(tx.normalize_ws("text")))
+    lines = cut_lineage(lines)          # numbered once, read by the vocabulary and the tokens
     vocab = fit_vocab(token_rows(lines, ["row_idx"], "text"))
-    return tokenize(lines, vocab, ["row_idx"], "text", keep=["batch_id", "doc_id"])
+    return tokenize(lines, vocab, ["row_idx"], "text", keep=["batch_id", "doc_id"], add_eos=add_eos)
+
+
+def block_columns(b: DataFrame, *keys: str) -> DataFrame:
+    """All four block columns as text."""
+    return b.select(*keys, *[ids_str(c).alias(c) for c in BLOCK_COLS])
+
+
+def plan_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Block keys from token counts: no vocabulary and no ids."""
+    counts = cleaned_documents(spark, sf).select("doc_id", F.size(pretokens("text")).alias("n_tokens"))
+    return block_keys(counts, BLOCK)
 
 
 # --------------------------------------------------------------------------- SQL
@@ -110,6 +125,9 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY {o.md5key(SEED, 'scope_id', 'bl
 splitted AS (SELECT *, {o.split_label()} AS split FROM ranked)"""
 
 
+MASKS_SQL = f"trim(repeat('1 ', {BLOCK})) AS attention_mask, trim(repeat('0 ', {BLOCK})) AS special_tokens_mask"
+
+
 # ------------------------------------------------------------------ flagship
 
 @register("block_summary", "WITH " + SPLIT_SQL + """
@@ -149,6 +167,17 @@ def q_clean_text(spark, sf):
     return wrapped_documents(spark, sf).select("doc_id", tx.clean_text("text").alias("text"))
 
 
+@register("clean_lines", f"SELECT doc_id, {o.clean('text')} AS text FROM ({WRAPPED_SQL})")
+def q_clean_lines(spark, sf):
+    """Cleaning by lines, with no text as one value: its lines, joined, are the cleaned text."""
+    d = wrapped_documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
+    kept = clean_lines(d, "doc_id", "line_no").where("text <> ''")
+    joined = kept.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
+        F.struct("line_no", "text"))), lambda x: x["text"]), " ").alias("text"))
+    return documents(spark, sf).select("doc_id").join(joined, "doc_id", "left").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
 # ------------------------------------------------------------------ scans (A2)
 
 @register("scan_lines", "WITH " + LINES_SQL + " SELECT doc_id, line_no, row_idx, text FROM lines2")
@@ -170,15 +199,36 @@ def q_vocab(spark, sf):
 per AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids,
                CAST(count(*) AS BIGINT) AS n FROM tids GROUP BY doc_id)
 SELECT d.doc_id, d.lang, coalesce(p.n, 0) AS n_tokens, coalesce(p.ids, '') AS input_ids,
-       coalesce(p.n, 0) AS attention_sum, CAST(0 AS BIGINT) AS special_sum
+       trim(repeat('1 ', coalesce(p.n, 0))) AS attention_mask, trim(repeat('0 ', coalesce(p.n, 0))) AS special_tokens_mask
 FROM cdocs d LEFT JOIN per p USING (doc_id)""")
 def q_tokenize(spark, sf):
     t = tokenized_documents(spark, sf)
-    return t.select(
-        "doc_id", "lang", F.size("input_ids").cast("long").alias("n_tokens"),
-        ids_str("input_ids").alias("input_ids"),
-        F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attention_sum"),
-        F.aggregate("special_tokens_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("special_sum"))
+    return t.select("doc_id", "lang", F.size("input_ids").cast("long").alias("n_tokens"),
+                    *[ids_str(c).alias(c) for c in TOKEN_COLS])
+
+
+@register("tokenize_eos", "WITH " + CORPUS + """,
+per AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids,
+               CAST(count(*) AS BIGINT) AS n FROM tids GROUP BY doc_id)
+SELECT d.doc_id, coalesce(p.ids || ' 1', '1') AS input_ids, trim(repeat('1 ', coalesce(p.n, 0) + 1)) AS attention_mask,
+       repeat('0 ', coalesce(p.n, 0)) || '1' AS special_tokens_mask
+FROM cdocs d LEFT JOIN per p USING (doc_id)""")
+def q_tokenize_eos(spark, sf):
+    """An end token closes each document and is marked in the special mask."""
+    docs = cleaned_documents(spark, sf)
+    t = tokenize(docs, corpus_vocab(docs), ["doc_id"], "text", add_eos=True)
+    return t.select("doc_id", *[ids_str(c).alias(c) for c in TOKEN_COLS])
+
+
+@register("detokenize", "WITH " + CORPUS + """,
+per AS (SELECT doc_id, string_agg(CASE WHEN id = 0 THEN '<unk>' ELSE tok END, ' ' ORDER BY pos) AS text
+        FROM tids GROUP BY doc_id)
+SELECT d.doc_id, coalesce(p.text, '') AS text FROM cdocs d LEFT JOIN per p USING (doc_id)""")
+def q_detokenize(spark, sf):
+    """Ids back to text, end tokens left out."""
+    docs = cleaned_documents(spark, sf)
+    vocab = cut_lineage(corpus_vocab(docs))
+    return detokenize(tokenize(docs, vocab, ["doc_id"], "text", add_eos=True), vocab, ["doc_id"])
 
 
 WORDS_SQL = "WITH " + o.corpus_ctes(token_expr="regexp_extract_all(text, " + o.q(WORDS_PATTERN) + ")") + """,
@@ -215,22 +265,21 @@ def q_tokenize_bytes(spark, sf):
         F.md5(ids_str("input_ids")).alias("ids_md5"))
 
 
-@register("special_tokens", """
-SELECT * FROM (VALUES ('unk', '<unk>', 0), ('eos', '<|endoftext|>', 1), ('pad', '<|endoftext|>', 1))
-  AS t(name, token, id)""")
+@register("special_tokens", "WITH " + CORPUS + f"""
+SELECT * FROM (VALUES ('unk', '<unk>', 0), ('eos', '<|endoftext|>', 1)) AS t(name, token, id)
+UNION ALL SELECT 'pad', tok, CAST(id AS INTEGER) FROM vocab WHERE tok = '{PAD_WORD}'""")
 def q_special_tokens(spark, sf):
-    v = corpus_vocab(cleaned_documents(spark, sf))
-    return special_tokens(v).select("name", "token", F.col("id").cast("int").alias("id"))
+    """B11 with a corpus word as the pad token: its id follows from the fitted vocabulary."""
+    v = cut_lineage(corpus_vocab(cleaned_documents(spark, sf)))
+    return special_tokens(v, PAD_WORD).select("name", "token", F.col("id").cast("int").alias("id"))
 
 
 # ------------------------------------------------------------------ packing
 
 @register("pack_document", "WITH " + DOC_BLOCKS_SQL + """
-SELECT scope_id, block_id, lang, ids AS input_ids, ids AS labels FROM blocks""")
+SELECT scope_id, block_id, lang, ids AS input_ids, """ + MASKS_SQL + """, ids AS labels FROM blocks""")
 def q_pack_document(spark, sf):
-    b = document_blocks(spark, sf)
-    return b.select("scope_id", "block_id", "lang", ids_str("input_ids").alias("input_ids"),
-                    ids_str("labels").alias("labels"))
+    return block_columns(document_blocks(spark, sf), "scope_id", "block_id", "lang")
 
 
 @register("pack_stats", "WITH " + CORPUS + f""",
@@ -255,12 +304,31 @@ def q_token_offsets(spark, sf):
 g AS (SELECT r.batch_id, r.btot, i.row_idx, i.pos, i.id, r.off + i.pos AS gpos
       FROM lids i JOIN lrows2 r USING (row_idx))
 SELECT CAST(batch_id AS BIGINT) AS scope_id, CAST(gpos // {BLOCK} AS BIGINT) AS block_id,
-       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids
-FROM g WHERE gpos < (btot // {BLOCK}) * {BLOCK} GROUP BY ALL""")
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids, {MASKS_SQL},
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS labels
+FROM g WHERE gpos < (btot // {BLOCK}) * {BLOCK} GROUP BY batch_id, gpos // {BLOCK}""")
 def q_pack_batch(spark, sf):
     b = pack_batch(tokenized_lines(spark, sf), BLOCK, 1000, "row_idx",
                    batch_col="batch_id")
-    return b.select("scope_id", "block_id", ids_str("input_ids").alias("input_ids"))
+    return block_columns(b, "scope_id", "block_id")
+
+
+@register("pack_batch_eos", "WITH " + LINE_TOKENS_SQL + f""",
+elids AS (SELECT row_idx, pos, id FROM lids UNION ALL SELECT row_idx, n, 1 FROM lrows),
+erows AS (SELECT row_idx, row_idx // 1000 AS batch_id,
+   coalesce(sum(n + 1) OVER (PARTITION BY row_idx // 1000 ORDER BY row_idx
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
+   sum(n + 1) OVER (PARTITION BY row_idx // 1000) AS btot FROM lrows),
+g AS (SELECT r.batch_id, r.btot, i.id, r.off + i.pos AS gpos FROM elids i JOIN erows r USING (row_idx))
+SELECT CAST(batch_id AS BIGINT) AS scope_id, CAST(gpos // {BLOCK} AS BIGINT) AS block_id,
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids, trim(repeat('1 ', {BLOCK})) AS attention_mask,
+       string_agg(CASE WHEN id = 1 THEN '1' ELSE '0' END, ' ' ORDER BY gpos) AS special_tokens_mask,
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS labels
+FROM g WHERE gpos < (btot // {BLOCK}) * {BLOCK} GROUP BY batch_id, gpos // {BLOCK}""")
+def q_pack_batch_eos(spark, sf):
+    """With an end token per line, the special mask is cut like the ids."""
+    b = pack_batch(tokenized_lines(spark, sf, add_eos=True), BLOCK, 1000, "row_idx", batch_col="batch_id")
+    return block_columns(b, "scope_id", "block_id")
 
 
 @register("pack_file", "WITH " + LINE_TOKENS_SQL + f""",
@@ -268,11 +336,12 @@ g AS (SELECT i.doc_id, i.id, i.row_idx, i.pos,
              row_number() OVER (PARTITION BY i.doc_id ORDER BY i.row_idx, i.pos) - 1 AS gpos,
              count(*) OVER (PARTITION BY i.doc_id) AS tot FROM lids i)
 SELECT CAST(doc_id AS BIGINT) AS scope_id, CAST(gpos // {BLOCK} AS BIGINT) AS block_id,
-       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids
-FROM g WHERE gpos < (tot // {BLOCK}) * {BLOCK} GROUP BY ALL""")
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS input_ids, {MASKS_SQL},
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS labels
+FROM g WHERE gpos < (tot // {BLOCK}) * {BLOCK} GROUP BY doc_id, gpos // {BLOCK}""")
 def q_pack_file(spark, sf):
     b = pack_file(tokenized_lines(spark, sf), BLOCK, "doc_id", "row_idx")
-    return b.select("scope_id", "block_id", ids_str("input_ids").alias("input_ids"))
+    return block_columns(b, "scope_id", "block_id")
 
 
 # ------------------------------------------------------------------ split and schedule
@@ -308,8 +377,7 @@ plan AS (SELECT CAST(epoch AS INTEGER) AS epoch,
 
 @register("batch_plan", "WITH " + PLAN_SQL + " SELECT * FROM plan")
 def q_batch_plan(spark, sf):
-    return batch_plan(document_blocks(spark, sf), ["scope_id", "block_id"], epochs=3,
-                      batch_size=8, seed=SEED)
+    return batch_plan(plan_keys(spark, sf), ["scope_id", "block_id"], epochs=3, batch_size=8, seed=SEED)
 
 
 @register("step_events", "WITH " + PLAN_SQL + """,
@@ -318,6 +386,4 @@ SELECT step, 'log' AS event FROM steps WHERE step % 100 = 0
 UNION ALL SELECT step, 'evaluate' FROM steps WHERE step % 500 = 0
 UNION ALL SELECT step, 'save' FROM steps WHERE step % 500 = 0""")
 def q_step_events(spark, sf):
-    plan = batch_plan(document_blocks(spark, sf), ["scope_id", "block_id"], epochs=3,
-                      batch_size=8, seed=SEED)
-    return step_events(plan, 100, 500, 500)
+    return step_events(plan_keys(spark, sf), 3, 8, 100, 500, 500)

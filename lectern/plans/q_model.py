@@ -20,7 +20,7 @@ from .registry import register
 LAM = 0.5
 GRID = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 TOP_K, TEMP, TOP_P = 50, 0.7, 0.9       # the shipped generation config
-NEW_TOKENS = 20
+MAX_LENGTH = 100          # prompt and new tokens together, as the shipped config has it
 
 
 def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,16 +103,16 @@ best AS (SELECT prev, tok FROM (SELECT prev, tok, row_number() OVER (PARTITION B
            ORDER BY c / CAST(c_prev AS DOUBLE) DESC, tok) AS rn FROM bigram JOIN ctx USING (prev))
          WHERE rn = 1),
 bo AS (SELECT tok FROM uni ORDER BY c_tok DESC, tok LIMIT 1),
-g(prompt_id, seq_no, step, last, new) AS (
-  SELECT prompt_id, 1, 0, coalesce(pl[-1], ''), []::VARCHAR[] FROM prompts
+g(prompt_id, seq_no, step, lim, last, new) AS (
+  SELECT prompt_id, 1, 0, greatest({MAX_LENGTH} - len(pl), 0), coalesce(pl[-1], ''), []::VARCHAR[] FROM prompts
   UNION ALL
-  SELECT g.prompt_id, g.seq_no, g.step + 1, coalesce(b.tok, (SELECT tok FROM bo)),
+  SELECT g.prompt_id, g.seq_no, g.step + 1, g.lim, coalesce(b.tok, (SELECT tok FROM bo)),
          list_append(g.new, coalesce(b.tok, (SELECT tok FROM bo)))
-  FROM g LEFT JOIN best b ON b.prev = g.last WHERE g.step < {NEW_TOKENS}),
+  FROM g LEFT JOIN best b ON b.prev = g.last WHERE g.step < g.lim),
 samples AS (SELECT g.prompt_id, g.seq_no, p.prompt,
                    CASE WHEN len(g.new) > 0 THEN p.prompt || ' ' || array_to_string(g.new, ' ')
                         ELSE p.prompt END AS generated_text
-            FROM g JOIN prompts p USING (prompt_id) WHERE g.step = {NEW_TOKENS})"""
+            FROM g JOIN prompts p USING (prompt_id) WHERE g.step = g.lim)"""
 
 
 # ------------------------------------------------------------------ fit and evaluate
@@ -224,7 +224,7 @@ def q_sample_next(spark, sf):
 SELECT prompt_id, CAST(seq_no AS INTEGER) AS seq_no, prompt, generated_text FROM samples""")
 def q_generate_greedy(spark, sf):
     m, _ = fitted(spark, sf)
-    out = gen.generate(m, prompts(spark, sf), max_new_tokens=NEW_TOKENS, k=1, seed=SEED)
+    out = gen.generate(m, prompts(spark, sf), max_new_tokens=None, max_length=MAX_LENGTH, k=1, seed=SEED)
     return out.select("prompt_id", F.col("seq_no").cast("int").alias("seq_no"), "prompt",
                       "generated_text")
 
@@ -232,26 +232,27 @@ def q_generate_greedy(spark, sf):
 SAMPLED_SQL = "WITH RECURSIVE " + CANDS_SQL + ", " + PROMPTS_SQL + f""",
 arr AS (SELECT prev, list(struct_pack(rank := rank, tok := tok, cdf := cdf) ORDER BY rank) AS cands
         FROM cdfs GROUP BY prev),
-g(prompt_id, seq_no, step, last, new) AS (
-  SELECT prompt_id, seq_no, 0, coalesce(pl[-1], ''), []::VARCHAR[] FROM prompts, range(1, 3) s(seq_no)
+g(prompt_id, seq_no, step, lim, last, new) AS (
+  SELECT prompt_id, seq_no, 0, greatest({MAX_LENGTH} - len(pl), 0), coalesce(pl[-1], ''), []::VARCHAR[]
+  FROM prompts, range(1, 3) s(seq_no)
   UNION ALL
-  SELECT prompt_id, seq_no, step + 1, nx, list_append(new, nx) FROM (
+  SELECT prompt_id, seq_no, step + 1, lim, nx, list_append(new, nx) FROM (
     SELECT x.*, coalesce(list_filter(x.c, lambda e: e.cdf > x.u)[1], x.c[-1]).tok AS nx FROM (
-      SELECT g.prompt_id, g.seq_no, g.step, g.new,
+      SELECT g.prompt_id, g.seq_no, g.step, g.lim, g.new,
              coalesce(a.cands, (SELECT cands FROM arr WHERE prev = '')) AS c,
              {o.uniform01(SEED, 'g.prompt_id', 'g.seq_no', 'g.step')} AS u
-      FROM g LEFT JOIN arr a ON a.prev = g.last AND g.last <> '' WHERE g.step < {NEW_TOKENS}) x))
+      FROM g LEFT JOIN arr a ON a.prev = g.last AND g.last <> '' WHERE g.step < g.lim) x))
 SELECT g.prompt_id, CAST(g.seq_no AS INTEGER) AS seq_no, p.prompt,
        CASE WHEN len(g.new) > 0 THEN p.prompt || ' ' || array_to_string(g.new, ' ') ELSE p.prompt END
          AS generated_text
-FROM g JOIN prompts p USING (prompt_id) WHERE g.step = {NEW_TOKENS}"""
+FROM g JOIN prompts p USING (prompt_id) WHERE g.step = g.lim"""
 
 
 @register("generate_sampled", SAMPLED_SQL)
 def q_generate_sampled(spark, sf):
     """Sampled generation with the shipped settings, two sequences per prompt."""
     m, _ = fitted(spark, sf)
-    out = gen.generate(m, prompts(spark, sf), max_new_tokens=NEW_TOKENS, num_return_sequences=2,
+    out = gen.generate(m, prompts(spark, sf), max_new_tokens=None, max_length=MAX_LENGTH, num_return_sequences=2,
                        k=TOP_K, t=TEMP, p=TOP_P, seed=SEED)
     return out.select("prompt_id", F.col("seq_no").cast("int").alias("seq_no"), "prompt",
                       "generated_text")
@@ -262,5 +263,5 @@ SELECT prompt_id, 'Prompt: ' || prompt || chr(10) || 'Generated Text ' || CAST(s
        || ':' || chr(10) || generated_text || chr(10) || chr(10) AS block FROM samples""")
 def q_render_samples(spark, sf):
     m, _ = fitted(spark, sf)
-    out = gen.generate(m, prompts(spark, sf), max_new_tokens=NEW_TOKENS, k=1, seed=SEED)
+    out = gen.generate(m, prompts(spark, sf), max_new_tokens=None, max_length=MAX_LENGTH, k=1, seed=SEED)
     return gen.render_samples(out, "prompt_id", per_prompt_header=True)

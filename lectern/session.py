@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "lectern", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "lectern", extra: dict | None = None,
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """A session for tests, the bench and the command line. ``checkpoint_dir`` names
+    the folder for stage tables; without it a local master gets one of its own."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = (
         SparkSession.builder.master(master)
@@ -30,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         # remove checkpoint files once no DataFrame refers to them any more
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -67,6 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as Parquet below the session's shared checkpoint folder and
+    read again: later readers get column pruning, pushed filters and size
+    statistics, and nothing is lost with an executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

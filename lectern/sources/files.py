@@ -86,11 +86,14 @@ def read_works(spark: SparkSession, path: str, json_lines: bool = False) -> Data
 
 def prompt_table(lines: DataFrame, text_col: str = "text", key: str = "prompt_id",
                  order_col: str = "line_no") -> DataFrame:
-    """Strip each line (Python whitespace) and drop blank ones."""
+    """Strip each line (Python whitespace) and drop blank ones. ``order_col``
+    must identify a line: a line number for one file, ``row_idx`` for several."""
     return lines.select(F.col(order_col).cast("long").alias(key),
                         strip_ws(text_col).alias("prompt")).where(F.col("prompt") != "")
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """Prompts file, one prompt per line."""
-    return prompt_table(read_lines(spark, path))
+    """Prompts, one per line, of a file or a folder; ids number the lines of all files
+    in (path, line) order, so two files' prompts never share one."""
+    from ..operators.lines import number_lines
+    return prompt_table(number_lines(read_lines(spark, path)), order_col="row_idx")

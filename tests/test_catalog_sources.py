@@ -50,6 +50,23 @@ def test_resolve_candidates_and_downloads(spark):
     assert cat.new_files_only(planned, manifest).count() == 0
     tally = {r.status: r.n for r in cat.fetch_tally(cat.fetch_status(resolved, fl)).collect()}
     assert tally == {"success": 1, "not_found": 2}
+    # every entry of the list counts, however often a work is listed
+    listed = works.union(works.where("title = 'Missing'")).union(works.where("title = 'Fables'"))
+    resolved = cat.resolve_works(listed, catalog, [F.col("rnk")])
+    tally = {r.status: r.n for r in cat.fetch_tally(cat.fetch_status(resolved, fl), listed).collect()}
+    assert tally == {"success": 2, "not_found": 3}
+
+
+def test_status_of_many_unresolved_works(spark):
+    """Null identifiers never meet in a join."""
+    resolved = spark.range(3000).select(F.lit("a").alias("author"), F.col("id").cast("string").alias("title"),
+                                        F.when(F.col("id") < 5, F.concat(F.lit("i"), "id")).alias("identifier"))
+    fl = spark.createDataFrame([("i1", "x.txt", "Text")], "identifier string, name string, format string")
+    status = cat.fetch_status(resolved, fl)
+    assert {r.status: r.n for r in cat.fetch_tally(status).collect()} == {"not_found": 2995, "failed": 4, "success": 1}
+    plan = status._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join"):]
+    assert "isnotnull(identifier" in join
 
 
 def test_text_file_scan_and_lines(spark):
@@ -79,6 +96,43 @@ def test_prompts(spark):
         ["Socrates once said", "The cave"]
 
 
+def test_prompts_of_two_files(spark):
+    """Two files' first lines are two prompts."""
+    d = fresh_dir()
+    for name, text in (("a.txt", "hello\n\nagain\n"), ("b.txt", "world\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    got = {r.prompt: r.prompt_id for r in files.read_prompts(spark, d).collect()}
+    assert got == {"hello": 0, "again": 2, "world": 3}
+
+
+def book(n: int, name: str) -> str:
+    return (f"front matter\n*** START OF THIS PROJECT GUTENBERG EBOOK {name} ***\n"
+            + "\n".join(f"line {i} of  {name}, and more words" for i in range(n)) + "\nEnd of the Project Gutenberg EBook.\nlegal\n")
+
+
+def test_lines_and_documents_give_one_dataset(spark):
+    """Real books, marked: the line flow equals the whole-text flow, ids by path."""
+    d = fresh_dir()
+    src = os.path.join(d, "books")
+    os.makedirs(src)
+    for i, name in enumerate("cab"):
+        with open(os.path.join(src, f"{name}.txt"), "w") as f:
+            f.write(book(60 + 7 * i, name))
+    a = prepare.run_create_dataset(spark, src, os.path.join(d, "a"), block_size=16)
+    b = prepare.run_create_dataset_from_lines(spark, src, os.path.join(d, "b"), block_size=16)
+    rows = lambda p, name: sorted((r.scope_id, r.block_id, tuple(r.input_ids)) for r in
+                                  files.load_table(spark, os.path.join(p, name)).collect())
+    for name in ("train_dataset", "val_dataset"):
+        assert rows(a, name) == rows(b, name) != []
+    assert {r[0] for r in rows(a, "train_dataset")} == {0, 1, 2}
+    # line blocks hold no boilerplate either; the literal form keeps it
+    lines = prepare._numbered(spark, src)
+    words = lambda clean: sum(len(r.input_ids) for r in prepare.preprocess(lines, 8, tokenizer="bytes", clean=clean).collect())
+    boiler = sum(len(book(0, n)) for n in "abc")
+    assert words(True) < words(False) - boiler + 100
+
+
 def test_flows_round_trip(spark):
     d = fresh_dir()
     src = os.path.join(d, "book.txt")
@@ -155,15 +209,30 @@ def test_run_all(spark):
                             max_length=12, num_return_sequences=2)
     report = [r.value for r in spark.read.text(paths["report"]).collect()]
     assert report[0] == "Evaluation Results:" and report[-1].startswith("Perplexity: ")
-    samples = spark.read.parquet(paths["samples"]).collect()
+    samples = spark.read.parquet(os.path.join(paths["samples"], "table")).collect()
     assert len(samples) == 4 and all(len(r.generated_text.split()) == 12 for r in samples)
+    assert {r.prompt for r in samples} == {"word1 and", "the 3"}
+    vocabulary = {r.token for r in spark.read.parquet(paths["vocab"]).collect()}
+    for r in samples:
+        assert r.generated_text.startswith(r.prompt + " ") and set(r.generated_text.split()) <= vocabulary
+    text = "\n".join(r.value for r in spark.read.text(os.path.join(paths["samples"], "text")).collect())
+    assert text.count("Prompt: ") == 2 and text.count("Generated Text 2:") == 2
     assert spark.read.parquet(paths["dataset"]).where("split = 'validation'").count() >= 1
+    plan = spark.read.parquet(paths["plan"])
+    assert plan.count() == 3 * spark.read.parquet(paths["dataset"]).where("split = 'train'").count()
+    # stages alone, from the saved tables
+    again = prepare.run_evaluate(spark, paths["model"], paths["dataset"], os.path.join(d, "again"))
+    assert [r.value for r in spark.read.text(again).collect()] == report
+    single = prepare.run_generate(spark, paths["model"], paths["vocab"], os.path.join(d, "one"), prompt="the 3",
+                                  max_length=6, num_return_sequences=2)
+    text = "\n".join(r.value for r in spark.read.text(os.path.join(single, "text")).collect())
+    assert text.count("Prompt: the 3\nGenerated Text ") == 2
 
 
 def test_preprocess_raw_bytes(spark):
     lines = ["  a  b ", "", "héllo\tworld", "x" * 40] * 300
     df = spark.createDataFrame(list(enumerate(lines)), "row_idx long, text string")
-    out = prepare.preprocess(df, block_size=32, tokenizer="bytes", normalize=False).collect()
+    out = prepare.preprocess(df, block_size=32, tokenizer="bytes", clean=False).collect()
     want = {}
     for b0 in range(0, len(lines), 1000):
         stream = [x for t in lines[b0:b0 + 1000] for x in t.encode("utf-8")]

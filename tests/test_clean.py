@@ -1,22 +1,38 @@
-"""Cleaning (B1-B5): hand cases, the reference's raw-book fixture, and agreement
-with Python's own regex semantics on random inputs."""
+"""Cleaning (B1-B5): hand-written cases, an independent checker on random inputs, and
+the line form against the whole-text form."""
 
 import random
-import re
+import sys
 
 from pyspark.sql import functions as F
 
 from conftest import docs_df
 from lectern.functions import text as tx
-
-HEADER = "*** START OF THIS PROJECT GUTENBERG EBOOK THE TEST BOOK ***"
-
-
-def py_clean(t: str) -> str:
-    # the documented semantics, stated with Python's re on str (Unicode \s)
-    t = re.sub(r"(?s).*START OF THIS PROJECT GUTENBERG EBOOK.*?\*{3}", "", t)
-    t = re.sub(r"(?s)End of the Project Gutenberg.*", "", t)
-    return re.sub(r"\s+", " ", t).strip()
+from lectern.operators.lines import clean_lines
+
+START = "START OF THIS PROJECT GUTENBERG EBOOK"
+END = "End of the Project Gutenberg"
+BLANK = {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()}
+
+
+def checked(t: str) -> str:
+    """The cleaned text by searching strings: the last start marker that is followed by
+    three asterisks opens the cut, the first three asterisks after it close it; the
+    first end marker in what is left ends the text; white space is collapsed."""
+    stars = t.rfind("***")
+    opens = t.rfind(START, 0, max(stars, 0))
+    if opens >= 0:
+        t = t[t.index("***", opens + len(START)) + 3:]
+    ends = t.find(END)
+    if ends >= 0:
+        t = t[:ends]
+    words, word = [], ""
+    for c in t:
+        if c in BLANK:
+            words, word = words + [word] * bool(word), ""
+        else:
+            word += c
+    return " ".join(words + [word] * bool(word))
 
 
 def run(spark, texts, fn):
@@ -24,54 +40,56 @@ def run(spark, texts, fn):
     return [r.t for r in df.collect()]
 
 
-def test_raw_book_fixture(spark):
-    body = "This is a test sentence. " * 200
-    raw = f"""
-    {HEADER}
-    {body}
-    End of the Project Gutenberg EBook.
-    """
-    out = run(spark, [raw], tx.clean_text)[0]
-    assert out.startswith("This is a test sentence.")
-    assert "GUTENBERG" not in out and "Gutenberg" not in out
-    assert out == py_clean(raw)
+def test_whole_book(spark):
+    body = ["Chapter one.\nIt was late,\n\tand the lamp   was out.", "Chapter two.", "No one came."]
+    raw = (f"Some archive note\n*** {START} NIGHT LAMP ***\r\n\n" + "\n\n".join(body)
+           + f"\n\n{END} EBook of Night Lamp\nlegal text ***\n")
+    assert run(spark, [raw], tx.clean_text) == ["Chapter one. It was late, and the lamp was out. Chapter two. No one came."]
 
 
 def test_header_edge_cases(spark):
-    cases = [
-        "a *** START OF THIS PROJECT GUTENBERG EBOOK X *** b START OF THIS PROJECT GUTENBERG EBOOK Y *** c",
-        "pre START OF THIS PROJECT GUTENBERG EBOOK never closed",
-        "pre START OF THIS PROJECT GUTENBERG EBOOK X **** body",
-        "pre START OF THE PROJECT GUTENBERG EBOOK X *** body",
-        "",
-        "x START OF THIS PROJECT GUTENBERG EBOOK *** y START OF THIS PROJECT GUTENBERG EBOOK z",
-    ]
-    got = run(spark, cases, tx.strip_header)
-    want = [re.sub(r"(?s).*START OF THIS PROJECT GUTENBERG EBOOK.*?\*{3}", "", c) for c in cases]
-    assert got == want
-    assert got[2] == "* body"          # four asterisks: one is left over
-    assert got[3] == cases[3]          # "THE" is not matched
+    cases = {
+        f"a *** {START} X *** b {START} Y *** c": " c",                    # the last closed marker counts
+        f"pre {START} never closed": f"pre {START} never closed",
+        f"pre {START} X **** body": "* body",                              # four asterisks: one is left
+        "pre START OF THE PROJECT GUTENBERG EBOOK X *** body": "pre START OF THE PROJECT GUTENBERG EBOOK X *** body",
+        "": "",
+        f"x {START} *** y {START} z": f" y {START} z",                     # the second marker is never closed
+        f"x {START}\n\nA ***\nbody": "\nbody",                             # closed on a later line
+    }
+    assert run(spark, list(cases), tx.strip_header) == list(cases.values())
 
 
 def test_footer_cut_at_first(spark):
-    t = "body End of the Project Gutenberg one End of the Project Gutenberg two"
-    assert run(spark, [t], tx.strip_footer) == ["body "]
+    assert run(spark, [f"body {END} one {END} two"], tx.strip_footer) == ["body "]
 
 
 def test_whitespace_set(spark):
-    odd = ["\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " ", "　", "\x0b", "​"]
-    texts = [f"a{c}b" for c in odd] + ["  \t\n ", "\r\nx\ry\n"]
-    got = run(spark, texts, tx.clean_text)
-    assert got == [py_clean(t) for t in texts]
-    assert got[-3] == "a​b"        # zero-width space is not whitespace in Python
+    blanks = ["\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " ", "　", "\x0b"]
+    texts = [f"a{c}b" for c in blanks] + ["a​b", "  \t\n ", "\r\nx\ry\n"]
+    assert run(spark, texts, tx.clean_text) == ["a b"] * len(blanks) + ["a​b", "", "x y"]
 
 
-def test_random_agreement(spark):
+def pieces():
     rnd = random.Random(7)
-    alphabet = ["a", "b", " ", "\n", "\t", "\xa0", " ", "*", "***", "\x1c",
-                " START OF THIS PROJECT GUTENBERG EBOOK ", "End of the Project Gutenberg"]
-    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
-    assert run(spark, texts, tx.clean_text) == [py_clean(t) for t in texts]
+    alphabet = ["a", "b", " ", "\n", "\t", "\xa0", "*", "***", "\x1c", f" {START} ", END, f"{START}***", "****"]
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(400)]
+
+
+def test_random_agreement(spark):
+    assert run(spark, pieces(), tx.clean_text) == [checked(t) for t in pieces()]
+
+
+def test_lines_equal_whole_text(spark):
+    """Header and footer by position: every marker case, with lines as rows."""
+    texts = pieces() + [f"n\n*** {START} X ***\nbody {i}\nmore\n{END}\nx" for i in range(5)]
+    lines = docs_df(spark, texts).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"), F.lit("k").alias("kept"))
+    out = clean_lines(lines.repartition(5), "doc_id", "line_no")
+    assert out.columns == ["doc_id", "line_no", "text", "kept"]
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (r.doc_id, r.line_no)):
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert [" ".join(x for x in got.get(i, []) if x) for i in range(len(texts))] == [checked(t) for t in texts]
 
 
 def test_clean_idempotent_without_markers(spark):
@@ -81,7 +99,7 @@ def test_clean_idempotent_without_markers(spark):
 
 
 def test_strip_ws_and_lines(spark):
-    assert run(spark, ["  hi there \x1c\n"], tx.strip_ws) == ["hi there"]
+    assert run(spark, ["  hi there \x1c\n"], tx.strip_ws) == ["hi there"]
     df = docs_df(spark, ["a\r\nb\rc\n", "", "one"]).select(
         "doc_id", tx.split_lines("text").alias("l")).orderBy("doc_id")
     assert [r.l for r in df.collect()] == [["a", "b", "c"], [], ["one"]]

@@ -94,3 +94,39 @@ def test_generation(spark, model):
     assert blocks[1].count("Prompt: ") == 1
     single = {r.prompt_id: r.block for r in gen.render_samples(out, per_prompt_header=False).collect()}
     assert single[1].count("Prompt: c\nGenerated Text ") == 3 and single[1].endswith("\n\n")
+
+
+def test_saved_model_scores_alike(spark, model, tmp_path):
+    m, train = model
+    back = lm.load_model(spark, lm.save_model(m, str(tmp_path / "m")))
+    assert back.totals == m.totals
+    loss = lambda x: lm.eval_loss(x, train, "toks", 0.3).first()
+    assert loss(back) == loss(m)
+
+
+def test_tables_are_counted_when_asked(spark):
+    m = lm.fit_bigram(spark.createDataFrame([(["a", "b", "a"],)], "toks array<string>"), "toks")
+    assert m.bigram.count() == 2
+    assert "bigram" in m.__dict__ and not {"context", "unigram", "totals"} & set(m.__dict__)
+
+
+@pytest.mark.parametrize("k", [3, 1500])
+def test_top_k_of_a_hot_context(spark, k):
+    """Above the group-limit threshold a context of 6,000 successors is ranked by slices."""
+    probs = spark.range(6000).select(F.lit("").alias("prev"), F.concat(F.lit("t"), "id").alias("tok"),
+                                     (F.col("id") % 700 / 1e7).alias("p")).union(
+        spark.createDataFrame([("x", "a", 0.5)], "prev string, tok string, p double"))
+    got = gen.top_k(probs.repartition(4), k)
+    want = sorted(((i % 700 / 1e7, f"t{i}") for i in range(6000)), key=lambda r: (-r[0], r[1]))[:k]
+    rows = sorted((r.rank, r.tok) for r in got.where("prev = ''").collect())
+    assert rows == [(i + 1, t) for i, (_, t) in enumerate(want)]
+    assert got.where("prev = 'x'").count() == 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_part" in plan) == (k > 1000) and ("WindowGroupLimit" in plan) == (k <= 1000)
+
+
+def test_candidate_size_counts_bytes(spark):
+    """Long junk tokens weigh what they are."""
+    rows = spark.createDataFrame([([(1, "x" * 1600, 1.0)],), ([(1, "y", 1.0)],)],
+                                 "cands array<struct<rank:int,tok:string,cdf:double>>")
+    assert [r[0] for r in rows.select(gen.candidate_cells("cands")).collect()] == [103, 4]

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators.schedule import batch_plan, step_events
+from lectern.operators.schedule import batch_plan, block_keys, step_events
 from lectern.operators.split import split_exact
 
 
@@ -54,7 +54,7 @@ def test_batch_plan(spark):
     assert orders[0] != orders[1]                 # reshuffled each epoch
     wide = batch_plan(df, ["k"], epochs=3, batch_size=4, digits=4).collect()
     assert sorted(tuple(r) for r in wide) == sorted(tuple(r) for r in plan)   # same order
-    ev = step_events(batch_plan(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 1, 1), 100, 500, 500)
+    ev = step_events(spark.range(1000), 1, 1, 100, 500, 500)
     got = sorted((r.step, r.event) for r in ev.collect())
     assert got[:2] == [(100, "log"), (200, "log")] and (500, "evaluate") in got and (1000, "save") in got
 
@@ -67,3 +67,24 @@ def test_split_matches_brute_force(spark, digits):
     val = {r.k for r in split_exact(df, ["k"], 0.1, 42, digits=digits).where("split = 'validation'").collect()}
     order = sorted(range(n), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
     assert val == set(order[:math.ceil(0.1 * n)])
+
+
+@pytest.mark.parametrize("blocks,epochs,batch", [(0, 3, 8), (1, 1, 1), (37, 3, 8), (250, 2, 7)])
+def test_events_follow_the_plan(spark, blocks, epochs, batch):
+    """Steps by arithmetic are the steps of the plan itself."""
+    df = spark.range(blocks).withColumnRenamed("id", "k")
+    steps = {r.step for r in batch_plan(df, ["k"], epochs, batch).select("step").distinct().collect()}
+    want = sorted((s, e) for s in steps for e, n in (("log", 2), ("evaluate", 5), ("save", 10)) if s % n == 0)
+    assert sorted(tuple(r) for r in step_events(df, epochs, batch, 2, 5, 10).collect()) == want
+
+
+def test_block_keys_from_counts(spark):
+    df = spark.createDataFrame([(1, 0), (2, 9), (3, 10), (4, 35)], "doc_id long, n_tokens int")
+    assert sorted(tuple(r) for r in block_keys(df, 10).collect()) == [(3, 0), (4, 0), (4, 1), (4, 2)]
+
+
+def test_split_carries_only_keys_through_scopes(spark):
+    df = spark.createDataFrame([(s, b, [s, b]) for s in range(4) for b in range(s)], "scope_id long, block_id long, ids array<long>")
+    rows = split_exact(df, ["scope_id", "block_id"], scope=["scope_id"]).collect()
+    assert all(r.ids == [r.scope_id, r.block_id] for r in rows)
+    assert sorted((r.scope_id, r.block_id, r.split) for r in rows if r.scope_id == 1) == [(1, 0, "train"), (1, 0, "validation")]

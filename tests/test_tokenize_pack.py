@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import docs_df
 from lectern.operators.pack import (pack_batch, pack_document, pack_file, pack_stats, token_offsets,
                                    with_batches)
-from lectern.operators.tokenize import (EOS_ID, UNK_ID, fit_vocab, special_tokens, token_rows,
+from lectern.operators import tokenize as tokenize_module
+from lectern.operators.tokenize import (EOS_ID, UNK_ID, detokenize, fit_vocab, special_tokens, token_rows,
                                         tokenize, tokenize_bytes, tokenize_with)
 
 
@@ -40,13 +41,42 @@ def test_unknown_tokens_and_specials(spark):
     assert sp["pad"] == sp["eos"] and sp["eos"][1] == EOS_ID
 
 
-def test_salted_lookup_matches_broadcast(spark):
-    texts = ["the the the cat the dog the"] * 20 + ["a b c"]
+@pytest.mark.parametrize("bound", [0, 3, 6])
+def test_head_and_tail_match_broadcast(spark, bound):
+    """One token is over a third of all rows; the vocabulary passes the broadcast bound."""
+    texts = ["the the the cat the dog the"] * 20 + ["a b c", "", "zebra the"]
     d = docs_df(spark, texts)
-    v = fit_vocab(token_rows(d, ["doc_id"]))
-    a = tokenize(d, v, ["doc_id"], broadcast_max_rows=0, salt=4).orderBy("doc_id").collect()
+    v = fit_vocab(token_rows(d.where("doc_id < 21"), ["doc_id"]))
+    a = tokenize(d, v, ["doc_id"], broadcast_max_rows=bound).orderBy("doc_id").collect()
     b = tokenize(d, v, ["doc_id"]).orderBy("doc_id").collect()
     assert [r.input_ids for r in a] == [r.input_ids for r in b]
+    assert a[-1].input_ids[0] == UNK_ID and a[-2].input_ids == []
+
+
+def test_detokenize(spark):
+    texts = ["the cat  sat", "", "the unseen the"]
+    d = docs_df(spark, texts)
+    v = fit_vocab(token_rows(d.where("doc_id < 2"), ["doc_id"]))
+    t = tokenize(d, v, ["doc_id"], add_eos=True)
+    for bound in (0, 2_000_000):
+        got = {r.doc_id: r.text for r in detokenize(t, v, ["doc_id"], broadcast_max_rows=bound).collect()}
+        assert got == {0: "the cat sat", 1: "", 2: "the <unk> the"}
+    shown = {r.doc_id: r.text for r in detokenize(t, v, ["doc_id"], skip_special=False).collect()}
+    assert shown[1] == "<|endoftext|>" and shown[0].endswith("sat <|endoftext|>")
+
+
+def test_special_mask_marks_the_end(spark):
+    d = docs_df(spark, ["a b", ""])
+    rows = tokenize(d, fit_vocab(token_rows(d, ["doc_id"])), ["doc_id"], add_eos=True).orderBy("doc_id").collect()
+    assert [r.special_tokens_mask for r in rows] == [[0, 0, 1], [1]] and rows[1].input_ids == [EOS_ID]
+
+
+def test_vocabulary_stops_before_ids_wrap(spark, monkeypatch):
+    monkeypatch.setattr(tokenize_module, "MAX_ID", 3)
+    d = docs_df(spark, ["a b"])
+    assert fit_vocab(token_rows(d, ["doc_id"])).count() == 4
+    with pytest.raises(Exception, match="raise min_count"):
+        fit_vocab(token_rows(docs_df(spark, ["a b c"]), ["doc_id"])).collect()
 
 
 def test_byte_tokenizer(spark):
@@ -117,9 +147,9 @@ def test_pack_file_brute_force_and_repartition(spark):
         toks = [x for d, _, ids in sorted(data, key=lambda r: r[1]) if d == doc for x in ids]
         for j in range(0, len(toks) // 7 * 7, 7):
             want[(doc, j // 7)] = toks[j:j + 7]
-    # small range width forces several ranges per file
+    # several slices per file
     got = {(r.scope_id, r.block_id): r.input_ids
-           for r in pack_file(df.repartition(5), 7, "doc_id", "row_idx", range_width=37).collect()}
+           for r in pack_file(df.repartition(5), 7, "doc_id", "row_idx", slices=9).collect()}
     assert got == want
 
 
