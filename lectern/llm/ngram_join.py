@@ -94,12 +94,13 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
     slabs = max(1, (1 << bits) // SLAB)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held, id_arrow = np.zeros(1 << bits, np.int64), [], 0, None
+        counts, waiting, held, id_arrow = np.zeros(1 << bits, np.uint32), [], 0, None
 
         def settle():
             nonlocal waiting, held
             if waiting:
-                counts[:] += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+                bucket, times = np.unique(np.concatenate(waiting), return_counts=True)
+                counts[bucket] += times.astype(np.uint32)
             waiting, held = [], 0
 
         def rows(ids, n, sig, slab, data):
@@ -113,18 +114,17 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
             for b in chunks(batch, "text"):
                 sets = shingle_sets(b.column("text"), k)
                 for s in sets:
-                    waiting.append((s & np.uint64((1 << bits) - 1)).astype(np.int64))
+                    waiting.append((s & np.uint64((1 << bits) - 1)).astype(np.uint32))
                     held += len(s)
-                if held > 2_000_000:
+                if held > 1_000_000:
                     settle()
                 none = [None] * len(sets)
                 yield rows(b.column("doc_id"), [len(s) for s in sets],
                            [signature(s) if len(s) else None for s in sets], none, none)
         settle()
         if id_arrow is not None:
-            parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(counts, slabs)]
-            none = [None] * slabs
-            yield rows(pa.nulls(slabs, id_arrow), none, none, list(range(slabs)), parts)
+            for i, part in enumerate(np.split(counts, slabs)):
+                yield rows(pa.nulls(1, id_arrow), [None], [None], [i], [zlib.compress(part, 1)])
 
     done = stage(docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {id_type}, n bigint, sig bigint, slab bigint, task bigint, counts binary"))
