@@ -70,9 +70,10 @@ class WordIds:
 
     MARK = "\x01"
     TOGETHER = 500
-    _loaded: dict[str, WordIds] = {}
+    _loaded: dict[tuple[str, int], WordIds] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE_PIECES):
+        self.most = most
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -82,11 +83,11 @@ class WordIds:
         self.cut, self.plain = _plain_pattern()
 
     @classmethod
-    def at(cls, path: str) -> WordIds:
+    def at(cls, path: str, most: int = CACHE_PIECES) -> WordIds:
         """One per Python worker."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        if (path, most) not in cls._loaded:
+            cls._loaded[path, most] = cls(path, most)
+        return cls._loaded[path, most]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -116,7 +117,7 @@ class WordIds:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         pieces = [self.pieces(t or "") for t in texts]
         new = set().union(*pieces).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
+        if len(self.known) + len(new) > self.most:
             self.known = {}
             new = set().union(*pieces)
         self.learn(list(new))

@@ -36,6 +36,7 @@ from .packing import WordIds
 from .words import chunks
 
 LEAF = 400
+CACHE = 200_000       # cached pre-tokens of a Python worker; several workers serve one task here
 SPACE = re.compile("[ \n]")
 EDITS = "array<struct<start:bigint,end:bigint,text:string>>"
 _STATE = ["leaf_chars", "leaf_tokens", "n_tokens"]
@@ -148,7 +149,7 @@ def build(docs: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame:
     cols = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds.at(tokenizer)
+        words = WordIds.at(tokenizer, CACHE)
         for batch in batches:
             for b in chunks(batch, "text"):
                 leaves = [cut_leaves(t or "", leaf) for t in b.column("text").to_pylist()]
@@ -168,8 +169,9 @@ def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     return docs.drop("edits").join(grouped, "doc_id", "left")
 
 
-def apply_edits(state: DataFrame, tokenizer: str, keep_text: bool = True) -> DataFrame:
-    """``build``'s rows with a column ``edits``, after them: new text (left out if not
+def apply_edits(state: DataFrame, tokenizer: str, keep_text: bool = True, propose=None) -> DataFrame:
+    """``build``'s rows with a column ``edits`` (or with the edits that the function
+    ``propose`` makes of each text, see ``cleaning_edits_of``), after them: new text (left out if not
     ``keep_text``), leaves and ``n_tokens``; also ``n_edits``, ``n_tokens_before`` and
     ``n_encoded``, the code points that had to be encoded again."""
     cols = [c for c in state.columns if c not in {*_STATE, "edits", "n_edits", "n_tokens_before", "n_encoded"}]
@@ -180,10 +182,11 @@ def apply_edits(state: DataFrame, tokenizer: str, keep_text: bool = True) -> Dat
         schema = schema.add(c, T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds.at(tokenizer)
+        words = WordIds.at(tokenizer, CACHE)
         for batch in batches:
             for b in chunks(batch, "text"):
-                edits, before = b.column("edits").to_pylist(), b.column("n_tokens").to_pylist()
+                edits = [propose(t or "") for t in b.column("text").to_pylist()] if propose else b.column("edits").to_pylist()
+                before = b.column("n_tokens").to_pylist()
                 touched = [d for d, e in enumerate(edits) if e]
                 text, new = b.column("text"), {}
                 chars, tokens = b.column("leaf_chars"), b.column("leaf_tokens")
@@ -216,24 +219,12 @@ def apply_edits(state: DataFrame, tokenizer: str, keep_text: bool = True) -> Dat
 MARKS = re.compile(r"[#*$%&|<>!]+|[0-9]{4,}")
 
 
-def cleaning_edits(docs: DataFrame, pattern: re.Pattern = MARKS) -> DataFrame:
-    """``docs`` with the edits that a cleaning step would make: runs of markup
-    characters are deleted, long digit runs become ``0``. An older column of that name goes."""
-    docs = docs.drop("edits")
-    schema = T.StructType([*docs.schema.fields, T.StructField("edits", T.ArrayType(T.StructType([
-        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("text", T.StringType())])))])
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for t in batch.column("text").to_pylist():
-                edits, shift = [], 0
-                for m in pattern.finditer(t or ""):
-                    new = "0" if m.group()[0].isdigit() else ""
-                    edits.append({"start": m.start() + shift, "end": m.end() + shift, "text": new})
-                    shift += len(new) - (m.end() - m.start())
-                out.append(edits)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+def cleaning_edits_of(text: str, pattern: re.Pattern = MARKS) -> list[dict]:
+    """The edits that a cleaning step would make: runs of markup characters are deleted,
+    long digit runs become ``0``."""
+    edits, shift = [], 0
+    for m in pattern.finditer(text):
+        new = "0" if m.group()[0].isdigit() else ""
+        edits.append({"start": m.start() + shift, "end": m.end() + shift, "text": new})
+        shift += len(new) - (m.end() - m.start())
+    return edits
