@@ -8,7 +8,8 @@ classes, then one over the words of the target's class.
 
 Training is truncated backpropagation in numpy: each task deals its documents to lanes,
 advances all lanes in windows of ``window`` steps, carries the hidden state from window to
-window and resets it at document starts. Every training document is used once: rounds
+window and resets it at document starts (in training also every ``PART`` tokens of a
+long document). Every training document is used once: rounds
 take disjoint parts of them, and after a round the tasks' weights are averaged, weighted by
 tokens, by a tree of bounded groups. Scoring carries the state through the whole
 document, so the score is the complete text's log10 probability.
@@ -49,7 +50,8 @@ LANES = 512
 LANE_TOKENS = 4096
 ROUNDS = 2
 RATE = 0.01
-HEAD_ROWS = 1_000_000
+HEAD_ROWS = 2_000_000
+PART = 2048
 FAN_IN = 64
 CHUNK = 32 << 20
 END = np.uint64(0x5D1E2F3C4B5A6978)
@@ -296,6 +298,12 @@ class Trainer:
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
         before[first[:-1]] = g.start
+        # parts of at most PART tokens: the state is truncated there as well, so that one
+        # long document does not leave the other lanes idle
+        size = np.diff(first)
+        starts = np.repeat(first[:-1], -(-size // PART))
+        rank = np.arange(len(starts)) - np.searchsorted(starts, starts)
+        first = np.append(starts + rank * PART, first[-1])
         fresh = np.zeros(len(ids), bool)
         fresh[first[:-1]] = True
         lanes = lanes_of(first, min(LANES, max(8, len(ids) // LANE_TOKENS)))      # a small chunk still gives many steps
@@ -386,11 +394,12 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
     least = 0
     if v > head_rows:      # the counts above a quantile make up the head; the rest is joined
         least = int(counts.approxQuantile("c", [1 - head_rows / v], 0.001)[0])
-    head = counts.where(F.col("c") > least).toPandas()
-    tokens = head["token"].to_numpy(np.int64).view(np.uint64)
+    head = counts.where(F.col("c") > least).toArrow()
+    tokens = head.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (vocabulary, gru.pack(), tokens[order], head["c"].to_numpy(np.int64)[order]))
+        (vocabulary, gru.pack(), tokens[order], head.column("c").to_numpy()[order]))
+    del head, tokens, order
     ten = np.log(10.0)
 
     def known(tokens, head, c):

@@ -87,5 +87,5 @@ def op9_pii(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     path = tokenizer_path()
     state = token_counts.build(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    edited = token_counts.apply_edits(token_counts.cleaning_edits(state), path, keep_text=False)
+    edited = token_counts.apply_edits(state, path, keep_text=False, propose=token_counts.cleaning_edits_of)
     return edited.select("doc_id", "n_edits", "n_tokens_before", "n_tokens", "n_encoded")
