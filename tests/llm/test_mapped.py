@@ -296,7 +296,7 @@ def test_edit_tables(spark, docs, tokenizer):
         "doc_id bigint, seq int, start bigint, end bigint, text string")
     state = token_counts.with_edits(token_counts.build(docs, WORDS), edits)
     once = token_counts.apply_edits(state, WORDS)
-    twice = token_counts.apply_edits(token_counts.cleaning_edits(once.drop("edits")), WORDS)
+    twice = token_counts.apply_edits(once, WORDS, propose=token_counts.cleaning_edits_of)
     full = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids)
     for r in [*once.collect(), *twice.collect()]:
         assert r["n_tokens"] == full(r["text"]) == sum(r["leaf_tokens"]) and sum(r["leaf_chars"]) == len(r["text"] or "")
@@ -306,4 +306,4 @@ def test_edit_tables(spark, docs, tokenizer):
 
 
 def test_token_counts_empty(no_docs):
-    assert token_counts.apply_edits(token_counts.cleaning_edits(token_counts.build(no_docs, WORDS)), WORDS).count() == 0
+    assert token_counts.apply_edits(token_counts.build(no_docs, WORDS), WORDS, propose=token_counts.cleaning_edits_of).count() == 0
