@@ -101,7 +101,7 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
              key: str = "prompt_id", max_new_tokens: int | None = 20,
              max_length: int | None = None, num_return_sequences: int = 1,
              k: int = 50, t: float = 1.0, p: float = 0.95, seed: int = 42,
-             checkpoint_every: int = 10, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+             checkpoint_every: int = 20, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """``prompt_id, seq_no, prompt, generated_text`` for a whole prompt table.
 
     ``max_length`` counts prompt plus new tokens (the reference's meaning);
