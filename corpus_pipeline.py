@@ -40,13 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: benchmark passages are cut out; documents that are mostly such go."""
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
-    return _recount(decontaminate.remove_spans(found)).select(*docs.columns)
+    return _recount(decontaminate.clean(docs, table(spark, sf_dir, "benchmark")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: personal data is replaced by its kind."""
-    return _recount(pii.redact(docs, pii.train(docs))).select(*docs.columns)
+    return _recount(pii.redact(docs, pii.train(docs)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

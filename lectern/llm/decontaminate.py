@@ -4,7 +4,7 @@ The normalised words of the test items are put into one suffix automaton (one
 string per item, so no match crosses two items). Training documents stream
 through it word by word; the longest match ending at each word gives every
 occurrence of a window: ``k`` consecutive item words, or a whole item of fewer.
-Words inside an occurrence are hit; ``remove_spans`` cuts the hit spans out of the
+Words inside an occurrence are hit; ``clean`` cuts the hit spans out of the
 text and drops a document whose hit share exceeds the coverage limit.
 
 Streaming skips what cannot match: a match of two or more words lies in a run of
@@ -21,8 +21,8 @@ driver at a time.
 Defined cases: null or empty text has no words and no hits, an item without words
 matches nothing, a null ``item_id`` is reported as an empty string, repeated
 documents are judged one by one, items with equal text all count, an empty item
-table leaves every document clean. Extra columns are ignored by ``scan`` and kept
-by ``remove_spans``.
+table leaves every document clean. Extra columns stay, but for
+those that ``scan`` names itself; ``clean`` keeps all.
 """
 
 from __future__ import annotations
@@ -36,14 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import ALNUM, LOWER, chunks, hashes, text_buffer, words_of
+from .words import ALNUM, LOWER, chunks, hashes, words_of
 
 K = 10
 SHARD_WORDS = 1_000_000
 MIN_SPAN = 10
 MAX_COVERAGE = 0.8
 
-_FOUND = "n_words bigint, spans array<struct<first:bigint,last:bigint>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
@@ -204,24 +203,51 @@ def shards(items: DataFrame, k: int, shard_words: int, id_col: str,
 
 def scan(docs: DataFrame, items: DataFrame, k: int = K, shard_words: int = SHARD_WORDS, text_col: str = "text",
          item_id: str = "item_id", item_text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` (without the text if not ``keep_text``) with ``n_words``, ``spans`` (hit word ranges, end exclusive) and
-    ``items`` (sorted ids of items with an occurring window) in place of equally
-    named columns."""
-    out = docs.drop("n_words", "spans", "items")
-    cols = out.columns
-    out = out.selectExpr("*", "cast(0 as bigint) n_words",
-                         "cast(array() as array<struct<first:bigint,last:bigint>>) spans",
-                         "cast(array() as array<string>) items")
+    """``docs`` (without the text if not ``keep_text``) with ``n_words``, ``spans`` (hit word
+    ranges, end exclusive) and ``items`` (sorted ids of items with an occurring window) in
+    place of equally named columns."""
+    def last(out, automaton, cols):
+        kept = [c for c in cols if keep_text or c != text_col]
+        schema = T.StructType([out.schema[c] for c in (*kept, "n_words", "spans", "items")])
+        return out.mapInArrow(_mapper(automaton, kept, text_col), schema)
+
+    return _through(docs.drop("n_words", "spans", "items"), items, k, shard_words, text_col, item_id, item_text, last)
+
+
+def clean(docs: DataFrame, items: DataFrame, k: int = K, min_span: int = MIN_SPAN, max_coverage: float = MAX_COVERAGE,
+          shard_words: int = SHARD_WORDS, text_col: str = "text", item_id: str = "item_id",
+          item_text: str = "text") -> DataFrame:
+    """``docs`` without the hit spans of at least ``min_span`` words (shorter ones stay) and
+    without the documents of which more than ``max_coverage`` of the words are hit. A
+    cut takes the words with the gaps between them; the rest of the text is unchanged.
+    All columns are kept; the cut happens in the pass that finds the last spans."""
+    work = {"n_words": "_n_words", "spans": "_spans", "items": "_items"}      # names that the scan would take
+    names = docs.columns
+    renamed = docs.withColumnsRenamed({c: n for c, n in work.items() if c in names})
+
+    def last(out, automaton, cols):
+        schema = T.StructType([out.schema[c] for c in cols])
+        return out.mapInArrow(_mapper(automaton, cols, text_col, (min_span, max_coverage)), schema)
+
+    out = _through(renamed, items, k, shard_words, text_col, item_id, item_text, last)
+    return out.withColumnsRenamed({n: c for c, n in work.items() if c in names}).select(*names)
+
+
+def _through(docs, items, k, shard_words, text_col, item_id, item_text, last) -> DataFrame:
+    """``docs`` passed through the automata of all shards; ``last`` adds the last one."""
+    cols = docs.columns
+    out = docs.selectExpr("*", "cast(0 as bigint) n_words",
+                          "cast(array() as array<struct<first:bigint,last:bigint>>) spans",
+                          "cast(array() as array<string>) items")
     sc = docs.sparkSession.sparkContext
-    for last, automaton in shards(items, k, shard_words, item_id, item_text):
-        if last and not keep_text:
-            cols = [c for c in cols if c != text_col]
-        schema = T.StructType([out.schema[c] for c in (*cols, "n_words", "spans", "items")])
-        out = out.mapInArrow(_mapper(sc.broadcast(automaton), cols, text_col), schema)
+    for at_end, automaton in shards(items, k, shard_words, item_id, item_text):
+        automaton = sc.broadcast(automaton)
+        out = last(out, automaton, cols) if at_end else out.mapInArrow(_mapper(automaton, cols, text_col), out.schema)
     return out
 
 
-def _mapper(shared, cols, text_col):
+def _mapper(shared, cols, text_col, limits=None):
+    """Finds spans and items; with ``limits`` (least span, most coverage) cuts the spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
@@ -245,12 +271,34 @@ def _mapper(shared, cols, text_col):
                         spans[d] = [{"first": x, "last": y} for x, y in s]
                         items[d] = sorted({*items[d], *i})
                     spans, items = pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in cols), pa.array(w.counts, pa.int64()), spans, items],
-                    names=[*cols, "n_words", "spans", "items"])
+                if limits:
+                    text, keep = _cut(w, b.column(text_col), spans, *limits)
+                    yield pa.RecordBatch.from_arrays([text if c == text_col else b.column(c) for c in cols],
+                                                     names=cols).filter(keep)
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(b.column(c) for c in cols), pa.array(w.counts, pa.int64()), spans, items],
+                        names=[*cols, "n_words", "spans", "items"])
     return run
 
 
+def _cut(w, text: pa.Array, spans: pa.Array, min_span: int, max_coverage: float) -> tuple[pa.Array, pa.Array]:
+    """The texts without their spans, and which documents stay."""
+    counts, new, keep = w.counts, {}, np.ones(len(text), bool)
+    for d in np.flatnonzero(np.diff(spans.offsets.to_numpy())).tolist():
+        at, base, parts = int(w.offsets[d]), int(w.first[d]), []
+        own = [(s["first"], s["last"]) for s in spans[d].as_py()]
+        keep[d] = sum(y - x for x, y in own) <= max_coverage * counts[d]
+        for x, y in own:
+            if y - x >= min_span:
+                parts.append(w.data[at:int(w.starts[base + x])].tobytes())
+                at = int(w.ends[base + y - 1])
+        new[d] = b"".join([*parts, w.data[at:int(w.offsets[d + 1])].tobytes()]).decode("utf-8", "replace")
+    if new:
+        text = pa.array([new.get(i, t) for i, t in enumerate(text.to_pylist())], text.type)
+    return text, pa.array(keep)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The query's columns from ``scan``'s."""
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"])
@@ -259,41 +307,6 @@ def digest(found: DataFrame) -> DataFrame:
                         (hit > 0).alias("contaminated"))
 
 
-def remove_spans(found: DataFrame, min_span: int = MIN_SPAN, max_coverage: float = MAX_COVERAGE,
-                 text_col: str = "text") -> DataFrame:
-    """``scan``'s documents without the spans of at least ``min_span`` words (shorter
-    ones stay) and without the documents of which more than ``max_coverage`` of the
-    words are hit. A cut takes the words with the gaps between them; the rest of the
-    text is unchanged."""
-    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"])
-    kept = found.where((hit == 0) | (hit <= F.lit(max_coverage) * F.col("n_words")))
-    cols = [c for c in found.columns if c not in ("n_words", "spans", "items")]
-    kept = kept.withColumn("spans", F.filter("spans", lambda s: s["last"] - s["first"] >= min_span))
-    schema = T.StructType([found.schema[c] for c in cols])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in chunks(batch, text_col):
-                cut = np.flatnonzero(np.diff(b.column("spans").offsets.to_numpy()))
-                text = b.column(text_col)
-                if len(cut):
-                    some = b.take(pa.array(cut))
-                    w = words_of(some.column(text_col), ALNUM)
-                    data, off = text_buffer(some.column(text_col))
-                    raw, new = data.tobytes(), {}
-                    for j, (d, spans) in enumerate(zip(cut.tolist(), some.column("spans").to_pylist())):
-                        at, parts, base = int(off[j]), [], int(w.first[j])
-                        for s in spans:
-                            parts.append(raw[at:int(w.starts[base + s["first"]])])
-                            at = int(w.ends[base + s["last"] - 1])
-                        new[d] = b"".join([*parts, raw[at:int(off[j + 1])]]).decode("utf-8", "replace")
-                    old = text.to_pylist()
-                    text = pa.array([new.get(i, t) for i, t in enumerate(old)], text.type)
-                yield pa.RecordBatch.from_arrays([text if c == text_col else b.column(c) for c in cols], names=cols)
-
-    return kept.mapInArrow(run, schema)
-
-
 def brute_force(docs: list[tuple], items: list[tuple], k: int = K) -> list[tuple]:
     """The query's rows by comparing every window with every position (for tests)."""
     import re

@@ -40,7 +40,7 @@ SIZE = 4096
 END_ID = 2
 OPEN_WINDOWS = 8
 FAN_IN = 16
-CACHE_PIECES = 800_000
+CACHE_PIECES = 300_000
 #: Characters that the tokenizer's normaliser only lower-cases, without white space.
 PLAIN = [(0x21, 0x7E), (0xA1, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20BF)]
 

@@ -66,15 +66,16 @@ def test_remove_spans(spark):
     passage = "one two three four five six seven eight nine ten eleven"
     rows = [(1, f"Before it. {passage.upper()}! after it, more words of the text here and there"), (2, passage), (3, "clean text"), (4, None)]
     items = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
-    out = decontaminate.remove_spans(decontaminate.scan(make_docs(spark, rows), items))
-    assert out.columns == [c for c in make_docs(spark, rows).columns if c not in ("n_words", "spans", "items")]
+    out = decontaminate.clean(make_docs(spark, rows), items)
+    assert out.columns == make_docs(spark, rows).columns
+    assert {(r["n_words"], r["spans"], r["items"]) for r in out.collect()} == {(7, "s", "i")}
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {
         1: "Before it. ! after it, more words of the text here and there", 3: "clean text", 4: None}
 
 
 def test_decontaminate_empty(spark, docs, no_docs):
     items = spark.createDataFrame([], "item_id bigint, text string")
-    assert decontaminate.scan(no_docs, items).count() == 0
+    assert decontaminate.scan(no_docs, items).count() == 0 and decontaminate.clean(no_docs, items).count() == 0
     assert decontaminate.digest(decontaminate.scan(docs, items)).where("contaminated").count() == 0
 
 
