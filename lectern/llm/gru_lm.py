@@ -54,6 +54,7 @@ HEAD_ROWS = 2_000_000
 PART = 2048
 FAN_IN = 64
 CHUNK = 32 << 20
+BLOCK = 500_000
 END = np.uint64(0x5D1E2F3C4B5A6978)
 
 
@@ -109,7 +110,7 @@ class Vocabulary:
 
     def ids(self, tokens: np.ndarray) -> np.ndarray:
         """Rank of known words; ``size`` plus a hash bucket for others."""
-        out = self.size + (tokens % np.uint64(BUCKETS)).astype(np.int64)
+        out = (tokens % np.uint64(BUCKETS)).astype(np.int32) + np.int32(self.size)
         if self.size:
             seen = np.zeros(1 << 16, bool)
             seen[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
@@ -256,7 +257,7 @@ def lanes_of(first: np.ndarray, most: int = LANES) -> np.ndarray:
         used, lane = heapq.heappop(load)
         placed.append((d, lane, used))
         heapq.heappush(load, (used + int(size[d]), lane))
-    out = np.full((n, max(u for u, _ in load)), -1, np.int64)
+    out = np.full((n, max(u for u, _ in load)), -1, np.int32)
     for d, lane, used in placed:
         out[lane, used:used + size[d]] = np.arange(first[d], first[d + 1])
     return np.ascontiguousarray(out.T)
@@ -264,7 +265,7 @@ def lanes_of(first: np.ndarray, most: int = LANES) -> np.ndarray:
 
 def score_chunk(gru: Gru, ids: np.ndarray, first: np.ndarray, window: int = 64) -> np.ndarray:
     """Natural log probability of each token of a chunk, states carried through."""
-    out = np.zeros(len(ids))
+    out = np.zeros(len(ids), np.float32)
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[first[:-1]] = gru.start
@@ -410,6 +411,9 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
         ok = head[at] == tokens
         return np.where(ok, c[at], 0), ok
 
+    def total(x, first, kind=np.float64):
+        return np.add.reduceat(x, first[:-1], dtype=kind) if len(first) > 1 else np.zeros(0, kind)
+
     id_type = docs.schema["doc_id"].dataType.simpleString()
     with_row = docs.withColumn("held_out", held_out()).withColumn("row", F.monotonically_increasing_id())
 
@@ -420,12 +424,22 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
             for b in chunks(batch, "text", CHUNK):
                 tokens, first = tokens_of(b.column("text"))
                 ids = vocabulary.ids(tokens)
-                count, ok = known(tokens, head, c)
-                use = ok if least else np.ones(len(ok), bool)
-                base = np.where(use, np.log10((count + 1.0) / (n + v + 1)), 0.0)
-                rest = np.where(use & (ids >= vocabulary.size), np.log10((count + 1.0) / (n_rest + v_rest + 1)), 0.0)
-                own = score_chunk(gru, ids, first) / ten + rest
-                sums = [np.add.reduceat(x, first[:-1]) if len(first) > 1 else x[:0] for x in ((count > 0).astype(np.int64), base, own)]
+                count = np.empty(len(tokens), np.float64)       # plus one; 0 where the join counts
+                for at in range(0, len(tokens), BLOCK):
+                    some, ok = known(tokens[at:at + BLOCK], head, c)
+                    count[at:at + BLOCK] = np.where(ok, some + 1.0, 0.0 if least else 1.0)
+                del tokens
+                sums = [total(count > 1, first, np.int64)]
+                counted = count > 0
+                logs = np.log10(count, out=count, where=counted)
+                logs -= np.log10(n + v + 1.0) * counted
+                sums.append(total(logs, first))
+                # the unigram of the last class differs from the corpus's by its total alone
+                logs += (np.log10(n + v + 1.0) - np.log10(n_rest + v_rest + 1.0)) * counted
+                logs *= ids >= vocabulary.size
+                outside = total(logs, first)
+                del count, logs, counted
+                sums.append(total(score_chunk(gru, ids, first), first) / ten + outside)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("row"), b.column("held_out"), pa.array(np.diff(first), pa.int64()),
                      *(pa.array(s) for s in sums)],
