@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 BROADCAST_ROWS = 2_000_000
 
@@ -17,13 +17,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet into the session's shared checkpoint folder and read
-    again: cuts lineage, keeps column pruning, survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Written intermediate tables: cut lineage, keep column pruning, survive lost executors.
+stage = cut_lineage
 
 
 def sized_join(big: DataFrame, small: DataFrame, on, how: str, rows: int | None = None,
