@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest_llm import edge_rows, make_docs
+from .data import edge_rows, make_docs
 from lectern.llm import gru_lm
 
 

@@ -3,7 +3,7 @@ import re
 
 import duckdb
 
-from conftest_llm import edge_rows, make_docs
+from .data import edge_rows, make_docs
 from lectern.llm import license_scan as ls
 from lectern.llm import sql
 

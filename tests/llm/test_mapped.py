@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest_llm import edge_rows, make_docs, rows_of
+from .data import edge_rows, make_docs, rows_of
 from lectern.llm import decontaminate, packing, pii, quality, token_counts
 from lectern.llm.words import ALNUM, LOWER, SPACED, grams, hash_words, hashes, words_of
 

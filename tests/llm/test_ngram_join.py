@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from conftest_llm import rows_of, edge_rows, make_docs
+from .data import rows_of, edge_rows, make_docs
 from lectern.llm import ngram_join as nj
 
 
