@@ -13,15 +13,18 @@ from .operators.catalog import (candidate_items, fetch_status, fetch_tally, item
                                 unresolved_works, works_routable)
 from .operators.generate import generate, render_samples, sampling_table, temperature, top_k, top_p
 from .operators.joins import lookup
-from .operators.lm import (best_model, eval_loss, fit_bigram, grid_losses, pair_counts,
-                           perplexity, retained_models)
+from .operators.lines import clean_lines, number_files, number_lines
+from .operators.lm import (best_model, eval_loss, fit_bigram, grid_losses, load_model, pair_counts,
+                           perplexity, retained_models, save_model)
 from .operators.pack import cut_blocks, pack_batch, pack_document, pack_file, pack_stats, token_offsets
 from .operators.prefix import dense_ordinal, hash_rank, running_offsets
-from .operators.schedule import batch_plan, step_events
+from .operators.schedule import batch_plan, block_keys, step_events
 from .operators.split import split_exact
-from .operators.tokenize import (fit_vocab, map_batches, special_tokens, token_rows, tokenize,
+from .operators.tokenize import (detokenize, fit_vocab, map_batches, special_tokens, token_rows, tokenize,
                                  tokenize_bytes, tokenize_with)
-from .plans.prepare import create_dataset, create_dataset_from_lines, preprocess, run_all
+from .plans.prepare import (create_dataset, create_dataset_from_lines, generate_text, preprocess, run_all,
+                            run_create_dataset, run_create_dataset_from_lines, run_evaluate, run_generate,
+                            run_preprocess)
 from .session import build_session, cut_lineage, ensure_checkpoint_dir
 from .sources.files import (load_table, parse_works, read_lines, read_prompts, read_text_files,
                             read_works)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import FOOTER_MARKER, HEADER_MARKER, normalize_ws
+from ..session import cut_lineage
 from .joins import lookup, string_cells, table_size
 from .prefix import dense_ordinal, running_offsets
 
@@ -72,7 +73,7 @@ def clean_lines(lines: DataFrame, key: str = "path", order: str = "line_no") ->
     rest. Line numbers stay. Columns other than ``text`` are kept.
     """
     t = F.col("text")
-    bounds = content_bounds(lines, key, order)
+    bounds = cut_lineage(content_bounds(lines, key, order))       # a row per marked file: measured, then joined
     size = table_size(bounds, string_cells(F.col(key).cast("string")) + 4)
     j = lookup(lines, bounds, [key], "left", salt_cols=[key, order], small_size=size)
     first, last = F.col(order) == F.col("_l0"), F.col(order) == F.col("_l1")
@@ -93,7 +94,7 @@ def number_lines(lines: DataFrame, out: str = "row_idx") -> DataFrame:
     with the file's dense ``doc_id``. Only per-file counts are ordered."""
     files = lines.groupBy("path").agg(F.count(F.lit(1)).alias("_nl"))
     files = dense_ordinal(files, [F.col("path")], out="doc_id")
-    first = running_offsets(files, [], "doc_id", "_nl", out="_first").select("path", "doc_id", "_first")
+    first = cut_lineage(running_offsets(files, [], "doc_id", "_nl", out="_first").select("path", "doc_id", "_first"))
     size = table_size(first, string_cells("path") + 2)
     j = lookup(lines, first, ["path"], "inner", salt_cols=["path", "line_no"], small_size=size)
     return j.withColumn(out, (F.col("_first") + F.col("line_no")).cast("long")).drop("_first")

@@ -19,6 +19,7 @@ from .inputs import documents, table
 from .registry import register
 
 ROOT = "downloads"
+PROMPT_ROLE = "user"        # whose turns are prompts
 
 
 def order():
@@ -224,12 +225,12 @@ SELECT conv_id, turn, CAST(line_no AS INTEGER) AS line_no, prompt FROM (
   SELECT conv_id, turn, generate_subscripts(ls, 1) - 1 AS line_no, {o.strip_ws('unnest(ls)')} AS prompt
   FROM (SELECT conv_id, turn, CASE WHEN text = '' THEN []::VARCHAR[] ELSE
           string_split_regex(regexp_replace(text, '(\\r\\n|\\r|\\n)\\z', ''), '\\r\\n|\\r|\\n') END AS ls
-        FROM conversations WHERE role = 'user'))
+        FROM conversations WHERE role = '{PROMPT_ROLE}'))
 WHERE prompt <> ''""")
 def q_prompt_scan(spark, sf):
     """User turns of the conversations as prompt files: one prompt per line,
     stripped, blanks dropped."""
-    c = table(spark, sf, "conversations").where(F.col("role") == "user")
+    c = table(spark, sf, "conversations").where(F.col("role") == PROMPT_ROLE)
     lines = c.select("conv_id", "turn", F.posexplode(tx.split_lines("text")).alias("line_no", "text"))
     p = lines.select("conv_id", "turn", F.col("line_no").cast("int").alias("line_no"),
                      tx.strip_ws("text").alias("prompt"))
