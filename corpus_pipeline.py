@@ -17,6 +17,9 @@ from lectern.llm.queries import table, tokenizer_path
 from lectern.llm.staging import sized_join, stage
 
 
+PACKING_CACHE = 250_000
+
+
 def _recount(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
@@ -50,7 +53,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: pieces of documents in sequences of at most 4096 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    # workers keep their caches while other stages run, so this one is small
+    return packing.pack(docs, tokenizer_path(), cache=PACKING_CACHE)
 
 
 STAGES = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination),

@@ -40,7 +40,7 @@ SIZE = 4096
 END_ID = 2
 OPEN_WINDOWS = 8
 FAN_IN = 16
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
 #: Characters that the tokenizer's normaliser only lower-cases, without white space.
 PLAIN = [(0x21, 0x7E), (0xA1, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20BF)]
 
@@ -201,16 +201,17 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, open_windows: int = OPEN_WINDOWS,
-         fan_in: int = FAN_IN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+         fan_in: int = FAN_IN, end_id: int = END_ID, with_ids: bool = False, cache: int = CACHE_PIECES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset; with ``with_ids`` also ``ids`` (little-endian 32-bit)."""
+    offset; with ``with_ids`` also ``ids`` (little-endian 32-bit). ``cache`` bounds the
+    pre-tokens that a Python worker remembers, about 200 bytes each."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     ddl = (f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
            "sequence_id bigint, offset bigint, open boolean, ids binary")
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds.at(tokenizer)
+        words = WordIds.at(tokenizer, cache)
         packer = Packer(TaskContext.get().partitionId() << 32, size, open_windows, with_ids)
         schema = None
         for batch in batches:
