@@ -30,8 +30,9 @@ identified by 64-bit signatures.
 
 Defined cases: null, empty or wordless texts have no shingles and link with
 nothing; fewer than ``k`` words are one shingle; equal sets link; repeated rows are in
-one component; a null ``doc_id`` never names a component with other ids; extra columns
-are ignored.
+one component; a null ``doc_id`` never names a component with other ids, but links like any
+other; extra columns are ignored. Rows are told apart by a 64-bit hash of their values beside
+``doc_id``, which need not be unique or given.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def overlap(n, m, percent: int):
 
 
 def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, sig) of each document, and the shingle counts by bucket."""
+    """(doc_id, key, n, sig) of each document, and the shingle counts by bucket."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     slabs = max(1, (1 << bits) // SLAB)
 
@@ -103,11 +104,11 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
                 counts[bucket] += times.astype(np.uint32)
             waiting, held = [], 0
 
-        def rows(ids, n, sig, slab, data):
+        def rows(ids, key, n, sig, slab, data):
             return pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(slab, pa.int64()),
+                [ids, key, pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(slab, pa.int64()),
                  pa.array([TaskContext.get().partitionId()] * len(n), pa.int64()), pa.array(data, pa.binary())],
-                names=["doc_id", "n", "sig", "slab", "task", "counts"])
+                names=["doc_id", "key", "n", "sig", "slab", "task", "counts"])
 
         for batch in batches:
             id_arrow = batch.schema.field("doc_id").type
@@ -119,15 +120,15 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
                 if held > 1_000_000:
                     settle()
                 none = [None] * len(sets)
-                yield rows(b.column("doc_id"), [len(s) for s in sets],
+                yield rows(b.column("doc_id"), b.column("key"), [len(s) for s in sets],
                            [signature(s) if len(s) else None for s in sets], none, none)
         settle()
         if id_arrow is not None:
             for i, part in enumerate(np.split(counts, slabs)):
-                yield rows(pa.nulls(1, id_arrow), [None], [None], [i], [zlib.compress(part, 1)])
+                yield rows(pa.nulls(1, id_arrow), pa.nulls(1, pa.int64()), [None], [None], [i], [zlib.compress(part, 1)])
 
-    done = stage(docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n bigint, sig bigint, slab bigint, task bigint, counts binary"))
+    done = stage(docs.select("doc_id", "key", "text").mapInArrow(
+        run, f"doc_id {id_type}, key bigint, n bigint, sig bigint, slab bigint, task bigint, counts binary"))
     part = done.where("slab is not null").select("slab", "task", "counts")
     tasks = (part.agg(F.max("task")).first()[0] or 0) + 1
     while True:
@@ -140,7 +141,7 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
     for r in part.collect():
         c = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
         total[r["slab"] * len(c):(r["slab"] + 1) * len(c)] = c
-    return done.where("slab is null").select("doc_id", "n", "sig"), total
+    return done.where("slab is null").select("doc_id", "key", "n", "sig"), total
 
 
 def _sum_slabs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -217,14 +218,19 @@ def _may_meet(a: str, b: str, percent: int):
 
 def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, order, k: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of signatures, those whose whole sets link; sets are only
-    compared if the longer prefixes share enough. ``classes`` (sig, doc_id) names the
-    document whose text stands for a signature."""
+    compared if the longer prefixes share enough. ``classes`` (sig, key) names the
+    row whose text stands for a signature."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    wanted = stage(sized_join(classes, ids, "sig", "left_semi"))
+    wanted = stage(sized_join(classes.select("sig", "key"), ids, "sig", "left_semi"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()        # (key, sig): equal rows have one key, and their sets are built once in a task
         for batch in batches:
-            for b in chunks(batch, "text"):
+            new = []
+            for pair in zip(batch.column("key").to_pylist(), batch.column("sig").to_pylist()):
+                new.append(pair not in seen)
+                seen.add(pair)
+            for b in chunks(batch.filter(pa.array(new, pa.bool_())), "text"):
                 sets = shingle_sets(b.column("text"), k)
                 prefix = [order.value.adaptive(s) if len(s) else (s, 0) for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -233,8 +239,8 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, order, k
                      pa.array([p.tobytes() for p, _ in prefix], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["sig", "own", "n", "l", "prefix", "set"])
 
-    # several rows may carry one doc_id: the signature tells which is meant
-    sets = stage(sized_join(docs.select("doc_id", "text"), wanted, "doc_id", "inner").select("sig", "text")
+    # several rows may have one key: the signature tells which is meant
+    sets = stage(sized_join(docs.select("key", "text"), wanted, "key", "inner").select("key", "sig", "text")
                  .mapInArrow(load, "sig bigint, own bigint, n bigint, l bigint, prefix binary, set binary")
                  .where("sig = own").drop("own").dropDuplicates(["sig"]))
 
@@ -334,12 +340,16 @@ def _block_pairs(g: dict[str, np.ndarray], percent: int, a_out: list, b_out: lis
             b_out.append(np.maximum(mine, g["sig"][j]))
 
 
-def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS,
-                    block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+def linked_rows(docs: DataFrame, keyed: list[str], k: int = K, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS,
+                block: int = BLOCK) -> DataFrame:
+    """doc_id, key, n, sig, component_id, kept of each row of ``docs``. ``key`` is the hash of
+    the columns ``keyed``, so rows equal in them have one key. ``kept`` marks the component's row
+    with the smallest (doc_id, key), null ids last, and all its equals; it and ``component_id``
+    are null for rows without shingles."""
+    docs = docs.select("doc_id", "text", F.xxhash64(*keyed).alias("key"))
     sizes, counts = survey(docs, k, sketch_bits)
-    classes = stage(sizes.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")
+    classes = stage(sizes.where("sig is not null").groupBy("sig").agg(least).select("sig", "least.doc_id", "least.key"))
     order = docs.sparkSession.sparkContext.broadcast(Order(counts, percent))
     rows = stage(prefixes(docs, order, k))
     groups = stage(rows.groupBy("token").agg(F.min(F.struct("place", "n", "sig")).alias("pivot"), F.min("sig").alias("low"),
@@ -358,11 +368,20 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_
     cross = stage(cross_pairs(stage(more), percent, block))
     links = links.unionByName(linked_pairs(docs, classes, cross, order, k, percent))
     final = stage(components(links))
-    # components of several signatures take the smallest doc_id of any; others their own class's
+    # components of several signatures take the smallest row of any; others their own class's
     named = sized_join(classes, final.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "root", F.coalesce("root", "sig"))
     named = stage(named)
-    of_root = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_sig = stage(named.join(of_root, "root").select("sig", "component_id"))
+    of_root = named.groupBy("root").agg(least).select(
+        "root", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first"))
+    by_sig = stage(named.join(of_root, "root").select("sig", "component_id", "first"))
     return sized_join(sizes, by_sig, "sig", "left").select(
+        "doc_id", "key", "n", "sig", "component_id",
+        (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first"))).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS,
+                    block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id of each row of ``docs``."""
+    return linked_rows(docs, ["doc_id", "text"], k, percent, sketch_bits, block).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -65,6 +65,16 @@ def test_near_copies(spark, bits, block, k, percent):
     assert rows_of(got) == brute(rows, k, percent)
 
 
+def test_null_ids_link(spark):
+    """Rows without an id link like others, also where only such a row joins two documents."""
+    w = [f"w{i}" for i in range(100)]
+    text = lambda a: " ".join(["x"] * a + w[a:])
+    rows = [(1, text(0)), (None, text(6)), (2, text(12)), (None, "n " + text(40)), (None, text(40)), (7, text(70)), (None, text(70))]
+    want = brute(rows, 4, 85)
+    assert [r[2] for r in want if r[0] == 2] == [1] and brute([r for r in rows if r[0]], 4, 85)[1][2] == 2
+    assert rows_of(nj.near_duplicates(make_docs(spark, rows).repartition(3), sketch_bits=16)) == want
+
+
 def test_prefix_condition():
     """Linked sets share enough prefix shingles at the smaller of their match numbers."""
     r = np.random.default_rng(0)
