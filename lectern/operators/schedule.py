@@ -8,6 +8,7 @@ logs / evaluates / saves every N steps. The data side of that is a plan table:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +55,8 @@ def step_events(blocks: DataFrame, epochs: int = 3, batch_size: int = 1, logging
     """``step, event`` for every step that logs, evaluates or saves. Steps follow from
     the number of blocks (one row per block in ``blocks``): each epoch has
     ``ceil(blocks / batch_size)``."""
-    total = blocks.agg((F.ceil(F.count(F.lit(1)) / F.lit(batch_size)) * epochs).cast("long").alias("total"))
-    every = [("log", logging_steps), ("evaluate", eval_steps), ("save", save_steps)]
-    due = F.inline(F.array(*[F.struct(F.lit(name).alias("event"), F.lit(n).cast("long").alias("every")) for name, n in every]))
-    return total.select("total", due).where(F.col("total") >= F.col("every")).select(
-        F.explode(F.sequence("every", "total", "every")).alias("step"), "event")
+    total = blocks.agg((F.ceil(F.count(F.lit(1)) / F.lit(batch_size)) * epochs).cast("long")).first()[0]
+    # ranges are dealt over tasks, so no value or task holds all steps
+    due = [blocks.sparkSession.range(n, total + 1, n).select(F.col("id").alias("step"), F.lit(name).alias("event"))
+           for name, n in (("log", logging_steps), ("evaluate", eval_steps), ("save", save_steps))]
+    return reduce(DataFrame.unionByName, due)

@@ -78,6 +78,14 @@ def test_events_follow_the_plan(spark, blocks, epochs, batch):
     assert sorted(tuple(r) for r in step_events(df, epochs, batch, 2, 5, 10).collect()) == want
 
 
+def test_events_beyond_one_array(spark):
+    """More steps than one array can hold, in more than one task."""
+    n = 3_000_000_000
+    ev = step_events(spark.range(1), n, 1, 1, n // 2, n)
+    assert dict(map(tuple, ev.groupBy("event").count().collect())) == {"log": n, "evaluate": 2, "save": 1}
+    assert step_events(spark.range(1000), 1, 1, 1, 500, 500).where("event = 'log'").rdd.getNumPartitions() > 1
+
+
 def test_block_keys_from_counts(spark):
     df = spark.createDataFrame([(1, 0), (2, 9), (3, 10), (4, 35)], "doc_id long, n_tokens int")
     assert sorted(tuple(r) for r in block_keys(df, 10).collect()) == [(3, 0), (4, 0), (4, 1), (4, 2)]
