@@ -34,11 +34,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2 on five-word shingles at a similarity of 0.8: of each group of linked
-    documents the one with the smallest doc_id stays (rows repeated under one doc_id
-    are one document)."""
-    found = ngram_join.near_duplicates(docs, k=5, percent=80)
-    gone = stage(found.where("doc_id <> component_id").select("doc_id").distinct())
-    return sized_join(docs, gone, "doc_id", "left_anti")
+    documents one row stays, that with the smallest doc_id (null ids last, ties by a hash of
+    the row). Rows are told apart by doc_id and hash, so ids may repeat, clash or be null; of
+    rows equal in every column one stays. Texts without shingles link with nothing and all stay."""
+    found = ngram_join.linked_rows(docs, docs.columns, k=5, percent=80)
+    marks = stage(found.where("kept is not null").groupBy("doc_id", "key")
+                  .agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("times")).where("not kept or times > 1")
+                  .select(F.col("doc_id").alias("_id"), F.col("key").alias("_mark"), "kept"))
+    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_mark"))
+    once = sized_join(keyed, marks, same, "left_anti")
+    again = sized_join(keyed, marks.where("kept").drop("kept"), same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

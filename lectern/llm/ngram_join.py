@@ -377,7 +377,8 @@ def linked_rows(docs: DataFrame, keyed: list[str], k: int = K, percent: int = PE
     by_sig = stage(named.join(of_root, "root").select("sig", "component_id", "first"))
     return sized_join(sizes, by_sig, "sig", "left").select(
         "doc_id", "key", "n", "sig", "component_id",
-        (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first"))).alias("kept"))
+        F.when(F.col("sig").isNotNull(), F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first")))
+        .alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS,

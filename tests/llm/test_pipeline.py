@@ -69,3 +69,17 @@ def test_stages_on_edge_cases(spark, tmp_path):
         step(spark, docs, str(tmp_path)).collect()
         step(spark, docs.limit(0), str(tmp_path)).collect()
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {5}
+
+
+def test_near_duplicates_keep_one_row_per_group(spark):
+    """Repeated, null and clashing ids: one row of each group stays, and no other text goes."""
+    text = lambda n: " ".join(f"{n}{i}" for i in range(60))
+    rows = ([(1, text("a"), "x")] * 3 + [(1, text("a"), "y"), (1, text("b"), "x")]     # repeated, and clashing texts
+            + [(None, text("c"), "x")] * 2 + [(None, text("d"), "x"), (4, text("d") + " e", "x")]      # null ids
+            + [(3, text("f"), "x"), (5, text("f") + " g", "x"), (5, text("h"), "x")]    # 5 clashes; one of its texts links to 3
+            + [(8, None, "x"), (8, "", "x")])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(((d, t) for d, t, _ in got), key=str) == sorted(
+        [(1, text("a")), (1, text("b")), (None, text("c")), (4, text("d") + " e"), (3, text("f")), (5, text("h")),
+         (8, None), (8, "")], key=str)
