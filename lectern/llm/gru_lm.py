@@ -1,17 +1,20 @@
 """LM scoring with a gated recurrent language model.
 
 Corpus counts come first: every training document's tokens (lower-cased words and one
-end token) are counted per task and summed by Spark. The most frequent words form the
-network's vocabulary, dealt by rank into classes; all other words are one more class, whose
-words share the add-one unigram of the rest. The output is factored: a softmax over
-classes, then one over the words of the target's class.
+end token) are counted per task and summed by Spark. The words that make up at least ``SHARE``
+of the tokens (and occur ``LEAST`` times) form the network's vocabulary, so it grows with the
+corpus's variety and has at most 1 / ``SHARE`` words. It is dealt by rank into about
+sqrt(size) classes; all other words are one more class, whose words share the add-one
+unigram of the rest. The output is factored: a softmax over classes, then one over the
+words of the target's class.
 
 Training is truncated backpropagation in numpy: each task deals its documents to lanes,
 advances all lanes in windows of ``window`` steps, carries the hidden state from window to
 window and resets it at document starts (in training also every ``PART`` tokens of a
 long document). Every training document is used once: rounds
-take disjoint parts of them, and after a round the tasks' weights are averaged, weighted by
-tokens, by a tree of bounded groups. Scoring carries the state through the whole
+take disjoint parts of them, and after a round the tasks' changes of the weights are averaged,
+weighted by tokens, in pieces of bounded size by a tree of bounded groups. A step
+updates the embeddings of its own input words alone. Scoring carries the state through the whole
 document, so the score is the complete text's log10 probability.
 
 Scale: tasks hold one Arrow batch; counts are shuffled by token hash after map-side sums.
@@ -43,7 +46,7 @@ from .words import LOWER, SPACED, chunks, hashes, words_of
 
 FOLDS, HELD = 7, 2
 HIDDEN = 12
-CLASSES, CLASS_WORDS = 16, 16
+SHARE, LEAST = 5e-6, 2
 BUCKETS = 64
 WINDOW = 16
 LANES = 512
@@ -53,6 +56,7 @@ RATE = 0.01
 HEAD_ROWS = 2_000_000
 PART = 2048
 FAN_IN = 64
+PIECE = 1 << 16
 CHUNK = 32 << 20
 BLOCK = 500_000
 END = np.uint64(0x5D1E2F3C4B5A6978)
@@ -112,9 +116,10 @@ class Vocabulary:
         """Rank of known words; ``size`` plus a hash bucket for others."""
         out = (tokens % np.uint64(BUCKETS)).astype(np.int32) + np.int32(self.size)
         if self.size:
-            seen = np.zeros(1 << 16, bool)
-            seen[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-            near = np.flatnonzero(seen[(tokens & np.uint64(0xFFFF)).astype(np.int64)])
+            low = np.uint64((1 << max(16, self.size.bit_length() + 4)) - 1)
+            seen = np.zeros(int(low) + 1, bool)
+            seen[(self.hashes & low).astype(np.int64)] = True
+            near = np.flatnonzero(seen[(tokens & low).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.hashes, tokens[near]), self.size - 1)
             ok = self.hashes[at] == tokens[near]
             out[near[ok]] = self.ranks[at[ok]]
@@ -123,31 +128,32 @@ class Vocabulary:
 
 class Gru:
     """Weights and the passes over them. Ids up to ``size`` are words (class: rank //
-    ``CLASS_WORDS``), ids above are the last class."""
+    ``width``, the root of ``size``), ids above are the last class."""
 
     NAMES = ("embed", "turn", "to_class", "class_bias", "to_word", "word_bias")
 
     def __init__(self, size: int, hidden: int = HIDDEN, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.size, self.hidden = size, hidden
-        self.classes = -(-size // CLASS_WORDS)
+        self.width = max(1, int(np.ceil(np.sqrt(size))))
+        self.classes = -(-size // self.width)
         self.start = size + BUCKETS
         init = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
         self.embed, self.turn = init(self.start + 1, 3 * hidden), init(hidden, 3 * hidden)
         self.to_class, self.class_bias = init(hidden, self.classes + 1), np.zeros(self.classes + 1, np.float32)
-        self.to_word = init(self.classes, hidden, CLASS_WORDS)
-        self.word_bias = np.zeros((self.classes, CLASS_WORDS), np.float32)
-        if size % CLASS_WORDS:
-            self.word_bias[-1, size % CLASS_WORDS:] = -1e9        # places without a word
+        self.to_word = init(self.classes, hidden, self.width)
+        self.word_bias = np.zeros((self.classes, self.width), np.float32)
+        if size % self.width:
+            self.word_bias[-1, size % self.width:] = -1e9        # places without a word
 
     def arrays(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
 
     def start_from(self, counts: np.ndarray, rest: int) -> Gru:
         """Biases that give the words' and classes' own frequencies. ``counts`` by rank."""
-        c = np.zeros(self.classes * CLASS_WORDS)
+        c = np.zeros(self.classes * self.width)
         c[:self.size] = counts + 1.0
-        c = c.reshape(-1, CLASS_WORDS)
+        c = c.reshape(-1, self.width)
         with np.errstate(divide="ignore"):
             self.word_bias = np.maximum(np.log(c), -1e9).astype(np.float32)
         self.class_bias = np.log(np.append(c.sum(1), rest + 1.0)).astype(np.float32)
@@ -188,7 +194,7 @@ class Gru:
         s = states.reshape(-1, self.hidden)
         ids = ids.ravel()
         word = ids < self.size
-        cls = np.where(word, ids // CLASS_WORDS, self.classes)
+        cls = np.where(word, ids // self.width, self.classes)
         logits = s @ self.to_class + self.class_bias
         logits -= logits.max(1, keepdims=True)
         e = np.exp(logits)
@@ -202,6 +208,7 @@ class Gru:
             back = g @ self.to_class.T
             grads[2] += s.T @ g
             grads[3] += g.sum(0)
+            del g
         order = np.argsort(cls, kind="stable")
         edges = np.searchsorted(cls[order], np.arange(self.classes + 1))
         for c in range(self.classes):
@@ -213,7 +220,7 @@ class Gru:
             logits -= logits.max(1, keepdims=True)
             e = np.exp(logits)
             total = e.sum(1)
-            own, j = ids[i] - c * CLASS_WORDS, np.arange(len(i))
+            own, j = ids[i] - c * self.width, np.arange(len(i))
             logp[i] += logits[j, own] - np.log(total)
             if grads is not None:
                 g = e / total[:, None]
@@ -293,6 +300,7 @@ class Trainer:
         self.gru, self.rate, self.window, self.steps, self.tokens = gru, rate, window, 0, 0
         self.m = [np.zeros_like(a) for a in gru.arrays()]
         self.v = [np.zeros_like(a) for a in gru.arrays()]
+        self.grads = [np.zeros_like(a) for a in gru.arrays()]
 
     def chunk(self, ids: np.ndarray, first: np.ndarray) -> None:
         g = self.gru
@@ -315,32 +323,35 @@ class Trainer:
             if not on.all():
                 p, live, h = p[:, on], live[on], h[on]
             q = np.maximum(p, 0)
-            inputs, grads = before[q], [np.zeros_like(a) for a in g.arrays()]
+            inputs, grads = before[q], self.grads
             states, h, saved, keep = g.forward(inputs, fresh[q], h)
             weight = (p.ravel() >= 0).astype(np.float32)
             n = float(weight.sum())
             _, back = g.output(states, ids[q], grads, weight / max(n, 1.0))
             g.backward(inputs, saved, keep, back, grads)
-            self._step(grads, min(1.0, n / 256))
+            self._step(np.unique(inputs), min(1.0, n / 256))
             self.tokens += int(n)
 
-    def _step(self, grads: list, scale: float) -> None:
+    def _step(self, inputs: np.ndarray, scale: float) -> None:
+        """One update from ``self.grads``, which are then zero; of the embeddings, of ``inputs`` alone."""
         self.steps += 1
-        size = np.sqrt(sum(float((x * x).sum()) for x in grads))
+        places = [inputs, *[slice(None)] * (len(self.grads) - 1)]
+        grads = [x[at] for x, at in zip(self.grads, places)]
+        size = np.sqrt(sum(float(np.vdot(x, x)) for x in grads))
         clip = min(1.0, 1.0 / (size + 1e-9))
         a, b = 1 - 0.9**self.steps, 1 - 0.99**self.steps
-        for w, x, m, v in zip(self.gru.arrays(), grads, self.m, self.v):
+        for w, x, m, v, whole, at in zip(self.gru.arrays(), grads, self.m, self.v, self.grads, places):
             x *= clip
-            m += 0.1 * (x - m)
-            v += 0.01 * (x * x - v)
-            w -= (self.rate * scale / a) * m / (np.sqrt(v / b) + 1e-6)
+            m[at] += 0.1 * (x - m[at])
+            v[at] += 0.01 * (x * x - v[at])
+            w[at] -= (self.rate * scale / a) * m[at] / (np.sqrt(v[at] / b) + 1e-6)
+            whole[at] = 0
 
 
 def _average(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     n = rows["tokens"].to_numpy(float)
-    w = np.stack([np.frombuffer(x, np.float64) for x in rows["weights"]])
-    flat = (w * (n / max(n.sum(), 1))[:, None]).sum(0)
-    return pd.DataFrame([[key[0], int(n.sum()), flat.tobytes()]], columns=["task", "tokens", "weights"])
+    mean = sum(np.frombuffer(x, np.float32) * (t / max(n.sum(), 1)) for x, t in zip(rows["change"], n))
+    return pd.DataFrame([[*key, int(n.sum()), mean.astype(np.float32).tobytes()]], columns=["piece", "task", "tokens", "change"])
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, gru: Gru, rounds: int = ROUNDS) -> Gru:
@@ -359,21 +370,25 @@ def train(docs: DataFrame, vocabulary: Vocabulary, gru: Gru, rounds: int = ROUND
                     tokens, first = tokens_of(b.column("text"))
                     trainer.chunk(vocabulary.ids(tokens), first)
             if trainer.tokens:
+                change = (trainer.gru.pack() - flat).astype(np.float32)
+                pieces = [change[at:at + PIECE].tobytes() for at in range(0, len(change), PIECE)]
+                same = lambda x: pa.array([x] * len(pieces), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([trainer.tokens], pa.int64()),
-                     pa.array([trainer.gru.pack().tobytes()], pa.binary())], names=["task", "tokens", "weights"])
+                    [pa.array(range(len(pieces)), pa.int64()), same(TaskContext.get().partitionId()), same(trainer.tokens),
+                     pa.array(pieces, pa.binary())], names=["piece", "task", "tokens", "change"])
 
-        got = stage(docs.where(part == r).select("text").mapInArrow(run, "task bigint, tokens bigint, weights binary"))
+        got = stage(docs.where(part == r).select("text").mapInArrow(
+            run, "piece bigint, task bigint, tokens bigint, change binary"))
         tasks = (got.agg(F.max("task")).first()[0] or 0) + 1
         while True:
             tasks = -(-tasks // FAN_IN)
-            got = got.groupBy((F.col("task") / FAN_IN).cast("bigint").alias("task")).applyInPandas(
-                _average, "task bigint, tokens bigint, weights binary")
+            got = got.groupBy("piece", (F.col("task") / FAN_IN).cast("bigint").alias("task")).applyInPandas(
+                _average, "piece bigint, task bigint, tokens bigint, change binary")
             if tasks == 1:
                 break
-        mean = got.first()
-        if mean is not None:
-            gru.unpack(np.frombuffer(mean["weights"], np.float64))
+        mean = sorted(got.select("piece", "change").collect())
+        if mean:
+            gru.unpack(gru.pack() + np.concatenate([np.frombuffer(m["change"], np.float32) for m in mean]))
     return gru
 
 
@@ -384,12 +399,13 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
     counts = stage(count_tokens(learn))
     totals = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     v, n = int(totals["v"]), int(totals["n"] or 0)
-    top = counts.orderBy(F.desc("c"), "token").limit(CLASSES * CLASS_WORDS).collect()
-    ranked = np.array([r["token"] for r in top], np.int64).view(np.uint64)
+    top = counts.where(F.col("c") >= max(LEAST, int(np.ceil(SHARE * n)))).orderBy(F.desc("c"), "token").toArrow()
+    ranked, top = (top.column(c).to_numpy() for c in ("token", "c"))
+    ranked = ranked.view(np.uint64)
     order = np.argsort(ranked)
     vocabulary = Vocabulary(ranked[order], order)
-    n_rest, v_rest = n - sum(r["c"] for r in top), v - len(top)
-    gru = Gru(vocabulary.size, hidden).start_from(np.array([r["c"] for r in top], float), n_rest)
+    n_rest, v_rest = n - int(top.sum()), v - len(top)
+    gru = Gru(vocabulary.size, hidden).start_from(top.astype(float), n_rest)
     gru = train(learn, vocabulary, gru, rounds)
 
     least = 0

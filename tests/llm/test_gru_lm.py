@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from .data import edge_rows, make_docs
@@ -105,5 +106,18 @@ def test_learns_order(spark):
     assert sum(x["score"] for x in out) / n > sum(x["base_score"] for x in out) / n + 0.3
 
 
+def test_network_words_follow_the_corpus(spark, monkeypatch):
+    """The network's vocabulary covers most tokens of 1,500 words, in about sqrt(size) classes."""
+    r = random.Random(6)
+    rows = [(d, " ".join(f"w{r.randrange(1500)}" for _ in range(120))) for d in range(150)]
+    seen = []
+    monkeypatch.setattr(gru_lm, "train", lambda docs, vocabulary, gru, rounds: seen.append((vocabulary, gru)) or gru)
+    gru_lm.score(make_docs(spark, rows))
+    (vocabulary, gru), = seen
+    ids = [i for d, t in rows if not held(d) for i in vocabulary.ids(gru_lm.tokens_of(pa.array([t]))[0])]
+    assert sum(i < vocabulary.size for i in ids) > 0.9 * len(ids)
+    assert abs(gru.classes - math.sqrt(vocabulary.size)) <= 1
+
+
 def test_empty(no_docs):
     assert gru_lm.score(no_docs).count() == 0
