@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru_lm, license_scan, ngram_join, packing, pii, quality, sql, staging, token_counts, url_filter, warc
+from . import decontaminate, gru_lm, license_scan, merkle, ngram_join, packing, pii, quality, sql, staging, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op3_token_counts(spark, sf_dir):
     state = token_counts.build(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     edited = token_counts.apply_edits(state, path, keep_text=False, propose=token_counts.cleaning_edits_of)
     return edited.select("doc_id", "n_edits", "n_tokens_before", "n_tokens", "n_encoded")
+
+
+@query("op12_merkle", sql.MERKLE)
+def op12_merkle(spark, sf_dir):
+    return merkle.verify(table(spark, sf_dir, "documents"))

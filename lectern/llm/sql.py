@@ -99,3 +99,56 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
        coalesce(score, 0.0) AS score
 FROM d LEFT JOIN per USING (d)
 """
+
+
+def _enc(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+
+
+def _climb(nodes: str, rows: str, n: int) -> str:
+    """``n`` levels over ``{nodes}0`` (s, i, d), and the rows ``{rows}0`` (r, s, j, proof, f) carried up them."""
+    parts = []
+    for k in range(n):
+        parts.append(f"""{nodes}{k}m AS MATERIALIZED (SELECT s FROM {nodes}{k} GROUP BY s HAVING count(*) > 1),
+{nodes}{k + 1} AS MATERIALIZED (SELECT s, i // 3 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d
+  FROM {nodes}{k} SEMI JOIN {nodes}{k}m USING (s) GROUP BY s, i // 3),
+{rows}{k + 1} AS MATERIALIZED (
+  SELECT r, x.s, any_value(x.j) // 3 AS j, any_value(x.proof) || coalesce(string_agg(d, '' ORDER BY i) FILTER (i <> j), '') AS proof,
+    sha256(string_agg(CASE WHEN i = j THEN f ELSE d END, '' ORDER BY i)) AS f
+  FROM {rows}{k} x JOIN {nodes}{k} y ON x.s = y.s AND x.j // 3 = y.i // 3 SEMI JOIN {nodes}{k}m ON x.s = {nodes}{k}m.s GROUP BY r, x.s
+  UNION ALL SELECT r, s, j, proof, f FROM {rows}{k} ANTI JOIN {nodes}{k}m USING (s))""")
+    return ",\n".join(parts)
+
+
+def merkle(levels: int = 12, top_levels: int = 4) -> str:
+    """Trees of up to 3 ** ``levels`` leaves a source and 3 ** ``top_levels`` sources. The checksum runs over the id's
+    digits bit by bit: each character, then eight shifts."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    crc = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+      lambda p: list_prepend(CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(p AS BIGINT), 1)) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)"""
+    subs = " UNION ALL ".join(f"SELECT s, d FROM l{k} ANTI JOIN l{k}m USING (s)" for k in range(levels))
+    roots = " UNION ALL ".join(f"SELECT d FROM u{k} ANTI JOIN u{k}m USING (s)" for k in range(top_levels))
+    tampered = " || ".join(_enc(c) for c in fields[:-1]) + " || " + _enc("cut")
+    return rf"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS s,
+    sha256({" || ".join(_enc(c) for c in fields)}) AS leaf,
+    sha256({tampered}) AS tampered
+  FROM (SELECT *, CASE WHEN (xor({crc}, 4294967295)) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents)),
+n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS j FROM e),
+l0 AS MATERIALIZED (SELECT s, j AS i, leaf AS d FROM n),
+x0 AS MATERIALIZED (SELECT r, s, j, '' AS proof, tampered AS f FROM n),
+{_climb('l', 'x', levels)},
+sub AS MATERIALIZED ({subs}),
+u0 AS MATERIALIZED (SELECT 0 AS s, row_number() OVER (ORDER BY encode(s)) - 1 AS i, d FROM sub),
+o AS MATERIALIZED (SELECT s AS src, row_number() OVER (ORDER BY encode(s)) - 1 AS j FROM sub),
+y0 AS MATERIALIZED (SELECT r, 0 AS s, o.j, proof, f FROM x{levels} x JOIN o ON x.s = o.src),
+{_climb('u', 'y', top_levels)},
+root AS MATERIALIZED ({roots})
+SELECT n.doc_id, leaf, sub.d AS subroot, root.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = root.d AS verified
+FROM n JOIN sub ON n.s = sub.s JOIN y{top_levels} y ON n.r = y.r CROSS JOIN root
+"""
+
+
+MERKLE = merkle()
