@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru_lm, license_scan, merkle, ngram_join, packing, pii, quality, sql, staging, token_counts, url_filter, warc
+from . import decontaminate, gru_lm, hard_negatives, license_scan, merkle, ngram_join, order_minhash, packing, pii, quality, sql, staging, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,13 @@ def op3_token_counts(spark, sf_dir):
 @query("op12_merkle", sql.MERKLE)
 def op12_merkle(spark, sf_dir):
     return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", sql.HARD_NEGATIVES)
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_order_minhash")
+def op11_order_minhash(spark, sf_dir):
+    return order_minhash.compare(table(spark, sf_dir, "documents"))

@@ -152,3 +152,21 @@ FROM n JOIN sub ON n.s = sub.s JOIN y{top_levels} y ON n.r = y.r CROSS JOIN root
 
 
 MERKLE = merkle()
+
+HARD_NEGATIVES = """
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.k AS ak, a.vec_id AS anchor_id, r.k, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM r a JOIN r ON a.vec_id % 100 = 0 AND a.k <> r.k),
+p AS (SELECT ak, k, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ak ORDER BY score DESC, vec_id NULLS LAST, k) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p ON s.ak = p.ak AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.ak, p.k ORDER BY score DESC, vec_id NULLS LAST, s.k)
+QUALIFY row_number() OVER w <= 10
+"""
