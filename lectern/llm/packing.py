@@ -27,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -233,7 +232,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, open_windows: int =
         level += 1
         tasks = -(-tasks // fan_in)
         merged = left.groupBy((F.shiftright("sequence_id", 32).bitwiseAND(0xFFFFFF) / fan_in).cast("bigint").alias("group"))
-        merged = cut_lineage(merged.applyInPandas(_merger(size, level, tasks == 1, with_ids), ddl))
+        merged = cut_lineage(merged.applyInArrow(_merger(size, level, tasks == 1, with_ids), ddl))
         out, left = out.unionByName(merged.where("not open")), merged.where("open")
         if tasks == 1:
             break
@@ -244,11 +243,12 @@ _FIELDS = [*(pa.field(c, pa.int64()) for c in _COLUMNS[1:7]), pa.field("open", p
 
 
 def _merger(size: int, level: int, last: bool, with_ids: bool):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        base = (level << 56) | (int(key[0]) << 32)
-        rows = rows.sort_values(["sequence_id", "offset"])
-        pieces = list(zip(*(rows[c].tolist() for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"))))
-        total = int(rows["length"].sum())
+    """Arrow tables, not pandas: an id beside a null one stays an exact integer."""
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        base = (level << 56) | (int(key[0].as_py()) << 32)
+        rows = rows.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        pieces = list(zip(*(rows[c].to_pylist() for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"))))
+        total = sum(p[2] for p in pieces)
         rest = total % size
         sizes = [size] * (total // size)
         sizes += [1 << b for b in range(size.bit_length(), -1, -1) if rest >> b & 1] if last else [rest] if rest else []
@@ -259,5 +259,6 @@ def _merger(size: int, level: int, last: bool, with_ids: bool):
                 out.append([doc, start, length, crc, doc_tokens, base + n, at, keep_open,
                             ids if keep_open or with_ids else None])
                 at += length
-        return pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": rows["doc_id"].dtype})
+        schema = pa.schema([pa.field("doc_id", rows.schema.field("doc_id").type), *_FIELDS])
+        return pa.Table.from_batches([_batch(out, schema)] if out else [], schema=schema)
     return run

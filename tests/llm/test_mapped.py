@@ -267,6 +267,13 @@ def test_packing(spark, docs, tokenizer, size, windows, fan_in):
     assert sum(r["length"] for r in got) == sum(len(ids) * n for (_, ids), n in want.items())
 
 
+def test_packing_ids_beyond_doubles(spark):
+    """Ids that a double cannot hold stay exact in a remainder group that also holds a null id."""
+    big = [(1 << 62) + 1, (1 << 60) + 1, None]
+    docs = spark.createDataFrame([(i, "a few words") for i in big], "doc_id bigint, text string").coalesce(1)
+    assert {r["doc_id"] for r in packing.pack(docs, WORDS).collect()} == set(big)
+
+
 def test_packing_empty(no_docs):
     assert packing.pack(no_docs, WORDS).count() == 0
 
