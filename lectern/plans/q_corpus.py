@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators.bpe import BLANK, CLOSE, OPEN, BytePairs, fit_bpe, tokenize_bpe
 from ..operators.lines import clean_lines
 from ..operators.pack import (BLOCK_COLS, pack_batch, pack_document, pack_file, pack_stats, token_offsets,
                               with_batches)
@@ -274,6 +275,61 @@ def q_special_tokens(spark, sf):
     return special_tokens(v, PAD_WORD).select("name", "token", F.col("id").cast("int").alias("id"))
 
 
+# ------------------------------------------------------------------ byte-pair vocabulary
+
+N_MERGES = 24
+
+
+def _bpe_sql(n: int) -> str:
+    """Sequential training, one step per merge: count neighbouring symbols, take the best, replace it."""
+    o_, c_ = o.q(OPEN), o.q(CLOSE)
+    parts = [CORPUS, f"""
+w0 AS MATERIALIZED (SELECT tok AS word, count(*) AS n,
+  {o_} || '{BLANK}' || {c_} || regexp_replace(tok, '(?s)(.)', {o_} || '\\1' || {c_}, 'g') AS s FROM toks GROUP BY tok)"""]
+    cut = f"string_split(substr(s, 2, length(s) - 2), {c_} || {o_})"
+    for k in range(1, n + 1):
+        parts.append(f"""
+b{k} AS MATERIALIZED (SELECT a[i] AS l, a[i + 1] AS r, sum(n) AS c
+  FROM (SELECT n, a, unnest(range(1, len(a))) AS i FROM (SELECT n, {cut} AS a FROM w{k - 1}))
+  GROUP BY ALL HAVING sum(n) >= 2 ORDER BY c DESC, l, r LIMIT 1),
+w{k} AS MATERIALIZED (SELECT word, n, coalesce(replace(s, (SELECT {o_} || l || {c_} || {o_} || r || {c_} FROM b{k}),
+  (SELECT {o_} || l || r || {c_} FROM b{k})), s) AS s FROM w{k - 1})""")
+    listed = " UNION ALL ".join(f"SELECT {k} AS rank, l, r, c FROM b{k}" for k in range(1, n + 1))
+    parts.append(f"""
+bm AS ({listed}),
+bv AS (SELECT t, row_number() OVER (ORDER BY min(rank), t) + 1 AS id FROM (
+  SELECT unnest({cut}) AS t, 0 AS rank FROM w0 UNION ALL SELECT l || r, rank FROM bm) GROUP BY t)""")
+    return ",".join(parts).replace("\\\\1", "\\1")
+
+
+BPE_SQL = _bpe_sql(N_MERGES)
+
+
+def corpus_bpe(docs: DataFrame) -> BytePairs:
+    return fit_bpe(token_rows(docs, ["doc_id"], "text"), N_MERGES)
+
+
+@register("bpe_merges", "WITH " + BPE_SQL + """
+SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", CAST(c AS BIGINT) AS count FROM bm""")
+def q_bpe_merges(spark, sf):
+    """The first merges of a byte-pair vocabulary over the cleaned corpus."""
+    return corpus_bpe(cleaned_documents(spark, sf)).merges
+
+
+@register("tokenize_bpe", "WITH " + BPE_SQL + f""",
+seg AS (SELECT word, string_split(substr(s, 2, length(s) - 2), {o.q(CLOSE)} || {o.q(OPEN)}) AS a FROM w{N_MERGES}),
+sid AS (SELECT word, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) AS ids, count(*) AS n
+        FROM (SELECT word, unnest(a) AS t, generate_subscripts(a, 1) AS i FROM seg) JOIN bv USING (t) GROUP BY word),
+per AS (SELECT doc_id, string_agg(ids, ' ' ORDER BY pos) AS ids, sum(n) AS n FROM toks JOIN sid ON tok = word GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(per.n, 0) AS BIGINT) AS n_tokens, coalesce(per.ids, '') AS input_ids
+FROM cdocs d LEFT JOIN per USING (doc_id)""")
+def q_tokenize_bpe(spark, sf):
+    """Documents as subword ids."""
+    docs = cleaned_documents(spark, sf)
+    t = tokenize_bpe(docs, corpus_bpe(docs), ["doc_id"])
+    return t.select("doc_id", F.size("input_ids").cast("long").alias("n_tokens"), ids_str("input_ids").alias("input_ids"))
+
+
 # ------------------------------------------------------------------ packing
 
 @register("pack_document", "WITH " + DOC_BLOCKS_SQL + """
@@ -288,7 +344,8 @@ n AS (SELECT d.doc_id, CAST(count(t.pos) AS BIGINT) AS n FROM cdocs d LEFT JOIN
 SELECT CAST(doc_id AS BIGINT) AS scope_id, n AS n_tokens, (n // {BLOCK}) * {BLOCK} AS usable_tokens,
        n // {BLOCK} AS n_blocks, n - (n // {BLOCK}) * {BLOCK} AS dropped_tokens FROM n""")
 def q_pack_stats(spark, sf):
-    return pack_stats(tokenized_documents(spark, sf), BLOCK, "doc_id")
+    """Needs only token counts: no vocabulary, no ids."""
+    return pack_stats(cleaned_documents(spark, sf).select("doc_id", pretokens("text").alias("toks")), BLOCK, "doc_id", "toks")
 
 
 @register("token_offsets", "WITH " + LINE_TOKENS_SQL + """
