@@ -102,9 +102,8 @@ def token_offsets(df: DataFrame, block_rows: int = 1000, order_col: str = "row_i
 
 
 def with_batches(rows: DataFrame, block_rows: int = 1000, order_col: str = "row_idx") -> DataFrame:
-    """Add ``batch_id`` and hash-partition rows by it, once, before tokenizing:
-    the per-row token regrouping (keys include ``batch_id``) and the batch
-    windows of ``token_offsets`` / ``pack_batch`` then reuse this partitioning."""
+    """Add ``batch_id`` and hash-partition rows by it, once: the batch windows and blocks of
+    ``token_offsets`` / ``pack_batch`` reuse this partitioning. A write in between would lose it."""
     b = rows.withColumn("batch_id", F.floor(F.col(order_col) / F.lit(block_rows)).cast("long"))
     return b.repartition("batch_id")
 

@@ -138,22 +138,55 @@ def tokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text_col: str
              broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """``keys..., keep..., input_ids, attention_mask, special_tokens_mask``.
 
-    No truncation (I6). Rows without tokens keep empty arrays. Token order is
-    restored by sorting ``(pos, id)`` pairs inside each row, a group no larger
-    than the row's own text.
+    No truncation (I6). Rows without tokens keep empty arrays. A vocabulary within the
+    bound is looked up in place, without a shuffle. Beyond it tokens are joined, and
+    their order is restored by sorting ``(pos, id)`` pairs inside each row, a group no
+    larger than the row's own text.
     """
-    keys = list(keys)
-    keys_all = keys + [k for k in keep if k not in keys]
-    # outer explode keeps rows without tokens (pos is null there)
-    rows = df.select(*keys_all, F.posexplode_outer(pretokens(text_col, scheme)).alias("pos", "tok"))
-    ided = lookup_ids(rows, vocab, keys_all, broadcast_max_rows)
-    grouped = ided.groupBy(*keys_all).agg(
-        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))))
-        .alias("_p"))
-    ids = F.transform("_p", lambda x: x["id"])
+    keys_all = list(dict.fromkeys([*keys, *keep]))
+    v = vocab.select(F.col("token").alias("tok"), "id", "count")
+    size = table_size(v, string_cells("tok"))
+    if size[0] <= broadcast_max_rows and size[1] <= BROADCAST_MAX_CELLS:
+        found = _ids_in_place(df, v, keys_all, pretokens(text_col, scheme))
+        ids = F.col("_ids")
+    else:
+        # outer explode keeps rows without tokens (pos is null there)
+        rows = df.select(*keys_all, F.posexplode_outer(pretokens(text_col, scheme)).alias("pos", "tok"))
+        found = lookup_ids(rows, vocab, keys_all, broadcast_max_rows).groupBy(*keys_all).agg(
+            F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("_p"))
+        ids = F.transform("_p", lambda x: x["id"])
     if add_eos:
         ids = F.concat(ids, F.array(F.lit(EOS_ID)))
-    return grouped.select(*keys_all, *mask_columns(ids))
+    return found.select(*keys_all, *mask_columns(ids))
+
+
+def _ids_in_place(df: DataFrame, vocab: DataFrame, keys: Sequence[str], toks: Column) -> DataFrame:
+    """``keys..., _ids``: each row's tokens looked up where the row lies. The vocabulary (``tok, id``, its
+    size checked by the caller) goes to every worker once; a batch's tokens are looked up together
+    as one Arrow column, so nothing is exploded, joined or regrouped."""
+    listed = df.select(*keys, toks.alias("_ids"))
+    table = vocab.sparkSession.sparkContext.broadcast(vocab.select("tok", "id").toArrow())
+    unknown = UNK_ID
+
+    def look_up(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known = table.value.combine_chunks()
+        tokens = known["tok"].combine_chunks() if isinstance(known["tok"], pa.ChunkedArray) else known["tok"]
+        numbers = known["id"].combine_chunks() if isinstance(known["id"], pa.ChunkedArray) else known["id"]
+        tokens = tokens.cast(pa.string()) if tokens.type != pa.string() else tokens
+        for b in batches:
+            lists = b.column("_ids")
+            at = pc.index_in(lists.flatten().cast(pa.string()), value_set=tokens)
+            ids = pc.fill_null(pc.take(numbers, at), unknown).cast(pa.int32())
+            ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32()))
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], pa.ListArray.from_arrays(offsets, ids)],
+                                             names=[*keys, "_ids"])
+
+    kind = T.StructType([*[listed.schema[k] for k in keys], T.StructField("_ids", T.ArrayType(T.IntegerType()))])
+    return listed.mapInArrow(look_up, kind)
 
 
 def detokenize(df: DataFrame, vocab: DataFrame, keys: Sequence[str], ids_col: str = "input_ids",

@@ -51,11 +51,12 @@ def preprocess(lines: DataFrame, block_size: int = 1024, tokenizer: str = "white
     only needed for cleaning."""
     if clean:
         lines = clean_lines(lines, "path", "line_no")
-    ln = with_batches(lines.select("row_idx", "text"), batch_rows, "row_idx")
+    ln = lines.select("row_idx", "text")
     if vocab is None and isinstance(tokenizer, str) and tokenizer != "bytes":
         ln = cut_lineage(ln)           # read by the vocabulary fit and by the tokenizer
-    tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, ["batch_id"])
-    blocks = pack_batch(tok, block_size, batch_rows, "row_idx", batch_col="batch_id")
+    tok, _ = _tokenized(ln, ["row_idx"], tokenizer, vocab, [])
+    # partitioned by batch after the last write, so that the windows and blocks keep it
+    blocks = pack_batch(with_batches(tok, batch_rows, "row_idx"), block_size, batch_rows, "row_idx", batch_col="batch_id")
     return split_exact(blocks, ["scope_id", "block_id"], test_size, seed, materialize=True)
 
 

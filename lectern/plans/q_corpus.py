@@ -64,14 +64,12 @@ def document_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tokenized_lines(spark: SparkSession, sf: str, add_eos: bool = False) -> DataFrame:
-    """Tokenized lines, partitioned by 1,000-line batch (``batch_id``) before
-    tokenizing: the same single shuffle the per-line token regrouping needs
-    anyway, but with batch-sized (never hot) keys, and the batch packers reuse it."""
-    lines = with_batches(document_lines(spark, sf), 1000, "row_idx").withColumn(
-        "text", F.trim(tx.normalize_ws("text")))
+    """Tokenized lines, partitioned by 1,000-line batch (``batch_id``) after the ids are
+    known: one shuffle, with batch-sized (never hot) keys, that the batch packers reuse."""
+    lines = document_lines(spark, sf).withColumn("text", F.trim(tx.normalize_ws("text")))
     lines = cut_lineage(lines)          # numbered once, read by the vocabulary and the tokens
     vocab = fit_vocab(token_rows(lines, ["row_idx"], "text"))
-    return tokenize(lines, vocab, ["row_idx"], "text", keep=["batch_id", "doc_id"], add_eos=add_eos)
+    return with_batches(tokenize(lines, vocab, ["row_idx"], "text", keep=["doc_id"], add_eos=add_eos), 1000, "row_idx")
 
 
 def block_columns(b: DataFrame, *keys: str) -> DataFrame:
