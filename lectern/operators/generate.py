@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
@@ -21,6 +22,7 @@ from .joins import lookup, string_cells
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
+WALK_BYTES = 256 << 20   # candidate tables up to this size are broadcast whole
 
 # ---------------------------------------------------------------------------
 # The generated-text file's labels.
@@ -90,6 +92,11 @@ def candidate_cells(cands: str) -> Column:
     return F.aggregate(cands, F.lit(0).cast("long"), lambda a, c: a + string_cells(c["tok"]) + 2)
 
 
+def candidate_bytes(cands: str) -> Column:
+    """Bytes of a candidate list as Arrow columns: token, its offset and a double; the context's own offsets."""
+    return F.aggregate(cands, F.lit(16).cast("long"), lambda a, c: a + F.octet_length(c["tok"]) + 12)
+
+
 def draw(cands: Column, u: Column) -> Column:
     """Inverse CDF - the first candidate whose cdf exceeds ``u`` (the last one
     if rounding leaves the top cdf a hair below 1)."""
@@ -101,14 +108,16 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
              key: str = "prompt_id", max_new_tokens: int | None = 20,
              max_length: int | None = None, num_return_sequences: int = 1,
              k: int = 50, t: float = 1.0, p: float = 0.95, seed: int = 42,
-             checkpoint_every: int = 20, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+             checkpoint_every: int = 20, broadcast_max_rows: int = 2_000_000,
+             walk_bytes: int = WALK_BYTES) -> DataFrame:
     """``prompt_id, seq_no, prompt, generated_text`` for a whole prompt table.
 
     ``max_length`` counts prompt plus new tokens (the reference's meaning);
     ``max_new_tokens`` counts new tokens only. ``k = 1`` is greedy decoding.
-    One join per step against the bounded candidate table; lineage is cut into
-    the shared checkpoint folder every ``checkpoint_every`` steps. The loop runs
-    a number of plan steps fixed by the parameters, not by the data.
+    A candidate table of at most ``walk_bytes`` is broadcast and every row makes all its steps
+    in one pass. A larger one is joined once per step; lineage is cut into the shared
+    checkpoint folder every ``checkpoint_every`` steps, and the loop runs a number of plan
+    steps fixed by the parameters, not by the data. The samples are the same.
     """
     table = cut_lineage(sampling_table(model, k, t, p))
     # one pass over the written table: the back-off list (at most k entries, a
@@ -117,7 +126,8 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     stats = table.agg(
         F.first(F.when(~is_ctx, F.col("cands")), ignorenulls=True).alias("b"),
         F.count(F.when(is_ctx, F.lit(1))).alias("rows"),
-        F.sum(F.when(is_ctx, string_cells("prev") + candidate_cells("cands"))).alias("cells")).first()
+        F.sum(F.when(is_ctx, string_cells("prev") + candidate_cells("cands"))).alias("cells"),
+        F.sum(F.when(is_ctx, F.octet_length("prev") + candidate_bytes("cands"))).alias("bytes")).first()
     b_lit = F.lit(None).cast(table.schema["cands"].dataType)
     if stats["b"]:
         b_lit = F.array(*[F.struct(F.lit(c["rank"]).alias("rank"), F.lit(c["tok"]).alias("tok"),
@@ -140,6 +150,12 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
         steps = max_new_tokens
     state = state.withColumn("_new", F.array().cast("array<string>"))
 
+    text = F.when(F.size("_new") > 0, F.concat_ws(" ", F.col(prompt_col), F.array_join("_new", " "))) \
+        .otherwise(F.col(prompt_col))
+    if int(stats["bytes"] or 0) <= walk_bytes and broadcast_max_rows:
+        walked = _walk(state, ctx, stats["b"], key, seed)
+        return walked.select(key, "seq_no", prompt_col, text.alias("generated_text"))
+
     for step in range(steps):
         last = F.coalesce(F.try_element_at("_new", F.lit(-1)), F.try_element_at("_toks", F.lit(-1)),
                           F.lit(BACKOFF))
@@ -154,11 +170,58 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
             "_new", F.array(nxt))).otherwise(F.col("_new"))).drop("_last", "cands")
         if (step + 1) % checkpoint_every == 0 and step + 1 < steps:
             state = cut_lineage(state)
-    text = F.when(F.size("_new") > 0, F.concat_ws(" ", F.col(prompt_col), F.array_join("_new", " "))) \
-        .otherwise(F.col(prompt_col))
     return state.select(key, "seq_no", prompt_col, text.alias("generated_text"))
 
 
+def _walk(state: DataFrame, ctx: DataFrame, backoff, key: str, seed: int) -> DataFrame:
+    """All steps of every row in one pass: the candidate store (its bytes checked by the caller) goes
+    to every worker once, and each row follows its own draws to its limit."""
+    spark = state.sparkSession
+    store = ctx.select("_last", F.transform("cands", lambda c: c["tok"]).alias("toks"),
+                       F.transform("cands", lambda c: c["cdf"]).alias("cdfs")).toArrow()
+    shared = spark.sparkContext.broadcast(store)
+    spare = ([c["tok"] for c in backoff], [c["cdf"] for c in backoff]) if backoff else ([], [])
+    none = BACKOFF
+    coded = state.withColumn("_k", F.col(key).cast("string"))
+    kept = [c for c in state.columns if c != "_new"]
+
+    def run(batches):
+        import hashlib
+        from bisect import bisect_right
+
+        import pyarrow as pa
+
+        table = shared.value.combine_chunks()
+        toks, cdfs = table["toks"], table["cdfs"]
+        at = {t: i for i, t in enumerate(table["_last"].to_pylist())}
+        met: dict = {}
+
+        def candidates(last):
+            if last == none or last not in at:
+                return spare
+            if last not in met:
+                met[last] = (toks[at[last]].as_py(), cdfs[at[last]].as_py())
+            return met[last]
+
+        for b in batches:
+            out = []
+            for k, n, limit, words in zip(*(b.column(c).to_pylist() for c in ("_k", "seq_no", "_limit", "_toks"))):
+                last, new = words[-1] if words else none, []
+                for step in range(limit or 0):
+                    names, sums = candidates(last)
+                    if not names:
+                        break
+                    parts = [str(seed), *([] if k is None else [k]), str(n), str(step)]
+                    u = int(hashlib.md5(":".join(parts).encode()).hexdigest()[:8], 16) / 4294967296.0
+                    last = names[min(bisect_right(sums, u), len(names) - 1)]
+                    new.append(last)
+                out.append(new)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.list_(pa.string()))], names=[*kept, "_new"])
+
+    kind = T.StructType([*[state.schema[c] for c in kept], T.StructField("_new", T.ArrayType(T.StringType()))])
+    return coded.select(*kept, "_k").mapInArrow(run, kind)
+
+
 def render_samples(samples: DataFrame, key: str = "prompt_id", per_prompt_header: bool = True) -> DataFrame:
     """The generated-text file as one text block per prompt.
 
