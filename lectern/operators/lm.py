@@ -169,6 +169,35 @@ def grid_losses(model: BigramModel, held_out: DataFrame, tokens_col: str,
         (F.sum(F.col("n") * -F.log(prob(model, F.col("lam")))) / F.sum("n")).alias("eval_loss"))
 
 
+def em_weight(model: BigramModel, held_out: DataFrame, tokens_col: str, start: float = 0.5, rounds: int = 30,
+              tolerance: float | None = None) -> DataFrame:
+    """J3 as an iterative fit: ``round, lam, eval_loss`` of expectation maximisation for the weight.
+
+    A round's sufficient statistic is the expected share of held-out pairs that the bigram
+    term explains; pairs whose context was never seen do not depend on the weight. The terms
+    are written once, with one row per distinct pair, and a round is one aggregate over them. The loss
+    never rises, and its only optimum is the best weight. Stops early once the weight moves
+    by less than ``tolerance``. No held-out pairs give no rows.
+    """
+    seen = F.when(F.col("c_prev").isNotNull(), F.coalesce("c", F.lit(0)) / F.col("c_prev"))
+    uni = (F.coalesce("c_tok", F.lit(0)) + 1) / F.lit(float(model.n_tokens + model.vocab_size + 1))
+    terms = cut_lineage(scored_pairs(model, held_out, tokens_col).select("n", seen.alias("seen"), uni.alias("uni")))
+    steps, lam = [], float(start)
+    for i in range(rounds + 1):
+        mixed = lam * F.col("seen") + (1 - lam) * F.col("uni")
+        r = terms.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("seen").isNotNull(), F.col("n"))).alias("known"),
+                      F.sum(F.col("n") * lam * F.col("seen") / mixed).alias("share"),
+                      F.sum(F.col("n") * -F.log(F.coalesce(mixed, F.col("uni")))).alias("loss")).first()
+        if not r["n"]:
+            break
+        steps.append((i, lam, r["loss"] / r["n"]))
+        after = r["share"] / r["known"] if r["known"] else lam
+        if tolerance is not None and abs(after - lam) < tolerance:
+            break
+        lam = after
+    return held_out.sparkSession.createDataFrame(steps, "round int, lam double, eval_loss double")
+
+
 def best_model(losses: DataFrame) -> DataFrame:
     """E5: the lowest ``eval_loss`` (ties: lower model_id), via ``min_by``."""
     return losses.agg(F.min_by(F.struct("model_id", "lam", "eval_loss"),

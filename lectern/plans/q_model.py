@@ -152,6 +152,29 @@ def q_best_model(spark, sf):
                     F.round("eval_loss", 6).alias("eval_loss"))
 
 
+EM_ROUNDS = 20
+_EM_STEPS = "".join(f""",
+e{i} AS MATERIALIZED (SELECT coalesce(sum(n * lam * seen / (lam * seen + (1 - lam) * uni)) / sum(n), any_value(lam)) AS lam
+  FROM terms, e{i - 1} WHERE seen IS NOT NULL)""" for i in range(1, EM_ROUNDS + 1))
+_EM_ROWS = " UNION ALL ".join(f"SELECT {i} AS round, lam FROM e{i}" for i in range(EM_ROUNDS + 1))
+EM_SQL = MODEL_SQL + f""",
+terms AS MATERIALIZED (SELECT n, CASE WHEN c_prev IS NOT NULL THEN coalesce(c, 0) / CAST(c_prev AS DOUBLE) END AS seen,
+  (coalesce(c_tok, 0) + 1) / CAST((SELECT big_n + big_v + 1 FROM nv) AS DOUBLE) AS uni FROM sc),
+e0 AS (SELECT CAST(0.5 AS DOUBLE) AS lam){_EM_STEPS},
+em AS ({_EM_ROWS})"""
+
+
+@register("em_weight", "WITH " + EM_SQL + """
+SELECT CAST(round AS INTEGER) AS round, round(any_value(lam), 6) AS lam,
+       round(sum(n * -ln(CASE WHEN seen IS NULL THEN uni ELSE lam * seen + (1 - lam) * uni END)) / sum(n), 6) AS eval_loss
+FROM em, terms GROUP BY round""")
+def q_em_weight(spark, sf):
+    """The interpolation weight by expectation maximisation, round by round."""
+    m, val = fitted(spark, sf)
+    r = lm.em_weight(m, val, "toks", LAM, EM_ROUNDS)
+    return r.select("round", F.round("lam", 6).alias("lam"), F.round("eval_loss", 6).alias("eval_loss"))
+
+
 @register("retained_models", "WITH " + GRID_SQL + """,
 r AS (SELECT *, row_number() OVER (ORDER BY model_id DESC) AS nw,
              row_number() OVER (ORDER BY eval_loss, model_id) AS bt FROM losses)

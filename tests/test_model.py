@@ -130,3 +130,19 @@ def test_candidate_size_counts_bytes(spark):
     rows = spark.createDataFrame([([(1, "x" * 1600, 1.0)],), ([(1, "y", 1.0)],)],
                                  "cands array<struct<rank:int,tok:string,cdf:double>>")
     assert [r[0] for r in rows.select(gen.candidate_cells("cands")).collect()] == [103, 4]
+
+
+def test_em_weight_falls_to_the_best_weight(spark):
+    """The loss never rises, ends at or below the grid's best, and one pair table serves all rounds."""
+    import random
+    r = random.Random(8)
+    words = ["a", "b", "c", "d", "e"]
+    rows = [(i, [r.choice(words[:1 + i % 5]) for _ in range(r.randint(0, 12))] + (["new"] if i % 9 == 0 else [])) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, toks array<string>")
+    model = lm.fit_bigram(df.where("doc_id < 60"), "toks")
+    held = df.where("doc_id >= 60")
+    steps = lm.em_weight(model, held, "toks", rounds=150).orderBy("round").collect()
+    assert len(steps) == 151 and all(b.eval_loss <= a.eval_loss + 1e-12 for a, b in zip(steps, steps[1:]))
+    grid = lm.grid_losses(model, held, "toks", [i / 10 for i in range(1, 10)]).collect()
+    assert steps[-1].eval_loss <= min(g.eval_loss for g in grid) + 1e-6
+    assert lm.em_weight(model, held.where("false"), "toks").count() == 0
