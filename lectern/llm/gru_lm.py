@@ -3,8 +3,8 @@
 Corpus counts come first: every training document's tokens (lower-cased words and one
 end token) are counted per task and summed by Spark. The words that make up at least ``SHARE``
 of the tokens (and occur ``LEAST`` times) form the network's vocabulary, so it grows with the
-corpus's variety and has at most 1 / ``SHARE`` words. It is dealt by rank into about
-sqrt(size) classes; all other words are one more class, whose words share the add-one
+corpus's variety and has at most 1 / ``SHARE`` words. It is cut by rank into about
+sqrt(size) classes of equal sums of root counts; all other words are one more class, whose words share the add-one
 unigram of the rest. The output is factored: a softmax over classes, then one over the
 words of the target's class.
 
@@ -19,8 +19,8 @@ document, so the score is the complete text's log10 probability.
 
 Scale: tasks hold one Arrow batch; counts are shuffled by token hash after map-side sums.
 Scoring looks counts up in a broadcast of at most ``head_rows`` frequent tokens; beyond
-that, the rest are joined by shuffle as (row, token) sums and added, with the same
-result. Words are identified by 64-bit hashes. The weights, hence ``score``, depend
+that, the scoring pass also writes the tokens without a count, which are joined by shuffle as
+(row, token) sums and added, with the same result. Words are identified by 64-bit hashes. The weights, hence ``score``, depend
 on how documents fall into tasks; all other columns do not.
 
 Defined cases: null or empty text is the end token alone; a null id counts as empty
@@ -59,6 +59,10 @@ FAN_IN = 64
 PIECE = 1 << 16
 CHUNK = 32 << 20
 BLOCK = 500_000
+ROWS = 512
+AT_ONCE = 1 << 18
+CACHED = 1 << 14
+REACH = 80.0
 END = np.uint64(0x5D1E2F3C4B5A6978)
 
 
@@ -126,38 +130,61 @@ class Vocabulary:
         return out
 
 
+def class_edges(counts: np.ndarray) -> np.ndarray:
+    """First rank of each class, and the end. About sqrt(size) classes of equal sums of root
+    counts: frequent words sit in small classes, which keeps the mean class of a token small."""
+    if not len(counts):
+        return np.zeros(1, np.int64)
+    root = np.sqrt(counts + 1.0)
+    middle = np.cumsum(root) - root / 2
+    cls = (middle / root.sum() * np.ceil(np.sqrt(len(counts)))).astype(np.int64)
+    return np.append(np.flatnonzero(np.diff(cls, prepend=-1)), len(counts))
+
+
+def softmax(s: np.ndarray, weights: np.ndarray, own: np.ndarray, weight: np.ndarray | None = None, shift: bool = True):
+    """Log probability of column ``own`` in each row; with ``weight``, also a matrix and a factor
+    of its rows whose product is the weighted gradient of the negative ones by the logits.
+    ``shift``: logits may overflow as they are."""
+    e = s @ np.ascontiguousarray(weights.T)       # a product with a transposed view is several times slower
+    if shift:
+        e -= e.max(1, keepdims=True)
+    rows = np.arange(len(own))
+    logp = e[rows, own]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    logp -= np.log(total)
+    if weight is None:
+        return logp, e, None
+    e[rows, own] -= total
+    return logp, e, (weight / total)[:, None]
+
+
 class Gru:
-    """Weights and the passes over them. Ids up to ``size`` are words (class: rank //
-    ``width``, the root of ``size``), ids above are the last class."""
+    """Weights and the passes over them. Ids below ``size`` are words by rank, ids above are the
+    last class. The last column of ``to_class`` and ``to_word`` is the bias."""
 
-    NAMES = ("embed", "turn", "to_class", "class_bias", "to_word", "word_bias")
+    NAMES = ("embed", "turn", "to_class", "to_word")
 
-    def __init__(self, size: int, hidden: int = HIDDEN, seed: int = 7):
+    def __init__(self, size: int, hidden: int = HIDDEN, seed: int = 7, edges: np.ndarray | None = None):
         rng = np.random.default_rng(seed)
         self.size, self.hidden = size, hidden
-        self.width = max(1, int(np.ceil(np.sqrt(size))))
-        self.classes = -(-size // self.width)
+        self.edges = class_edges(np.zeros(size)) if edges is None else edges
+        self.classes = len(self.edges) - 1
+        self.class_of = np.append(np.repeat(np.arange(self.classes), np.diff(self.edges)), self.classes).astype(np.int16)
         self.start = size + BUCKETS
         init = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
         self.embed, self.turn = init(self.start + 1, 3 * hidden), init(hidden, 3 * hidden)
-        self.to_class, self.class_bias = init(hidden, self.classes + 1), np.zeros(self.classes + 1, np.float32)
-        self.to_word = init(self.classes, hidden, self.width)
-        self.word_bias = np.zeros((self.classes, self.width), np.float32)
-        if size % self.width:
-            self.word_bias[-1, size % self.width:] = -1e9        # places without a word
+        self.to_class, self.to_word = init(self.classes + 1, hidden + 1), init(size, hidden + 1)
+        self.to_class[:, -1] = self.to_word[:, -1] = 0
 
     def arrays(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
 
     def start_from(self, counts: np.ndarray, rest: int) -> Gru:
         """Biases that give the words' and classes' own frequencies. ``counts`` by rank."""
-        c = np.zeros(self.classes * self.width)
-        c[:self.size] = counts + 1.0
-        c = c.reshape(-1, self.width)
-        with np.errstate(divide="ignore"):
-            self.word_bias = np.maximum(np.log(c), -1e9).astype(np.float32)
-        self.class_bias = np.log(np.append(c.sum(1), rest + 1.0)).astype(np.float32)
-        self.class_bias -= self.class_bias.max()
+        mass = np.append(np.add.reduceat(counts + 1.0, self.edges[:-1]) if self.size else [], rest + 1.0)
+        self.to_class[:, -1] = np.log(mass / mass.max())
+        self.to_word[:, -1] = np.log((counts + 1.0) / mass[self.class_of[:-1]])
         return self
 
     def pack(self) -> np.ndarray:
@@ -171,82 +198,90 @@ class Gru:
         return self
 
     def forward(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
-        """Hidden states of a window (steps, lanes), with what the backward pass needs."""
+        """Hidden states of a window (steps, lanes), with what the backward pass needs. Inside,
+        lanes are the last axis, so that every operation runs over long contiguous rows."""
         k, steps = self.hidden, len(before)
-        drive = self.embed[before]
-        keep = (~fresh)[:, :, None].astype(np.float32)
-        states = np.empty((steps, before.shape[1], k), np.float32)
+        drive = np.ascontiguousarray(self.embed[before].transpose(0, 2, 1))
+        keep = (~fresh).astype(np.float32)
+        turn, h = np.ascontiguousarray(self.turn.T), np.ascontiguousarray(h.T)
+        states = np.empty((steps, k, before.shape[1]), np.float32)
         saved = []
         for t in range(steps):
             old = h * keep[t]
-            turned = old @ self.turn
-            gates = 1 / (1 + np.exp(-(drive[t, :, :2 * k] + turned[:, :2 * k])))
-            z, r = gates[:, :k], gates[:, k:]
-            new = np.tanh(drive[t, :, 2 * k:] + r * turned[:, 2 * k:])
+            turned = turn @ old
+            gates = drive[t, :2 * k]
+            gates += turned[:2 * k]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            z, r = gates[:k], gates[k:]
+            new = drive[t, 2 * k:]
+            new += r * turned[2 * k:]
+            np.tanh(new, out=new)
             h = new + z * (old - new)
             states[t] = h
-            saved.append((old, turned[:, 2 * k:], z, r, new))
-        return states, h, saved, keep
+            saved.append((old, turned[2 * k:], z, r, new))
+        return states.transpose(0, 2, 1), h.T, saved, keep
 
     def output(self, states: np.ndarray, ids: np.ndarray, grads: list | None = None, weight: np.ndarray | None = None):
         """Natural log probability of each id (the last class without its word part);
         with ``grads``, adds the output gradients there and returns those of the states."""
-        s = states.reshape(-1, self.hidden)
-        ids = ids.ravel()
-        word = ids < self.size
-        cls = np.where(word, ids // self.width, self.classes)
-        logits = s @ self.to_class + self.class_bias
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        rows = np.arange(len(s))
-        logp = (logits[rows, cls] - np.log(total)).astype(np.float64)
-        if grads is not None:
-            g = e / total[:, None]
-            g[rows, cls] -= 1
-            g *= weight[:, None]
-            back = g @ self.to_class.T
-            grads[2] += s.T @ g
-            grads[3] += g.sum(0)
-            del g
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        k, ids = self.hidden, ids.ravel()
+        cls = self.class_of[np.minimum(ids, self.size)]
+        order = np.argsort(cls, kind="stable")         # one product per class
+        cls, ids = cls[order], ids[order]
+        s = np.ones((len(ids), k + 1), states.dtype)
+        s[:, :k] = states.reshape(-1, k)[order]
+        weight = None if grads is None else weight[order]
+        logp, back = np.empty(len(ids)), np.empty((len(ids), k), states.dtype)
+        # states are within 1, so logits of small weights cannot overflow
+        reach = lambda w: max(w.max(initial=0), -w.min(initial=0))
+        shift = any(reach(w[:, :k]) * k + reach(w[:, k]) > REACH for w in (self.to_class, self.to_word))
+        for at in range(0, len(ids), ROWS):
+            i = slice(at, at + ROWS)
+            logp[i], g, f = softmax(s[i], self.to_class, cls[i], None if grads is None else weight[i], shift)
+            if grads is not None:
+                back[i] = (g @ self.to_class[:, :k]) * f
+                grads[2] += g.T @ (s[i] * f)
+        bounds = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
+        edges = self.edges.tolist()
         for c in range(self.classes):
-            i = order[edges[c]:edges[c + 1]]
-            if not len(i):
+            a, b = edges[c], edges[c + 1]
+            if b - a == 1:
                 continue
-            x = s[i]
-            logits = x @ self.to_word[c] + self.word_bias[c]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            own, j = ids[i] - c * self.width, np.arange(len(i))
-            logp[i] += logits[j, own] - np.log(total)
-            if grads is not None:
-                g = e / total[:, None]
-                g[j, own] -= 1
-                g *= weight[i, None]
-                back[i] += g @ self.to_word[c].T
-                grads[4][c] += x.T @ g
-                grads[5][c] += g.sum(0)
-        return logp, back.reshape(states.shape) if grads is not None else None
+            for at in range(bounds[c], bounds[c + 1], ROWS):
+                i = slice(at, min(at + ROWS, bounds[c + 1]))
+                more, g, f = softmax(s[i], self.to_word[a:b], ids[i] - a, None if grads is None else weight[i], shift)
+                logp[i] += more
+                if grads is not None:
+                    back[i] += (g @ self.to_word[a:b, :k]) * f
+                    grads[3][a:b] += g.T @ (s[i] * f)
+        out = np.empty_like(logp)
+        out[order] = logp
+        if grads is None:
+            return out, None
+        flow = np.empty_like(back)
+        flow[order] = back
+        return out, flow.reshape(states.shape)
 
     def backward(self, before: np.ndarray, saved: list, keep: np.ndarray, back: np.ndarray, grads: list) -> None:
         k = self.hidden
+        back = np.ascontiguousarray(back.transpose(0, 2, 1))
         flow = np.zeros_like(back[0])
-        drive = np.empty((*before.shape, 3 * k), np.float32)
+        drive = np.empty((len(before), 3 * k, before.shape[1]), np.float32)
         for t in range(len(before) - 1, -1, -1):
             old, turned, z, r, new = saved[t]
             d = back[t] + flow
             d_new = d * (1 - z) * (1 - new * new)
-            drive[t, :, :k] = d * (old - new) * z * (1 - z)
-            drive[t, :, k:2 * k] = d_new * turned * r * (1 - r)
-            drive[t, :, 2 * k:] = d_new
+            drive[t, :k] = d * (old - new) * z * (1 - z)
+            drive[t, k:2 * k] = d_new * turned * r * (1 - r)
+            drive[t, 2 * k:] = d_new
             through = drive[t].copy()
-            through[:, 2 * k:] *= r
-            grads[1] += old.T @ through
-            flow = (d * z + through @ self.turn.T) * keep[t]
-        ids, flat = before.ravel(), drive.reshape(-1, 3 * k)
+            through[2 * k:] *= r
+            grads[1] += (through @ old.T).T
+            flow = (d * z + self.turn @ through) * keep[t]
+        ids, flat = before.ravel(), drive.transpose(0, 2, 1).reshape(-1, 3 * k)
         order = np.argsort(ids, kind="stable")
         at = np.flatnonzero(np.diff(ids[order], prepend=-1))
         grads[0][ids[order][at]] += np.add.reduceat(flat[order], at, axis=0)
@@ -280,6 +315,13 @@ def score_chunk(gru: Gru, ids: np.ndarray, first: np.ndarray, window: int = 64)
     fresh[first[:-1]] = True
     lanes = lanes_of(first)
     live, h = np.arange(lanes.shape[1]), np.zeros((lanes.shape[1], gru.hidden), np.float32)
+    held: list[tuple[np.ndarray, np.ndarray]] = []      # states of windows that await their output
+
+    def flush():
+        at = np.concatenate([p for p, _ in held])
+        out[at] = gru.output(np.concatenate([x for _, x in held]), ids[at])[0]
+        held.clear()
+
     for at in range(0, len(lanes), window):
         p = lanes[at:at + window][:, live]
         on = p[0] >= 0
@@ -287,9 +329,12 @@ def score_chunk(gru: Gru, ids: np.ndarray, first: np.ndarray, window: int = 64)
             p, live, h = p[:, on], live[on], h[on]
         q = np.maximum(p, 0)
         states, h, _, _ = gru.forward(before[q], fresh[q], h)
-        logp, _ = gru.output(states, ids[q])
-        real = p.ravel() >= 0
-        out[p.ravel()[real]] = logp[real]
+        real = p >= 0
+        held.append((p[real], states[real]))
+        if sum(len(p) for p, _ in held) >= AT_ONCE:
+            flush()
+    if held:
+        flush()
     return out
 
 
@@ -335,17 +380,30 @@ class Trainer:
     def _step(self, inputs: np.ndarray, scale: float) -> None:
         """One update from ``self.grads``, which are then zero; of the embeddings, of ``inputs`` alone."""
         self.steps += 1
-        places = [inputs, *[slice(None)] * (len(self.grads) - 1)]
-        grads = [x[at] for x, at in zip(self.grads, places)]
-        size = np.sqrt(sum(float(np.vdot(x, x)) for x in grads))
-        clip = min(1.0, 1.0 / (size + 1e-9))
         a, b = 1 - 0.9**self.steps, 1 - 0.99**self.steps
-        for w, x, m, v, whole, at in zip(self.gru.arrays(), grads, self.m, self.v, self.grads, places):
-            x *= clip
-            m[at] += 0.1 * (x - m[at])
-            v[at] += 0.01 * (x * x - v[at])
-            w[at] -= (self.rate * scale / a) * m[at] / (np.sqrt(v[at] / b) + 1e-6)
-            whole[at] = 0
+        whole = list(zip(self.gru.arrays(), self.grads, self.m, self.v))
+        parts = [tuple(x[inputs] for x in whole[0]), *whole[1:]]
+        size = np.sqrt(sum(float(np.vdot(x, x)) for _, x, _, _ in parts))
+        clip = min(1.0, 1.0 / (size + 1e-9))
+        rate = self.rate * scale * np.sqrt(b) / a
+        for part in parts:
+            flat = [x.reshape(-1) for x in part]
+            for at in range(0, len(flat[0]), CACHED):
+                w, x, m, v = (y[at:at + CACHED] for y in flat)
+                m *= 0.9
+                v *= 0.99
+                x *= 0.1 * clip
+                m += x
+                x *= x              # 0.01 * the squared gradient
+                v += x
+                np.sqrt(v, out=x)
+                x += 1e-6
+                np.divide(m, x, out=x)
+                x *= rate
+                w -= x
+                x[:] = 0
+        for x, y in zip(whole[0], parts[0]):
+            x[inputs] = y
 
 
 def _average(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -360,11 +418,11 @@ def train(docs: DataFrame, vocabulary: Vocabulary, gru: Gru, rounds: int = ROUND
     sc = docs.sparkSession.sparkContext
     part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds))
     for r in range(rounds):
-        shared = sc.broadcast((vocabulary, gru.pack()))
+        shared = sc.broadcast((vocabulary, gru.edges, gru.pack()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocabulary, flat = shared.value
-            trainer = Trainer(Gru(vocabulary.size, hidden).unpack(flat))
+            vocabulary, edges, flat = shared.value
+            trainer = Trainer(Gru(vocabulary.size, hidden, edges=edges).unpack(flat))
             for batch in batches:
                 for b in chunks(batch, "text", CHUNK):
                     tokens, first = tokens_of(b.column("text"))
@@ -405,27 +463,34 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
     order = np.argsort(ranked)
     vocabulary = Vocabulary(ranked[order], order)
     n_rest, v_rest = n - int(top.sum()), v - len(top)
-    gru = Gru(vocabulary.size, hidden).start_from(top.astype(float), n_rest)
+    gru = Gru(vocabulary.size, hidden, edges=class_edges(top)).start_from(top.astype(float), n_rest)
     gru = train(learn, vocabulary, gru, rounds)
 
     least = 0
     if v > head_rows:      # the counts above a quantile make up the head; the rest is joined
-        least = int(counts.approxQuantile("c", [1 - head_rows / v], 0.001)[0])
+        least = int(counts.approxQuantile("c", [1 - head_rows / v], head_rows / (4 * v))[0])
+        while counts.where(F.col("c") > least).count() > head_rows:
+            least *= 2
     head = counts.where(F.col("c") > least).toArrow()
     tokens = head.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (vocabulary, gru.pack(), tokens[order], head.column("c").to_numpy()[order]))
+        (vocabulary, top, gru.edges, gru.pack(), tokens[order], head.column("c").to_numpy()[order]))
     del head, tokens, order
     ten = np.log(10.0)
 
-    def known(tokens, head, c):
-        """Count of each token, and whether the head has it."""
-        if not len(head):
-            return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(head, tokens), len(head) - 1)
-        ok = head[at] == tokens
-        return np.where(ok, c[at], 0), ok
+    def plus_one(tokens, ids, top, head, c):
+        """Count of each token plus one; of those neither in the network nor in the head, 0
+        where the join counts, else 1."""
+        out = np.full(len(tokens), 0.0 if least else 1.0)
+        word = ids < len(top)
+        out[word] = top[ids[word]] + 1.0
+        rest = np.flatnonzero(~word)
+        if len(head):
+            at = np.minimum(np.searchsorted(head, tokens[rest]), len(head) - 1)
+            ok = head[at] == tokens[rest]
+            out[rest[ok]] = c[at[ok]] + 1.0
+        return out
 
     def total(x, first, kind=np.float64):
         return np.add.reduceat(x, first[:-1], dtype=kind) if len(first) > 1 else np.zeros(0, kind)
@@ -434,17 +499,21 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
     with_row = docs.withColumn("held_out", held_out()).withColumn("row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat, head, c = shared.value
-        gru = Gru(vocabulary.size, hidden).unpack(flat)
+        vocabulary, top, edges, flat, head, c = shared.value
+        gru = Gru(vocabulary.size, hidden, edges=edges).unpack(flat)
         for batch in batches:
             for b in chunks(batch, "text", CHUNK):
                 tokens, first = tokens_of(b.column("text"))
                 ids = vocabulary.ids(tokens)
                 count = np.empty(len(tokens), np.float64)       # plus one; 0 where the join counts
                 for at in range(0, len(tokens), BLOCK):
-                    some, ok = known(tokens[at:at + BLOCK], head, c)
-                    count[at:at + BLOCK] = np.where(ok, some + 1.0, 0.0 if least else 1.0)
-                del tokens
+                    count[at:at + BLOCK] = plus_one(tokens[at:at + BLOCK], ids[at:at + BLOCK], top, head, c)
+                gone = np.flatnonzero(count == 0)
+                at = np.searchsorted(gone, first).astype(np.int32)
+                # token and whether it is outside the network's words; empty unless counts are joined
+                joined = [pa.ListArray.from_arrays(at, x) for x in (
+                    pa.array(tokens[gone].view(np.int64)), pa.array(ids[gone] >= vocabulary.size))]
+                del tokens, gone
                 sums = [total(count > 1, first, np.int64)]
                 counted = count > 0
                 logs = np.log10(count, out=count, where=counted)
@@ -458,24 +527,14 @@ def score(docs: DataFrame, head_rows: int = HEAD_ROWS, rounds: int = ROUNDS, hid
                 sums.append(total(score_chunk(gru, ids, first), first) / ten + outside)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("row"), b.column("held_out"), pa.array(np.diff(first), pa.int64()),
-                     *(pa.array(s) for s in sums)],
-                    names=["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                     *(pa.array(s) for s in sums), *joined],
+                    names=["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "score", "token", "outside"])
 
     out = with_row.mapInArrow(run, f"doc_id {id_type}, row bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-                                   "base_score double, score double")
+                                   "base_score double, score double, token array<bigint>, outside array<boolean>")
     if least:
-        def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, _, head, c = shared.value
-            for batch in batches:
-                for b in chunks(batch, "text", CHUNK):
-                    tokens, first = tokens_of(b.column("text"))
-                    gone = np.flatnonzero(~known(tokens, head, c)[1])
-                    row = b.column("row").to_numpy()[np.searchsorted(first, gone, side="right") - 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(row), pa.array(tokens[gone].view(np.int64)), pa.array(vocabulary.ids(tokens[gone]) >= vocabulary.size)],
-                        names=["row", "token", "outside"])
-
-        rare = (with_row.select("row", "text").mapInArrow(missing, "row bigint, token bigint, outside boolean")
+        out = stage(out)
+        rare = (out.select("row", F.explode(F.arrays_zip("token", "outside")).alias("x")).select("row", "x.*")
                 .groupBy("row", "token", "outside").agg(F.count(F.lit(1)).alias("times"))
                 .join(counts.where(F.col("c") <= least), "token", "left").withColumn("c", F.coalesce("c", F.lit(0))))
         log = lambda total: F.col("times") * F.log10((F.col("c") + 1.0) / F.lit(float(total)))
