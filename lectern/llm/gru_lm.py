@@ -141,24 +141,6 @@ def class_edges(counts: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.diff(cls, prepend=-1)), len(counts))
 
 
-def softmax(s: np.ndarray, weights: np.ndarray, own: np.ndarray, weight: np.ndarray | None = None, shift: bool = True):
-    """Log probability of column ``own`` in each row; with ``weight``, also a matrix and a factor
-    of its rows whose product is the weighted gradient of the negative ones by the logits.
-    ``shift``: logits may overflow as they are."""
-    e = s @ np.ascontiguousarray(weights.T)       # a product with a transposed view is several times slower
-    if shift:
-        e -= e.max(1, keepdims=True)
-    rows = np.arange(len(own))
-    logp = e[rows, own]
-    np.exp(e, out=e)
-    total = e @ np.ones(e.shape[1], e.dtype)
-    logp -= np.log(total)
-    if weight is None:
-        return logp, e, None
-    e[rows, own] -= total
-    return logp, e, (weight / total)[:, None]
-
-
 class Gru:
     """Weights and the passes over them. Ids below ``size`` are words by rank, ids above are the
     last class. The last column of ``to_class`` and ``to_word`` is the bias."""
@@ -172,6 +154,8 @@ class Gru:
         self.classes = len(self.edges) - 1
         self.class_of = np.append(np.repeat(np.arange(self.classes), np.diff(self.edges)), self.classes).astype(np.int16)
         self.start = size + BUCKETS
+        self.rows = np.arange(ROWS)
+        self.ones = np.ones(max(self.classes + 1, np.diff(self.edges).max(initial=0)), np.float32)
         init = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
         self.embed, self.turn = init(self.start + 1, 3 * hidden), init(hidden, 3 * hidden)
         self.to_class, self.to_word = init(self.classes + 1, hidden + 1), init(size, hidden + 1)
@@ -197,6 +181,23 @@ class Gru:
             at += a.size
         return self
 
+    def softmax(self, s: np.ndarray, weights: np.ndarray, own: np.ndarray, weight: np.ndarray | None, shift: bool):
+        """Log probability of column ``own`` in each row; with ``weight``, instead a matrix and a
+        factor of its rows whose product is the weighted gradient of the negative ones by the
+        logits. ``shift``: logits may overflow as they are."""
+        e = s @ np.ascontiguousarray(weights.T)       # a product with a transposed view is several times slower
+        if shift:
+            e -= e.max(1, keepdims=True)
+        rows, ones = self.rows[:len(own)], self.ones[:len(weights)]
+        if weight is None:
+            logp = e[rows, own]
+            np.exp(e, out=e)
+            return logp - np.log(e @ ones)
+        np.exp(e, out=e)
+        total = e @ ones
+        e[rows, own] -= total
+        return e, weight / total
+
     def forward(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """Hidden states of a window (steps, lanes), with what the backward pass needs. Inside,
         lanes are the last axis, so that every operation runs over long contiguous rows."""
@@ -225,47 +226,45 @@ class Gru:
         return states.transpose(0, 2, 1), h.T, saved, keep
 
     def output(self, states: np.ndarray, ids: np.ndarray, grads: list | None = None, weight: np.ndarray | None = None):
-        """Natural log probability of each id (the last class without its word part);
-        with ``grads``, adds the output gradients there and returns those of the states."""
+        """Natural log probability of each id (the last class without its word part); with
+        ``grads``, adds the output gradients there and returns those of the states instead."""
         k, ids = self.hidden, ids.ravel()
         cls = self.class_of[np.minimum(ids, self.size)]
         order = np.argsort(cls, kind="stable")         # one product per class
         cls, ids = cls[order], ids[order]
         s = np.ones((len(ids), k + 1), states.dtype)
         s[:, :k] = states.reshape(-1, k)[order]
-        weight = None if grads is None else weight[order]
-        logp, back = np.empty(len(ids)), np.empty((len(ids), k), states.dtype)
         # states are within 1, so logits of small weights cannot overflow
         reach = lambda w: max(w.max(initial=0), -w.min(initial=0))
         shift = any(reach(w[:, :k]) * k + reach(w[:, k]) > REACH for w in (self.to_class, self.to_word))
-        for at in range(0, len(ids), ROWS):
-            i = slice(at, at + ROWS)
-            logp[i], g, f = softmax(s[i], self.to_class, cls[i], None if grads is None else weight[i], shift)
-            if grads is not None:
-                back[i] = (g @ self.to_class[:, :k]) * f
-                grads[2] += g.T @ (s[i] * f)
-        bounds = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
-        edges = self.edges.tolist()
+        bounds, edges = np.searchsorted(cls, np.arange(self.classes + 1)).tolist(), self.edges.tolist()
+        # (rows, their columns, the weights and where their gradients go): all rows by class, then each class by word
+        parts = [(slice(at, at + ROWS), cls[at:at + ROWS], self.to_class, 2, slice(None)) for at in range(0, len(ids), ROWS)]
         for c in range(self.classes):
             a, b = edges[c], edges[c + 1]
-            if b - a == 1:
-                continue
-            for at in range(bounds[c], bounds[c + 1], ROWS):
-                i = slice(at, min(at + ROWS, bounds[c + 1]))
-                more, g, f = softmax(s[i], self.to_word[a:b], ids[i] - a, None if grads is None else weight[i], shift)
-                logp[i] += more
-                if grads is not None:
-                    back[i] += (g @ self.to_word[a:b, :k]) * f
-                    grads[3][a:b] += g.T @ (s[i] * f)
-        out = np.empty_like(logp)
-        out[order] = logp
+            if b - a > 1:
+                for at in range(bounds[c], bounds[c + 1], ROWS):
+                    i = slice(at, min(at + ROWS, bounds[c + 1]))
+                    parts.append((i, ids[i] - a, self.to_word[a:b], 3, slice(a, b)))
         if grads is None:
+            logp = np.zeros(len(ids))
+            for i, own, weights, _, _ in parts:
+                logp[i] += self.softmax(s[i], weights, own, None, shift)
+            out = np.empty_like(logp)
+            out[order] = logp
             return out, None
+        weight, back = weight[order], np.zeros((len(ids), k), states.dtype)
+        for i, own, weights, which, where in parts:
+            g, factor = self.softmax(s[i], weights, own, weight[i], shift)
+            factor = factor[:, None]
+            back[i] += (g @ weights[:, :k]) * factor
+            grads[which][where] += g.T @ (s[i] * factor)
         flow = np.empty_like(back)
         flow[order] = back
-        return out, flow.reshape(states.shape)
+        return None, flow.reshape(states.shape)
 
-    def backward(self, before: np.ndarray, saved: list, keep: np.ndarray, back: np.ndarray, grads: list) -> None:
+    def backward(self, before: np.ndarray, saved: list, keep: np.ndarray, back: np.ndarray, grads: list) -> np.ndarray:
+        """Adds the gradients of a window to ``grads``; the distinct inputs."""
         k = self.hidden
         back = np.ascontiguousarray(back.transpose(0, 2, 1))
         flow = np.zeros_like(back[0])
@@ -283,8 +282,10 @@ class Gru:
             flow = (d * z + self.turn @ through) * keep[t]
         ids, flat = before.ravel(), drive.transpose(0, 2, 1).reshape(-1, 3 * k)
         order = np.argsort(ids, kind="stable")
-        at = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        grads[0][ids[order][at]] += np.add.reduceat(flat[order], at, axis=0)
+        ids = ids[order]
+        at = np.flatnonzero(np.diff(ids, prepend=-1))
+        grads[0][ids[at]] += np.add.reduceat(flat[order], at, axis=0)
+        return ids[at]
 
 
 def lanes_of(first: np.ndarray, most: int = LANES) -> np.ndarray:
@@ -373,8 +374,7 @@ class Trainer:
             weight = (p.ravel() >= 0).astype(np.float32)
             n = float(weight.sum())
             _, back = g.output(states, ids[q], grads, weight / max(n, 1.0))
-            g.backward(inputs, saved, keep, back, grads)
-            self._step(np.unique(inputs), min(1.0, n / 256))
+            self._step(g.backward(inputs, saved, keep, back, grads), min(1.0, n / 256))
             self.tokens += int(n)
 
     def _step(self, inputs: np.ndarray, scale: float) -> None:
