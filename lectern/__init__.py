@@ -18,6 +18,7 @@ from .operators.lm import (best_model, eval_loss, fit_bigram, grid_losses, load_
                            perplexity, retained_models, save_model)
 from .operators.pack import cut_blocks, pack_batch, pack_document, pack_file, pack_stats, token_offsets
 from .operators.prefix import dense_ordinal, hash_rank, running_offsets
+from .operators.resolve import resolve_ranked
 from .operators.schedule import batch_plan, block_keys, step_events
 from .operators.split import split_exact
 from .operators.tokenize import (detokenize, fit_vocab, map_batches, special_tokens, token_rows, tokenize,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import catalog as cat
+from ..operators.resolve import resolve_ranked
 from ..sources.files import parse_works
 from . import oracle as o
 from .inputs import documents, table
@@ -144,6 +145,33 @@ def q_candidate_items(spark, sf):
     return cat.candidate_items(works_with_ids(spark, sf), catalog(spark, sf), order(), 5)
 
 
+_TERMS = " UNION ".join(f"SELECT {{key}}, unnest(regexp_extract_all(lower({c}), '[\\p{{{{L}}}}\\p{{{{N}}}}]+')) AS word, '{c[0]}' AS f, {n} AS k FROM {{src}}"
+                       for c, n in (("author", 1), ("title", 2)))
+
+
+@register("resolve_ranked", "WITH " + CAT_SQL + f""",
+loose AS (SELECT DISTINCT author, CAST(gutenberg_id % 50 AS VARCHAR) || ' / ' || title || ', vol. '
+                 || CAST(gutenberg_id % 3 AS VARCHAR) AS title FROM works WHERE gutenberg_id IS NOT NULL),
+item AS ({_TERMS.format(key='identifier, n_chars, doc_id', src='searchable')}),
+want AS ({_TERMS.format(key='author, title', src='loose')}),
+df AS (SELECT f, word, count(*) AS df FROM item GROUP BY f, word),
+imp AS (SELECT author, title, f, word, k * length(bin((SELECT count(*) FROM searchable) // df)) AS impact
+        FROM want JOIN df USING (f, word)),
+tot AS (SELECT author, title, sum(impact) AS total FROM imp GROUP BY author, title),
+hit AS (SELECT i.author, i.title, identifier, n_chars, doc_id, sum(impact) AS score
+        FROM imp i JOIN item USING (f, word) GROUP BY ALL),
+placed AS (SELECT author, title, identifier, score,
+                  row_number() OVER (PARTITION BY author, title ORDER BY score DESC, n_chars DESC, doc_id) AS rank
+           FROM hit JOIN tot USING (author, title) WHERE 100 * score >= 50 * total)
+SELECT author, title, CAST(rank AS INTEGER) AS rank, identifier, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= 5""")
+def q_resolve_ranked(spark, sf):
+    """D1/F2, loose: titles with their words in another order, a number and a volume added."""
+    w = works_with_ids(spark, sf).where("gutenberg_id is not null")
+    number = lambda m: (F.col("gutenberg_id") % m).cast("string")
+    loose = w.withColumn("title", F.concat(number(50), F.lit(" / "), F.col("title"), F.lit(", vol. "), number(3)))
+    return resolve_ranked(loose, catalog(spark, sf), [-F.col("n_chars"), F.col("doc_id")])
+
+
 @register("unresolved_works", "WITH " + CAT_SQL + """
 SELECT author, title FROM wk WHERE NOT EXISTS
   (SELECT 1 FROM searchable s WHERE s.author = wk.author AND s.title = wk.title)""")
