@@ -7,10 +7,10 @@ gives the best labelling of the whole text, and a text is kept when content line
 hold at least ``share`` of its words. Plain counts come first: a text with too few
 words, or with too many words in repeated 5-word windows, fails without the field.
 
-The field is trained here by gradient ascent on the conditional likelihood (forward
-and backward passes in numpy) from the quality labels, on at most ``train_rows``
-labelled documents of at most ``train_lines`` lines: a documented bound. Everything
-else covers whole texts. Documents are only mapped; decoding advances all documents
+The field is trained here on at most ``train_rows`` labelled documents of at most
+``train_lines`` lines: a documented bound. Labels are of documents, so line labels are
+latent: a document's label only bounds the expected share of its lines that carry it
+(see ``Field.fit``). Everything else covers whole texts. Documents are only mapped; decoding advances all documents
 of a chunk line by line, so memory is bounded by the chunk (or one longer text).
 
 Defined cases: null and empty text have no words and fail; repeated rows are judged
@@ -37,6 +37,8 @@ WINDOW = 5
 SHARE = 0.5
 TRAIN_ROWS = 3000
 TRAIN_LINES = 200
+ROUNDS = 150
+EXPECTED = 0.8
 
 SYMBOLS = byte_set(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 CAPITAL = byte_set((0x41, 0x5A))
@@ -45,6 +47,7 @@ DIGIT = byte_set((0x30, 0x39))
 MARKS = byte_set(*[(ord(c), ord(c)) for c in "!?|{}[]()=_;:/\\\""])
 LEAD = ~byte_set((0x80, 0xBF))
 N_FEATURES = 14
+WITH_WORDS = 2             # the feature that is 0 for a line without words
 
 
 def per_segment(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -162,42 +165,56 @@ class Field:
             label[at] = now[:a]
         return label
 
-    def fit(self, first: np.ndarray, features: np.ndarray, label: np.ndarray, rounds: int = 150,
-            rate: float = 0.1, decay: float = 1e-3) -> Field:
-        """Adam on the mean conditional log-likelihood of the label sequences, each
-        document with the same weight."""
+    @staticmethod
+    def expect(start: np.ndarray, active: list[int], score: np.ndarray, move: np.ndarray,
+               weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward and backward passes: each line's label distribution, and the weighted
+        expected number of moves between labels."""
+        ahead, behind = np.zeros_like(score), np.zeros_like(score)
+        for t, a in enumerate(active):
+            at = start[:a] + t
+            ahead[at] = score[at] if not t else score[at] + np.logaddexp(
+                ahead[at - 1, :1] + move[0], ahead[at - 1, 1:] + move[1])
+        pair = np.zeros((2, 2))
+        for t in range(len(active) - 1, 0, -1):
+            at = start[:active[t]] + t
+            nxt = score[at] + behind[at]
+            behind[at - 1] = np.logaddexp(nxt[:, :1] + move[:, 0], nxt[:, 1:] + move[:, 1])
+            both = ahead[at - 1][:, :, None] + move + nxt[:, None, :]
+            both = np.exp(both - np.logaddexp.reduce(both.reshape(-1, 4), axis=1)[:, None, None])
+            pair += np.einsum("nij,n->ij", both, weight[at])
+        mass = ahead + behind
+        return np.exp(mass - np.logaddexp(mass[:, :1], mass[:, 1:])), pair
+
+    def fit(self, first: np.ndarray, features: np.ndarray, quality: np.ndarray, rounds: int = ROUNDS,
+            rate: float = 0.1, decay: float = 1e-3, expected: float = EXPECTED) -> Field:
+        """Training with latent line labels. A document's quality only says that at least
+        the share ``expected`` of its lines with words has its label: of all distributions
+        over labellings that hold this, the one nearest to the field's (forward and backward
+        passes with a bonus per document, found by dual ascent along the rounds) is what
+        Adam draws the field to. Each document has the same weight."""
         order, active = self.steps(first)
         start, n = first[:-1][order], len(first) - 1
         size = np.diff(first)
+        doc = np.repeat(np.arange(n), size)
         weight = np.repeat(1 / np.maximum(size, 1), size)
         x = features.astype(float)
-        hot = np.stack([label == 0, label == 1], 1).astype(float)
+        full = x[:, WITH_WORDS] > 0
+        own = np.asarray(quality)[doc]
+        hot = np.stack([own == 0, own == 1], 1) * full[:, None].astype(float)
+        lines = np.bincount(doc, full, minlength=n)
+        bonus = np.zeros(n)
         theta = np.concatenate([self.emit.ravel(), self.move.ravel()])
         m, v = np.zeros_like(theta), np.zeros_like(theta)
-        pair_seen = np.zeros((2, 2))
-        for t, a in enumerate(active[1:], 1):
-            at = start[:a] + t
-            pair_seen += np.einsum("ni,nj,n->ij", hot[at - 1], hot[at], weight[at])
         cells = 2 * N_FEATURES
         for step in range(1, rounds + 1):
             emit, move = theta[:cells].reshape(2, -1), theta[cells:].reshape(2, 2)
             score = x @ emit.T
-            ahead, behind = np.zeros_like(score), np.zeros_like(score)
-            for t, a in enumerate(active):
-                at = start[:a] + t
-                ahead[at] = score[at] if not t else score[at] + np.logaddexp(
-                    ahead[at - 1, :1] + move[0], ahead[at - 1, 1:] + move[1])
-            pair = np.zeros((2, 2))
-            for t in range(len(active) - 1, 0, -1):
-                at = start[:active[t]] + t
-                nxt = score[at] + behind[at]
-                behind[at - 1] = np.logaddexp(nxt[:, :1] + move[:, 0], nxt[:, 1:] + move[:, 1])
-                both = ahead[at - 1][:, :, None] + move + nxt[:, None, :]
-                both = np.exp(both - np.logaddexp.reduce(both.reshape(-1, 4), axis=1)[:, None, None])
-                pair += np.einsum("nij,n->ij", both, weight[at])
-            mass = ahead + behind
-            mass = np.exp(mass - np.logaddexp(mass[:, :1], mass[:, 1:]))
-            slope = np.concatenate([(((hot - mass) * weight[:, None]).T @ x).ravel(), (pair_seen - pair).ravel()]) / n
+            mass, pair = self.expect(start, active, score, move, weight)
+            held, pair_held = self.expect(start, active, score + hot * bonus[doc][:, None], move, weight)
+            share = np.bincount(doc, (held * hot).sum(1), minlength=n) / np.maximum(lines, 1)
+            bonus = np.where(lines > 0, np.maximum(bonus + expected - share, 0), 0)
+            slope = np.concatenate([(((held - mass) * weight[:, None]).T @ x).ravel(), (pair_held - pair).ravel()]) / n
             slope -= decay * theta
             m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
             theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -206,28 +223,31 @@ class Field:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_lines: int = TRAIN_LINES) -> Field | None:
     """The field fitted on the ``train_rows`` labelled documents of smallest hashed id
-    that have at most ``train_lines`` lines; None without rows of both classes."""
+    that have at most ``train_lines`` lines, one row per id (the text of smallest hash);
+    None without rows of both classes."""
     some = (labels.select("doc_id", "quality").where("quality in (0, 1) and doc_id is not null")
-            .groupBy("doc_id").agg(F.max("quality").alias("quality"))
+            .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    texts = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").where(
-        F.length(F.regexp_replace("text", "[^\n]", "")) < train_lines)
+    texts = (docs.select("doc_id", "text").where(F.length(F.regexp_replace("text", "[^\n]", "")) < train_lines)
+             .join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality")
+             .agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in chunks(batch, "text"):
                 x = lines_of(words_of(b.column("text"), SPACED))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("quality"), pa.array(np.diff(x.first), pa.int64()),
+                    [b.column("quality"), pa.array(np.diff(x.first), pa.int64()),
                      pa.array([x.features[a:z].tobytes() for a, z in zip(x.first, x.first[1:])], pa.binary())],
-                    names=["doc_id", "quality", "n", "features"])
+                    names=["quality", "n", "features"])
 
-    rows = texts.mapInArrow(run, "doc_id bigint, quality int, n bigint, features binary").orderBy("doc_id", "features").collect()
-    if len({r["quality"] for r in rows}) < 2:
+    rows = texts.mapInArrow(run, "quality int, n bigint, features binary").collect()
+    # in an order of their own, so the fit does not depend on how rows were dealt
+    rows = sorted((r["quality"], r["n"], bytes(r["features"])) for r in rows)
+    if len({q for q, _, _ in rows}) < 2:
         return None
-    x = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES) for r in rows])
-    size = [r["n"] for r in rows]
-    return Field().fit(np.concatenate(([0], np.cumsum(size))), x, np.repeat([r["quality"] for r in rows], size))
+    x = np.concatenate([np.frombuffer(f, np.float32).reshape(-1, N_FEATURES) for _, _, f in rows])
+    return Field().fit(np.concatenate(([0], np.cumsum([n for _, n, _ in rows]))), x, np.array([q for q, _, _ in rows]))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -11,6 +11,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from .data import edge_rows, make_docs, rows_of
+from pyspark.sql import functions as F
+
 from lectern.llm import decontaminate, packing, pii, quality, token_counts
 from lectern.llm.words import ALNUM, LOWER, SPACED, grams, hash_words, hashes, words_of
 
@@ -119,6 +121,25 @@ def test_quality_field_on_held_out(spark):
         r["doc_id"] for r in quality.judge(docs, field).collect() if r["kept"]}
 
 
+def test_quality_mixed_page(spark):
+    """A boilerplate block inside good text is labelled as such, and only its words are left out."""
+    rows, docs, labels = labelled(spark)
+    good, bad = rows[101][1].split("\n"), rows[100][1].split("\n")
+    page = good[:3] + bad[:3] + good[3:]
+    got = quality.judge(make_docs(spark, [(1, "\n".join(page)), (2, "\n".join(bad + good[:1]))]), quality.train(docs, labels)).collect()
+    assert {r["doc_id"]: r["content_words"] for r in got} == {1: sum(len(x.split()) for x in good), 2: len(good[0].split())}
+
+
+def test_quality_trains_on_one_row_per_id_of_any_type(spark):
+    rows, docs, labels = labelled(spark)
+    once = quality.train(docs, labels)
+    text_ids = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    named = labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    often = text_ids.unionByName(text_ids.where("doc_id = 'd5'").withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("again"))
+    again = quality.train(often, named)
+    assert np.array_equal(once.emit, again.emit) and np.array_equal(once.move, again.move)
+
+
 def test_viterbi_is_the_best_labelling():
     r = np.random.default_rng(1)
     first = np.array([0, 1, 5, 5, 11])
