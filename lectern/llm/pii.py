@@ -231,11 +231,12 @@ class Graph:
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS) -> Field | None:
     """The field fitted on the ``train_rows`` documents of smallest hashed id that hold a
-    digit or ``@`` and at most ``train_chars`` characters; None without any."""
-    some = (docs.where(F.length("text") <= train_chars).where(F.col("text").rlike("[0-9@]"))
-            .select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    rows = (docs.select("doc_id", "text").where(F.length("text") <= train_chars).join(F.broadcast(some), "doc_id")
-            .orderBy("doc_id", "text").collect())
+    digit or ``@`` and at most ``train_chars`` characters, one row per id (the text of
+    smallest hash); None without any."""
+    fit = docs.where(F.length("text") <= train_chars).where(F.col("text").rlike("[0-9@]")).where("doc_id is not null")
+    some = fit.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    rows = (fit.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id")
+            .agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).orderBy("doc_id").collect())
     g = Graph()
     for r in rows:
         g.add(0, r["text"], rule_spans(r["text"]), with_labels=True)
