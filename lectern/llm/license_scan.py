@@ -9,7 +9,9 @@ share of the template's words it covers and by its length. A base phrase is foun
 where one diagonal holds all of the phrase's windows.
 
 One scan of the texts feeds the join, and only matches and one marker row per document
-are shuffled, by document. A group never exceeds one document's matches.
+are shuffled. Votes are counted before their first shuffle, so a row repeated for a third
+of the table is one group per task; its copies come back in bounded blocks that spread over
+tasks. A group never exceeds one document's diagonals.
 
 Defined cases: null or empty text has no words, no places and score 0; documents
 repeated with the same id and text are scanned once and returned as often as they
@@ -25,6 +27,7 @@ K = 3
 GAP = 2
 LEAST_COVER = 0.75
 MOST_STRETCH = 1.5
+BLOCK = 10_000
 
 #: Base phrases and their labels.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -83,8 +86,7 @@ def scan(docs: DataFrame, base=tuple(BASE), notices=tuple(NOTICES), least_cover:
         F.concat(F.array(F.lit(None).cast("bigint")), window_hashes(F.col("w")))).alias("place", "hash"))
     found = (rolled.join(F.broadcast(templates(docs.sparkSession, base, notices)), "hash", "left")
              .where("place = 0 or template is not null")
-             .withColumn("diagonal", (F.col("place") - 1 - F.col("at")).cast("bigint"))
-             .repartition("doc_id", "text_hash"))
+             .withColumn("diagonal", (F.col("place") - 1 - F.col("at")).cast("bigint")))
     votes = found.groupBy(*doc, "template", "size", "is_base", "label", "diagonal").agg(
         F.collect_set("at").alias("at"), F.count(F.lit(1)).alias("rows"))
     order = Window.partitionBy(*doc, "template").orderBy("diagonal")
@@ -110,5 +112,18 @@ def scan(docs: DataFrame, base=tuple(BASE), notices=tuple(NOTICES), least_cover:
         F.collect_set(F.when(F.col("named"), F.col("label"))).alias("labels"),
         F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"))
     join = lambda c: F.array_join(F.sort_array(c), ",").alias(c)
-    return per_doc.select("doc_id", "n_words", "n_base", "first_word", "last_word", join("base_labels"), join("labels"),
-                          "score", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
+    out = per_doc.select("doc_id", "text_hash", "n_words", "n_base", "first_word", "last_word", join("base_labels"),
+                         join("labels"), "score", "copies")
+    return repeat(out, ["doc_id", "text_hash"]).drop("text_hash")
+
+
+def repeat(rows: DataFrame, key: list[str], copies: str = "copies", block: int = BLOCK) -> DataFrame:
+    """Each row ``copies`` times. The copies are dealt in blocks of at most ``block`` rows,
+    which spread over tasks, so no array or task holds all copies of one row."""
+    last = F.floor((F.col(copies) - 1) / block).cast("bigint")
+    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    size = F.least(F.col(copies) - F.col("_block") * block, F.lit(block)).cast("int")
+    # a number of partitions of its own: joined by bytes, small rows of many copies would meet in one task
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = blocks.repartition(n, *key, "_block")
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), size))).drop("_block", "_copy", copies)

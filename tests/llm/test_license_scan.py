@@ -2,6 +2,8 @@
 import re
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 from .data import edge_rows, make_docs
 from lectern.llm import license_scan as ls
@@ -47,5 +49,21 @@ def test_main_path_has_no_python(spark, docs):
     assert not re.search("Python|Pandas|Arrow", plan.replace("docs", ""))
 
 
+def test_repeated_rows_stay_bounded(spark):
+    """100,000 equal rows without an id: votes are counted before the shuffle, copies come back in blocks."""
+    many = spark.range(0, 100_000, 1, 7).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("x under the MIT license").alias("text"))
+    got = ls.scan(many)
+    per_task = got.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 100_000 and len(per_task) > 1
+    assert max(r["count"] for r in per_task) <= 60_000
+    assert [tuple(r) for r in got.distinct().collect()] == [(None, 5, 1, 1, 1, "mit", "mit", 1.0)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 10])
+def test_repeat(spark, block):
+    rows = spark.createDataFrame([(i, i) for i in range(1, 12)], "k int, copies bigint")
+    assert sorted(r["k"] for r in ls.repeat(rows, ["k"], block=block).collect()) == [i for i in range(1, 12) for _ in range(i)]
+
+
 def test_empty(no_docs):
     assert ls.scan(no_docs).count() == 0
