@@ -5,14 +5,14 @@ An archive is two tables. ``headers`` keeps the exact header block of every WARC
 payload once, under its SHA-256. Of the records with equal payloads of at least
 ``least`` bytes, the one with the smallest page id is a ``response`` and the others are
 ``revisit`` records that refer to it. Reading joins the headers to the payloads,
-recomputes every stored payload's digest and stops on a mismatch, and gives back the
-original records byte for byte. ``export_warc`` writes them as plain WARC files with
+recomputes every stored payload's digest, compares lengths and digests with the headers',
+stops on a mismatch, and gives back the original records byte for byte. ``export_warc`` writes them as plain WARC files with
 Spark's text writer, ``import_warc`` reads such files by their content lengths.
 
 Scale: digests, lengths and ids shuffle; payload bytes are written from their own
-scan (rows to leave out come as a sized join on id and digest) and are read in place to be
-verified. Only ``records`` moves payloads, by their digest, for callers who want
-them. A payload shared by a third of all pages is one row of a sized join.
+scan (rows to leave out come as a sized join on id and digest). ``records`` shuffles each
+stored payload once, to its response. A payload shared by a third of all pages is stored
+once, and its revisits are joined to its length and digest alone.
 
 Defined cases: a null payload is empty; a null url gives an empty target; a null page
 id is never a group's smallest unless all are null; rows repeated with one page
@@ -84,10 +84,16 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES, date: s
               .withColumn("refers_to", F.when(revisit, F.col("first_id"))))
     marked.select("page_id", header(date).alias("header"), "digest").write.parquet(f"{path}/headers")
     left_out = stage(marked.where(revisit).select(F.col("page_id").alias("out_id"), F.col("digest").alias("out_digest")).distinct())
-    n = left_out.count()
-    left_out = F.broadcast(left_out) if n <= SMALL_ROWS else left_out
-    (src.join(left_out, F.col("page_id").eqNullSafe(F.col("out_id")) & (F.col("digest") == F.col("out_digest")), "left_anti")
-     .select("digest", "payload").write.parquet(f"{path}/payloads"))
+    again = stage(marked.where(~revisit).groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"))
+    is_out = F.col("page_id").eqNullSafe(F.col("out_id")) & (F.col("digest") == F.col("out_digest"))
+    first = sized_join(src, left_out, is_out, "left_anti", most=SMALL_ROWS).select("digest", "payload")
+    repeats = again.count()
+    alone = sized_join(first, again, "digest", "left_anti", rows=repeats, most=SMALL_ROWS) if repeats else first
+    alone.write.parquet(f"{path}/payloads")
+    if repeats:
+        # several responses share a payload: each task keeps one row per digest before the shuffle
+        shared = sized_join(first, again, "digest", "left_semi", rows=repeats, most=SMALL_ROWS)
+        shared.groupBy("digest").agg(F.any_value("payload").alias("payload")).write.mode("append").parquet(f"{path}/payloads")
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +102,9 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     refers = field("WARC-Refers-To", "<urn:page:([^>]*)>")
     kept = spark.read.parquet(f"{path}/headers")
     return kept.select("page_id", "header", "digest", field("WARC-Type", "([a-z]+)").alias("record_type"),
-                       F.when(refers != "", refers).cast(kept.schema["page_id"].dataType).alias("refers_to"))
+                       F.when(refers != "", refers).cast(kept.schema["page_id"].dataType).alias("refers_to"),
+                       field("WARC-Payload-Digest", "sha1:([A-Z2-7]{32})").alias("payload_digest"),
+                       field("Content-Length", "([0-9]+)").cast("bigint").alias("length"))
 
 
 def payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -106,22 +114,37 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
         "digest", F.when(good, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest"))).alias("payload"))
 
 
-def listing(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record;
-    lengths and digests come from the payloads read back."""
-    checked = payloads(spark, path).select(
-        "digest", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        base32_sha1(F.sha1("payload")).alias("payload_digest")).dropDuplicates(["digest"])
-    return sized_join(headers(spark, path), stage(checked), "digest", "inner", most=SMALL_ROWS).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, record_type, refers_to, header, digest, block (the record's own bytes: empty
+    for a revisit), payload_digest and length of every record, rebuilt from the headers and the
+    payloads. Only responses read their payload, which is mostly one record per payload; a
+    header whose length or digest is not that of its block fails."""
+    heads = headers(spark, path)
+    own = heads.where("record_type = 'response'").join(payloads(spark, path), "digest", "left").withColumnRenamed("payload", "block")
+    fits = F.col("block").isNotNull() & (F.octet_length("block") == F.col("length")) & (
+        base32_sha1(F.sha1("block")) == F.col("payload_digest"))
+    empty = heads.where("record_type = 'revisit'").withColumn("block", F.lit(b"")).withColumn(
+        "block", F.when(F.col("length") == 0, F.col("block")).otherwise(F.raise_error(F.lit("a revisit has no block"))))
+    checked = F.when(fits, F.col("block")).otherwise(F.raise_error(F.lit("a header does not match its payload")))
+    cols = ["page_id", "record_type", "refers_to", "header", "digest", "block", "payload_digest", "length"]
+    return own.withColumn("block", checked).select(*cols).unionByName(empty.select(*cols))
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, record_type, header, block (the record's own bytes: empty for a
-    revisit) and payload (the full payload it stands for)."""
-    joined = headers(spark, path).join(payloads(spark, path).dropDuplicates(["digest"]), "digest")
-    return joined.select("page_id", "record_type", "header", F.when(
-        F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b"")).alias("block"), "payload")
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record. Lengths
+    and digests are those of the blocks rebuilt by ``records``; a revisit has those of
+    the response it refers to, whose digest its own header must name."""
+    read = stage(records(spark, path).select(
+        "page_id", "record_type", "refers_to", "digest", F.octet_length("block").cast("bigint").alias("payload_bytes"),
+        F.col("payload_digest").alias("named"), F.when(F.col("record_type") == "response", base32_sha1(F.sha1("block"))).alias("payload_digest")))
+    own = read.where("record_type = 'response'")
+    full = stage(own.groupBy("digest").agg(F.min("payload_bytes").alias("payload_bytes"), F.min("payload_digest").alias("payload_digest")))
+    same = F.when(F.col("named") == F.col("payload_digest"), F.col("payload_digest")).otherwise(
+        F.raise_error(F.lit("a revisit does not name its response's digest")))
+    revisits = sized_join(read.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest"), full, "digest", "left",
+                          most=SMALL_ROWS).withColumn("payload_digest", same)
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return own.select(*cols).unionByName(revisits.select(*cols))
 
 
 def export_warc(spark: SparkSession, path: str, to: str, per_file: int = 10_000) -> None:
