@@ -47,7 +47,7 @@ from .words import LOWER, SPACED, chunks, hashes, words_of
 FOLDS, HELD = 7, 2
 HIDDEN = 12
 SHARE, LEAST = 5e-6, 2
-BUCKETS = 64
+BUCKETS = 64               # a power of two
 WINDOW = 16
 LANES = 512
 LANE_TOKENS = 4096
@@ -116,17 +116,39 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.hashes)
 
+    def slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """By the hash's low bits: the place of a word (-1: none), and whether several words
+        share them. Made once per task."""
+        if "_slots" not in self.__dict__:
+            low = (self.hashes & np.uint64(self.low)).astype(np.int64)
+            place, crowded = np.full(self.low + 1, -1, np.int32), np.zeros(self.low + 1, bool)
+            place[low] = np.arange(self.size)
+            crowded[low[place[low] != np.arange(self.size)]] = True
+            self._slots = place, crowded
+        return self._slots
+
+    @property
+    def low(self) -> int:
+        return (1 << max(16, self.size.bit_length() + 4)) - 1
+
+    def __getstate__(self):
+        return {"hashes": self.hashes, "ranks": self.ranks}
+
     def ids(self, tokens: np.ndarray) -> np.ndarray:
         """Rank of known words; ``size`` plus a hash bucket for others."""
-        out = (tokens % np.uint64(BUCKETS)).astype(np.int32) + np.int32(self.size)
+        out = (tokens & np.uint64(BUCKETS - 1)).astype(np.int32) + np.int32(self.size)
         if self.size:
-            low = np.uint64((1 << max(16, self.size.bit_length() + 4)) - 1)
-            seen = np.zeros(int(low) + 1, bool)
-            seen[(self.hashes & low).astype(np.int64)] = True
-            near = np.flatnonzero(seen[(tokens & low).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self.hashes, tokens[near]), self.size - 1)
-            ok = self.hashes[at] == tokens[near]
-            out[near[ok]] = self.ranks[at[ok]]
+            place, crowded = self.slots()
+            for i in range(0, len(tokens), BLOCK):
+                t, o = tokens[i:i + BLOCK], out[i:i + BLOCK]
+                low = (t & np.uint64(self.low)).astype(np.int64)
+                at = place[low]
+                ok = self.hashes[at] == t      # an empty place points at the last word, which is elsewhere
+                np.copyto(o, self.ranks[at], where=ok, casting="same_kind")
+                rest = np.flatnonzero(~ok & crowded[low])
+                at = np.minimum(np.searchsorted(self.hashes, t[rest]), self.size - 1)
+                ok = self.hashes[at] == t[rest]
+                o[rest[ok]] = self.ranks[at[ok]]
         return out
 
 

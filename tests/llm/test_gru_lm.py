@@ -119,5 +119,17 @@ def test_network_words_follow_the_corpus(spark, monkeypatch):
     assert abs(gru.classes - math.sqrt(vocabulary.size)) <= 1
 
 
+@pytest.mark.parametrize("same", [1, 1 << 20])
+def test_ids_equal_a_search(same):
+    """Words whose hashes share low bits (all of them with ``same`` above the table's size) are told apart."""
+    r = np.random.default_rng(8)
+    every = np.unique(r.integers(0, 1 << 40, 4000).astype(np.uint64) * np.uint64(same))
+    words = np.sort(r.choice(every, 1500, replace=False))
+    v = gru_lm.Vocabulary(words, r.permutation(1500))
+    rank = dict(zip(words.tolist(), v.ranks.tolist()))
+    want = [rank.get(t, 1500 + t % gru_lm.BUCKETS) for t in every.tolist()]
+    assert v.ids(every).tolist() == want
+
+
 def test_empty(no_docs):
     assert gru_lm.score(no_docs).count() == 0
