@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import components, sized_join, stage
+from .staging import components, give_back, sized_join, stage
 from .words import LOWER, SPACED, chunks, grams, hashes, mix, words_of
 
 K = 4
@@ -128,7 +128,7 @@ def survey(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, np.ndarray]:
                 yield rows(pa.nulls(1, id_arrow), pa.nulls(1, pa.int64()), [None], [None], [i], [zlib.compress(part, 1)])
 
     done = stage(docs.select("doc_id", "key", "text").mapInArrow(
-        run, f"doc_id {id_type}, key bigint, n bigint, sig bigint, slab bigint, task bigint, counts binary"))
+        give_back(run), f"doc_id {id_type}, key bigint, n bigint, sig bigint, slab bigint, task bigint, counts binary"))
     part = done.where("slab is not null").select("slab", "task", "counts")
     tasks = (part.agg(F.max("task")).first()[0] or 0) + 1
     while True:
@@ -206,7 +206,7 @@ def prefixes(docs: DataFrame, order, k: int) -> DataFrame:
                          pa.array(np.concatenate([np.arange(z) for z in size]))],
                         names=["token", "sig", "n", "place"])
 
-    return docs.select("text").mapInArrow(run, "token bigint, sig bigint, n bigint, place bigint")
+    return docs.select("text").mapInArrow(give_back(run), "token bigint, sig bigint, n bigint, place bigint")
 
 
 def _may_meet(a: str, b: str, percent: int):
@@ -241,7 +241,7 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, order, k
 
     # several rows may have one key: the signature tells which is meant
     sets = stage(sized_join(docs.select("key", "text"), wanted, "key", "inner").select("key", "sig", "text")
-                 .mapInArrow(load, "sig bigint, own bigint, n bigint, l bigint, prefix binary, set binary")
+                 .mapInArrow(give_back(load), "sig bigint, own bigint, n bigint, l bigint, prefix binary, set binary")
                  .where("sig = own").drop("own").dropDuplicates(["sig"]))
 
     def both(pairs: DataFrame, cols: list[str]) -> DataFrame:
@@ -269,8 +269,8 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, order, k
                 keep.append(100 * c >= percent * (n + m - c))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    checked = stage(both(pairs, ["n", "l", "prefix"]).mapInArrow(enough, "a bigint, b bigint"))
-    return both(checked, ["n", "set"]).mapInArrow(compare, "a bigint, b bigint")
+    checked = stage(both(pairs, ["n", "l", "prefix"]).mapInArrow(give_back(enough), "a bigint, b bigint"))
+    return both(checked, ["n", "set"]).mapInArrow(give_back(compare), "a bigint, b bigint")
 
 
 def cross_pairs(postings: DataFrame, percent: int, block: int) -> DataFrame:
@@ -313,7 +313,7 @@ def cross_pairs(postings: DataFrame, percent: int, block: int) -> DataFrame:
             yield from flush(held)
 
     return rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(
-        run, "a bigint, b bigint").distinct()
+        give_back(run), "a bigint, b bigint").distinct()
 
 
 def _block_pairs(g: dict[str, np.ndarray], percent: int, a_out: list, b_out: list) -> None:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .staging import give_back
 from .words import SPACED, Words, byte_set, chunks, grams, hashes, mix, words_of
 
 MIN_WORDS = 10
@@ -241,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
                      pa.array([x.features[a:z].tobytes() for a, z in zip(x.first, x.first[1:])], pa.binary())],
                     names=["quality", "n", "features"])
 
-    rows = texts.mapInArrow(run, "quality int, n bigint, features binary").collect()
+    rows = texts.mapInArrow(give_back(run), "quality int, n bigint, features binary").collect()
     # in an order of their own, so the fit does not depend on how rows were dealt
     rows = sorted((r["quality"], r["n"], bytes(r["features"])) for r in rows)
     if len({q for q, _, _ in rows}) < 2:
@@ -291,7 +292,7 @@ def judge(docs: DataFrame, field: Field | None, share: float = SHARE) -> DataFra
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, " + "".join(f"{c} bigint, " for c in MEASURES)
+        give_back(run), f"doc_id {id_type}, " + "".join(f"{c} bigint, " for c in MEASURES)
         + "base_failed boolean, content_words bigint, kept boolean")
 
 
@@ -304,4 +305,4 @@ def keep_good(docs: DataFrame, field: Field | None, share: float = SHARE) -> Dat
             for b in chunks(batch, "text"):
                 yield b.filter(pa.array(measure(b, "text", field, share)["kept"]))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(give_back(run), schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,21 @@ def sized_join(big: DataFrame, small: DataFrame, on, how: str, rows: int | None
     return big.join(F.broadcast(small) if rows <= most else small, on, how)
 
 
+def give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``; at its end the freed memory goes back to the system. Spark
+    keeps the worker process for later tasks, and what it still held would add to theirs and
+    to the executor's own."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc alone has it
+            if trim:
+                trim(0)
+    return wrapped
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the undirected ``edges`` (a, b): root is the
     smallest node reachable. Alternating large-star and small-star steps, which need
