@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import uniform01
 from ..session import cut_lineage
-from .joins import lookup, string_cells
+from .joins import BROADCAST_MAX_CELLS, head_and_tail, lookup, string_cells
 from .lm import BigramModel
 
 BACKOFF = ""   # context key of the unigram (back-off) distribution
@@ -34,8 +34,8 @@ SAMPLE_HEADER = "Generated Text %d:\n%s\n\n"
 def next_token_probs(model: BigramModel) -> DataFrame:
     """``prev, tok, p``: maximum-likelihood successor distribution of each seen
     context, plus the unigram distribution under context ``''``."""
-    seen = lookup(model.bigram, model.context, ["prev"], "inner", salt_cols=["prev", "tok"],
-                  small_size=model.context_size).select(
+    seen = lookup(model.bigram, model.context, ["prev"], "inner", small_size=model.context_size,
+                  count_col="c_prev").select(
         "prev", "tok", (F.col("c") / F.col("c_prev")).alias("p"))
     uni = model.unigram.select(F.lit(BACKOFF).alias("prev"), "tok",
                                (F.col("c_tok") / F.lit(float(model.n_tokens))).alias("p"))
@@ -115,9 +115,10 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     ``max_length`` counts prompt plus new tokens (the reference's meaning);
     ``max_new_tokens`` counts new tokens only. ``k = 1`` is greedy decoding.
     A candidate table of at most ``walk_bytes`` is broadcast and every row makes all its steps
-    in one pass. A larger one is joined once per step; lineage is cut into the shared
-    checkpoint folder every ``checkpoint_every`` steps, and the loop runs a number of plan
-    steps fixed by the parameters, not by the data. The samples are the same.
+    in one pass. Of a larger one the frequent contexts are broadcast: every row walks until it
+    meets another context, the contexts that rows wait for are fetched in one scan, and the rows
+    walk on (``_rounds``). With a bound of 0 the table is joined once per step; lineage is cut into the
+    shared checkpoint folder every ``checkpoint_every`` steps. The samples are the same.
     """
     table = cut_lineage(sampling_table(model, k, t, p))
     # one pass over the written table: the back-off list (at most k entries, a
@@ -153,33 +154,83 @@ def generate(model: BigramModel, prompts: DataFrame, prompt_col: str = "prompt",
     text = F.when(F.size("_new") > 0, F.concat_ws(" ", F.col(prompt_col), F.array_join("_new", " "))) \
         .otherwise(F.col(prompt_col))
     if int(stats["bytes"] or 0) <= walk_bytes and broadcast_max_rows:
-        walked = _walk(state, ctx, stats["b"], key, seed)
+        walked = _walk(state, _store(ctx), stats["b"], key, seed, whole=True)
         return walked.select(key, "seq_no", prompt_col, text.alias("generated_text"))
 
-    for step in range(steps):
+    def step(state: DataFrame) -> DataFrame:
         last = F.coalesce(F.try_element_at("_new", F.lit(-1)), F.try_element_at("_toks", F.lit(-1)),
                           F.lit(BACKOFF))
         s = state.withColumn("_last", last)
         # prompts may pile onto one last token: size-checked, salted lookup
         s = lookup(s, ctx, ["_last"], "left", small_size=ctx_size, salt_cols=[key, "seq_no"],
                    broadcast_max_rows=broadcast_max_rows)
-        u = uniform01(seed, key, "seq_no", F.lit(step))
+        u = uniform01(seed, key, "seq_no", F.size("_new"))
         nxt = draw(F.coalesce(F.col("cands"), b_lit), u)
         grow = F.size("_new") < F.col("_limit")
-        state = s.withColumn("_new", F.when(grow & nxt.isNotNull(), F.concat(
+        return s.withColumn("_new", F.when(grow & nxt.isNotNull(), F.concat(
             "_new", F.array(nxt))).otherwise(F.col("_new"))).drop("_last", "cands")
-        if (step + 1) % checkpoint_every == 0 and step + 1 < steps:
-            state = cut_lineage(state)
+
+    if walk_bytes and broadcast_max_rows:
+        # a context takes at most k candidates; what it really takes is measured before the broadcast
+        rows = 3 * walk_bytes // (4 * (24 * k + 40))
+        top, _ = head_and_tail(model.context, model.context_size, "c_prev", rows, BROADCAST_MAX_CELLS)
+        head = cut_lineage(ctx.join(F.broadcast(top.select(F.col("prev").alias("_last"))), "_last"))
+        state = _rounds(state, ctx, head, stats["b"], key, seed, steps, walk_bytes, broadcast_max_rows, step)
+    else:
+        for i in range(steps):
+            state = step(state)
+            if (i + 1) % checkpoint_every == 0 and i + 1 < steps:
+                state = cut_lineage(state)
     return state.select(key, "seq_no", prompt_col, text.alias("generated_text"))
 
 
-def _walk(state: DataFrame, ctx: DataFrame, backoff, key: str, seed: int) -> DataFrame:
-    """All steps of every row in one pass: the candidate store (its bytes checked by the caller) goes
-    to every worker once, and each row follows its own draws to its limit."""
-    spark = state.sparkSession
-    store = ctx.select("_last", F.transform("cands", lambda c: c["tok"]).alias("toks"),
-                       F.transform("cands", lambda c: c["cdf"]).alias("cdfs")).toArrow()
-    shared = spark.sparkContext.broadcast(store)
+def _store(ctx: DataFrame):
+    """A bounded candidate table (its bytes checked by the caller) as Arrow columns."""
+    return ctx.select("_last", F.transform("cands", lambda c: c["tok"]).alias("toks"),
+                      F.transform("cands", lambda c: c["cdf"]).alias("cdfs")).toArrow()
+
+
+def _rounds(state: DataFrame, ctx: DataFrame, head: DataFrame, backoff, key: str, seed: int, steps: int,
+            walk_bytes: int, broadcast_max_rows: int, step) -> DataFrame:
+    """All steps over a candidate table larger than the bound. Every round moves each unfinished row
+    by one step at least: it walks over the known contexts, and the distinct ones that rows wait for
+    are fetched. Where those exceed a quarter of the bound, the round takes one step by join."""
+    def size(table: DataFrame) -> int:
+        return int(table.agg(F.sum(F.octet_length("_last") + F.coalesce(candidate_bytes("cands"), F.lit(16)))).first()[0] or 0)
+
+    import pyarrow as pa
+
+    frequent = _store(head if size(head) <= walk_bytes * 3 // 4 else head.limit(0))
+    shared, fetched, held = state.sparkSession.sparkContext.broadcast(frequent), None, 0
+    for _ in range(steps + 1):
+        state = cut_lineage(_walk(state, shared, backoff, key, seed, fetched))
+        need = cut_lineage(state.where(F.col("_wait").isNotNull()).select(F.col("_wait").alias("_last")).distinct())
+        state = state.drop("_wait")
+        n = need.count()
+        if not n:
+            break
+        found = None
+        if n <= broadcast_max_rows:
+            met = cut_lineage(ctx.join(F.broadcast(need), "_last"))
+            # a context outside the table is known too: it has no candidates of its own
+            found = need.join(met, "_last", "left")
+        more = walk_bytes // 4 + 1 if found is None else size(found)
+        if more > walk_bytes // 4:
+            state, fetched, held = cut_lineage(step(state)), None, 0
+        else:
+            fresh = _store(found)
+            keep = fetched is not None and held + more <= walk_bytes // 4
+            fetched, held = (pa.concat_tables([fetched, fresh]), held + more) if keep else (fresh, more)
+    return state
+
+
+def _walk(state: DataFrame, store, backoff, key: str, seed: int, fetched=None, whole: bool = False) -> DataFrame:
+    """Steps of every row in one pass: the candidate store (its bytes checked by the caller) goes to every
+    worker once, and each row follows its own draws to its limit. Unless ``store`` is the ``whole`` table,
+    a row stops at a context that neither store knows, which ``_wait`` names."""
+    sc = state.sparkSession.sparkContext
+    first = sc.broadcast(store) if whole else store
+    second = sc.broadcast(fetched)
     spare = ([c["tok"] for c in backoff], [c["cdf"] for c in backoff]) if backoff else ([], [])
     none = BACKOFF
     coded = state.withColumn("_k", F.col(key).cast("string"))
@@ -191,24 +242,36 @@ def _walk(state: DataFrame, ctx: DataFrame, backoff, key: str, seed: int) -> Dat
 
         import pyarrow as pa
 
-        table = shared.value.combine_chunks()
-        toks, cdfs = table["toks"], table["cdfs"]
-        at = {t: i for i, t in enumerate(table["_last"].to_pylist())}
-        met: dict = {}
+        at, met = {}, {}
+        for table in (first.value, second.value):
+            if table is not None:
+                table = table.combine_chunks()
+                toks, cdfs = table["toks"], table["cdfs"]
+                at.update((t, (toks, cdfs, i)) for i, t in enumerate(table["_last"].to_pylist()))
 
         def candidates(last):
-            if last == none or last not in at:
+            """None: to be fetched."""
+            if last == none:
                 return spare
+            if last not in at:
+                return spare if whole else None
             if last not in met:
-                met[last] = (toks[at[last]].as_py(), cdfs[at[last]].as_py())
+                toks, cdfs, i = at[last]
+                names = toks[i].as_py()
+                met[last] = spare if names is None else (names, cdfs[i].as_py())
             return met[last]
 
         for b in batches:
-            out = []
-            for k, n, limit, words in zip(*(b.column(c).to_pylist() for c in ("_k", "seq_no", "_limit", "_toks"))):
-                last, new = words[-1] if words else none, []
-                for step in range(limit or 0):
-                    names, sums = candidates(last)
+            out, waits = [], []
+            for k, n, limit, words, new in zip(*(b.column(c).to_pylist() for c in ("_k", "seq_no", "_limit", "_toks", "_new"))):
+                new, wait = list(new), None
+                last = new[-1] if new else words[-1] if words else none
+                for step in range(len(new), limit or 0):
+                    known = candidates(last)
+                    if known is None:
+                        wait = last
+                        break
+                    names, sums = known
                     if not names:
                         break
                     parts = [str(seed), *([] if k is None else [k]), str(n), str(step)]
@@ -216,10 +279,13 @@ def _walk(state: DataFrame, ctx: DataFrame, backoff, key: str, seed: int) -> Dat
                     last = names[min(bisect_right(sums, u), len(names) - 1)]
                     new.append(last)
                 out.append(new)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.list_(pa.string()))], names=[*kept, "_new"])
+                waits.append(wait)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.list_(pa.string())), pa.array(waits, pa.string())],
+                                             names=[*kept, "_new", "_wait"])
 
-    kind = T.StructType([*[state.schema[c] for c in kept], T.StructField("_new", T.ArrayType(T.StringType()))])
-    return coded.select(*kept, "_k").mapInArrow(run, kind)
+    kind = T.StructType([*[state.schema[c] for c in kept], T.StructField("_new", T.ArrayType(T.StringType())),
+                         T.StructField("_wait", T.StringType())])
+    return coded.select(*kept, "_new", "_k").mapInArrow(run, kind)
 
 
 def render_samples(samples: DataFrame, key: str = "prompt_id", per_prompt_header: bool = True) -> DataFrame:

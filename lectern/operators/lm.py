@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import lookup, string_cells, table_size
+from .joins import BROADCAST_MAX_CELLS, BROADCAST_MAX_ROWS, lookup, string_cells, table_size
 
 
 def _c(c) -> Column:
@@ -133,12 +133,14 @@ def scored_pairs(model: BigramModel, held_out: DataFrame, tokens_col: str) -> Da
     per occurrence), with their counts under the model."""
     val = pair_counts(held_out, tokens_col).withColumnRenamed("c", "n")
     # (prev, tok) is unique on both sides: a plain shuffled join has no hot key.
-    # The context and unigram lookups have hot keys on the validation side.
+    # The context and unigram lookups have hot keys on the validation side: large tables
+    # are cut by count, and the pairs are written once, as each part reads them.
     j = val.join(model.bigram, ["prev", "tok"], "left")
-    j = lookup(j, model.context, ["prev"], "left", salt_cols=["prev", "tok"],
-               small_size=model.context_size)
-    return lookup(j, model.unigram, ["tok"], "left", salt_cols=["prev", "tok"],
-                  small_size=model.unigram_size)
+    if any(size > bound for t in (model.context_size, model.unigram_size)
+           for size, bound in zip(t, (BROADCAST_MAX_ROWS, BROADCAST_MAX_CELLS))):
+        j = cut_lineage(j)
+    j = lookup(j, model.context, ["prev"], "left", small_size=model.context_size, count_col="c_prev")
+    return lookup(j, model.unigram, ["tok"], "left", small_size=model.unigram_size, count_col="c_tok")
 
 
 def prob(model: BigramModel, lam) -> Column:
@@ -160,13 +162,11 @@ def grid_losses(model: BigramModel, held_out: DataFrame, tokens_col: str,
     """Every lambda of the grid scored in one pass over the validation pairs.
     ``model_id`` is the 1-based grid position (later = newer checkpoint)."""
     s = scored_pairs(model, held_out, tokens_col)
-    grid = F.explode(F.arrays_zip(
-        F.array(*[F.lit(i + 1) for i in range(len(lams))]).alias("model_id"),
-        F.array(*[F.lit(float(x)) for x in lams]).alias("lam")))
-    g = s.select("*", grid.alias("_g")).select(
-        "*", F.col("_g.model_id").alias("model_id"), F.col("_g.lam").alias("lam"))
-    return g.groupBy("model_id", "lam").agg(
-        (F.sum(F.col("n") * -F.log(prob(model, F.col("lam")))) / F.sum("n")).alias("eval_loss"))
+    sums = s.agg(F.sum("n").alias("_n"), *[F.sum(F.col("n") * -F.log(prob(model, x))).alias(f"_s{i}")
+                                           for i, x in enumerate(lams)]).where("_n IS NOT NULL")
+    grid = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("model_id"), F.lit(float(x)).alias("lam"),
+                                        (F.col(f"_s{i}") / F.col("_n")).alias("eval_loss")) for i, x in enumerate(lams)]))
+    return sums.select(grid.alias("_g")).select("_g.*")
 
 
 def em_weight(model: BigramModel, held_out: DataFrame, tokens_col: str, start: float = 0.5, rounds: int = 30,
