@@ -5,6 +5,8 @@ import random
 import pytest
 
 from conftest import docs_df
+from lectern.operators import bpe
+from lectern.operators import tokenize as tk
 from lectern.operators.tokenize import detokenize, fit_vocab, token_rows, tokenize
 
 
@@ -41,3 +43,28 @@ def test_detokenize_in_place(spark, skip):
     twice = [w for w in texts()[5].split() for _ in (0, 1)]
     seen = {r["token"] for r in v.collect()}
     assert got[5] == " ".join([w if w in seen else "<unk>" for w in twice] + ([] if skip else ["<|endoftext|>"] * 2))
+
+
+def test_caller_codes_in_place(spark, monkeypatch):
+    """L2 beyond the bound: the same codes, and no row per token; repeated and null keys as before."""
+    fn = lambda t: [len(t), ord(t[-1])][: 0 if t == "of" else 2]
+    d = docs_df(spark, texts())
+    codes = lambda t: [x for w in t.split() for x in fn(w)]
+    want = sorted((i, codes(t)) for i, t in enumerate(texts()))
+    real = tk.head_and_tail
+    for bound in (2_000_000, 20):
+        monkeypatch.setattr(tk, "head_and_tail", lambda *a, n=bound, **k: real(*a, **(k | {"max_rows": n})))
+        out = tk.tokenize_with(d, fn, ["doc_id"])
+        assert sorted((r.doc_id, r.input_ids) for r in out.collect()) == want
+        assert "explode" not in out._jdf.queryExecution().optimizedPlan().toString()
+        odd = d.unionByName(spark.createDataFrame([(900, "a bb"), (900, "the"), (None, "the")], d.schema))
+        got = sorted((r.doc_id, r.input_ids) for r in tk.tokenize_with(odd, fn, ["doc_id"]).where("doc_id >= 900 or doc_id is null").fillna(-1).collect())
+        assert got == [(-1, []), *[(900, codes("a the bb"))] * 2]
+
+
+def test_a_round_costs_its_own_merges(spark, monkeypatch):
+    """No round replays the merges of the rounds before it."""
+    calls, real = [], bpe.merged
+    monkeypatch.setattr(bpe, "merged", lambda s, merges: calls.append(len(merges)) or real(s, merges))
+    model = bpe.fit_bpe(spark.createDataFrame([(w,) for t in texts() for w in t.split()], "tok string"), 8)
+    assert model.merges.count() == 8 and sum(calls) < 8 and all(calls)
